@@ -68,3 +68,21 @@ _r03o = ClaimsSettledParams(branch="N4", date_from=D(1998, 1, 1), date_to=None)
 register("claims_settled_open_end",
          lambda s, d: claims.claims_settled(tables(s, d), _r03o),
          lambda: claims_sql.claims_settled(branch="N4", date_from=_r03o.date_from, date_to=None))
+
+# -------------------------------------------------------- daily production
+from assurspark.plans import production  # noqa: E402
+from assurspark.plans.params import DailyProductionParams  # noqa: E402
+
+from . import production_sql  # noqa: E402
+
+
+def _prod(name: str, **kw) -> None:
+    params = DailyProductionParams(**kw)
+    register(name, lambda s, d: production.daily_production(tables(s, d), params),
+             lambda: production_sql.daily_production(**kw))
+
+
+_prod("daily_production_c", basic_date="C", date_from=D(1996, 1, 1), date_to=D(1998, 12, 31))
+_prod("daily_production_a", basic_date="A", sysown_id=None, marketer="K01",
+      date_from=D(1997, 1, 1), date_to=D(1997, 12, 31))
+_prod("daily_production_i", basic_date="I", class_code="MO", date_from=D(1996, 6, 1), date_to=D(1999, 6, 30))
