@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .joins import broadcast_if_small
+from .joins import broadcast_small
 
 # fixed values: currency ids of the home currency and of the reporting
 # currency used by the production report's "...GHS" columns
@@ -60,19 +60,23 @@ class RateTable:
     one-row-per-currency lookup.  Both sides are small and broadcast after a
     size check, so the facts keep their partitioning (no shuffle)."""
 
-    def __init__(self, exchange: DataFrame, home_ccy: int = HOME_CCY_ID):
+    def __init__(self, exchange: DataFrame, home_ccy: int = HOME_CCY_ID, size_check=None):
         iv = rate_intervals(exchange)
         self.home_ccy = home_ccy
-        closed = (iv.where(F.col("r_to").isNotNull())
-                  .withColumn("r_month", F.explode(F.sequence(_month_index(F.col("r_from")),
-                                                              _month_index(F.col("r_to"))))))
-        self.closed = broadcast_if_small(closed)
-        self.open = broadcast_if_small(iv.where(F.col("r_to").isNull())
-                                       .select("r_ccy", "r_from", "r_rate"))
+        builders = {
+            "rates_closed": lambda: iv.where(F.col("r_to").isNotNull()).withColumn(
+                "r_month", F.explode(F.sequence(_month_index(F.col("r_from")), _month_index(F.col("r_to"))))),
+            "rates_open": lambda: iv.where(F.col("r_to").isNull()).select("r_ccy", "r_from", "r_rate"),
+        }
+        checked = (size_check or (lambda b: broadcast_small({k: f() for k, f in b.items()})))(builders)
+        self.closed = checked["rates_closed"]
+        self.open = checked["rates_open"]
 
     def with_rate(self, df: DataFrame, ccy: str | Column, at: str | Column, out: str) -> DataFrame:
         """Add column ``out`` = rate of currency ``ccy`` valid at ``at`` (greatest
         effective date <= at); 1 for the home currency; NULL if none."""
+        if isinstance(ccy, int):
+            return self._with_rate_of(df, ccy, at, out)
         ccy_c = F.col(ccy) if isinstance(ccy, str) else ccy
         at_c = F.col(at) if isinstance(at, str) else at
         at_ts = at_c.cast(T.TimestampNTZType())
@@ -93,6 +97,26 @@ class RateTable:
                       "_o_ccy", "_o_from", "_o_rate"))
 
 
+    def _with_rate_of(self, df: DataFrame, ccy: int, at: str | Column, out: str) -> DataFrame:
+        """Rate of one fixed currency: closed intervals joined on the month key only;
+        the currency's open-ended latest rate comes from two scalar subqueries
+        (evaluated once), so no join without an equality key is planned."""
+        if ccy == self.home_ccy:
+            return df.withColumn(out, F.lit(1).cast("decimal(19,8)"))
+        at_c = (F.col(at) if isinstance(at, str) else at).cast(T.TimestampNTZType())
+        base = df.withColumn("_rk_at", at_c).withColumn("_rk_m", _month_index(F.col("_rk_at")))
+        c = self.closed.where(F.col("r_ccy") == F.lit(ccy)).select(
+            F.col("r_month").alias("_c_m"), F.col("r_from").alias("_c_from"),
+            F.col("r_to").alias("_c_to"), F.col("r_rate").alias("_c_rate"))
+        j = base.join(c, (F.col("_rk_m") == F.col("_c_m")) & (F.col("_rk_at") >= F.col("_c_from"))
+                      & (F.col("_rk_at") < F.col("_c_to")), "left")
+        tail = self.open.where(F.col("r_ccy") == F.lit(ccy))
+        tail_from = tail.agg(F.max("r_from")).scalar()
+        tail_rate = tail.agg(F.max("r_rate")).scalar()
+        rate = F.coalesce(F.col("_c_rate"), F.when(F.col("_rk_at") >= tail_from, tail_rate))
+        return j.withColumn(out, rate).drop("_rk_at", "_rk_m", "_c_m", "_c_from", "_c_to", "_c_rate")
+
+
 def converted(amount: str | Column, from_ccy: str | Column, to_ccy: str | Column | int,
               rate_from: str | Column, rate_to: str | Column) -> Column:
     """F-01 / G-01: ``amount`` in currency ``from_ccy`` expressed in ``to_ccy``:

@@ -9,6 +9,9 @@ partitions otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_small(frames: Mapping[str, DataFrame],
+                    max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:
+    """``broadcast_if_small`` for several candidate sides with a single Spark job.
+
+    Each frame contributes at most ``max_rows + 1`` tagged rows to one union,
+    whose per-tag counts (one small row per frame) come back to the driver."""
+    names = list(frames)
+    if not names:
+        return {}
+    tagged = [frames[n].limit(max_rows + 1).select(F.lit(i).alias("_tag")) for i, n in enumerate(names)]
+    counts = {r["_tag"]: r["n"] for r in reduce(DataFrame.unionAll, tagged)
+              .groupBy("_tag").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {n: (F.broadcast(frames[n]) if counts.get(i, 0) <= max_rows else frames[n])
+            for i, n in enumerate(names)}
+
+
 def or_equi_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key: str,
                  how: str = "inner", key_alias: str = "_or_key") -> DataFrame:
     """J-07: ``left JOIN right ON right.k = left.a OR right.k = left.b`` without a
@@ -77,16 +96,18 @@ def null_aware_anti(left: DataFrame, left_key: str, values: DataFrame, value_col
     SQL semantics: one NULL among the values makes the predicate unknown for
     every row (empty result); a NULL ``left_key`` is dropped unless the list is
     empty.  Built as a left-anti equi join (shuffle or broadcast, planner's
-    choice -- the list is not assumed small) plus an uncorrelated EXISTS guard
-    that Spark evaluates once.  ``null_safe=True`` gives NOT EXISTS semantics
-    instead (NULLs in the list are ignored)."""
+    choice -- the list is not assumed small) plus a guard: one aggregate over
+    the list (a scalar subquery Spark evaluates once, partial aggregation
+    first) tells whether it holds a NULL and whether it is empty.
+    ``null_safe=True`` gives NOT EXISTS semantics instead (NULLs in the list
+    are ignored)."""
     vals = values.select(F.col(value_col).alias("_nin_v"))
     out = left.join(vals, left[left_key] == F.col("_nin_v"), "left_anti")
     if null_safe:
         return out
-    has_null = vals.where(F.col("_nin_v").isNull()).exists()
-    non_empty = vals.exists()
-    return out.where(~has_null & (F.col(left_key).isNotNull() | ~non_empty))
+    nulls = vals.agg(F.count(F.lit(1)) - F.count("_nin_v")).scalar()
+    rows = vals.agg(F.count(F.lit(1))).scalar()
+    return out.where((nulls == 0) & (F.col(left_key).isNotNull() | (rows == 0)))
 
 
 def semi(left: DataFrame, right: DataFrame, on: Column | str | list, ) -> DataFrame:

@@ -22,7 +22,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import latest_per_key, span_per_key
 from ..operators.currency import latest_rates
-from ..operators.joins import broadcast_if_small, or_equi_join
+from ..operators.joins import or_equi_join
 from ..sources.catalog import Tables
 from .params import ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams
 
@@ -48,23 +48,54 @@ def _dom(c) -> "F.Column":
 
 
 # ------------------------------------------------------------------- stages
-def org_units(t: Tables, culture_id: int) -> DataFrame:
-    """P-02: organisation units with their level, one culture."""
+def _org_units(t: Tables, culture_id: int) -> DataFrame:
     ou = localised(t.par_d_cl_org_unit, culture_id)
     ol = localised(t.par_d_cl_org_level, culture_id)
-    units = ou.join(ol, ou.orglvl_orglvl_id == ol.orglvl_id, "inner").select(
+    return ou.join(ol, ou.orglvl_orglvl_id == ol.orglvl_id, "inner").select(
         ou.orgunit_id.alias("u_id"), ou.orgunit_orgunit_id.alias("u_parent"),
         ou.code.alias("u_code"), ou.abbrev.alias("u_abbrev"), ou.name.alias("u_name"),
         ol.level_no.alias("u_level_no"), ol.name.alias("u_level_name"))
-    return broadcast_if_small(units)
+
+
+def _claim_status(t: Tables, culture_id: int) -> DataFrame:
+    return (localised(t.clm_d_cl_claim_st, culture_id)
+            .select(F.col("cclmst_id"), F.col("code").alias("claim_status_code"),
+                    F.col("description").alias("claim_status")))
+
+
+def _rate_by_code(t: Tables) -> DataFrame:
+    r = latest_rates(t.pay_d_exchange, t.pay_t_cis_mena)
+    return r.select(F.col("kod").alias("x_kod"), F.col("xRate"))
+
+
+def claim_dims(t: Tables, culture_id: int, settled: bool = False) -> dict[str, DataFrame]:
+    """The code lists a claims report broadcasts, size-checked together (one job)."""
+    b = {f"units:{culture_id}": lambda: _org_units(t, culture_id),
+         f"claim_status:{culture_id}": lambda: _claim_status(t, culture_id),
+         "rate_by_code": lambda: _rate_by_code(t)}
+    if settled:
+        b.update({
+            "payout_status": lambda: t.ina_t_cis_vyplata_stavy
+            .where(F.col("kod") == SETTLED_PAYOUT_STATUS).select("cvypst_id"),
+            f"payment_form:{culture_id}": lambda: localised(t.pay_v_cis_platba_forma, culture_id).select(
+                "plafor_id", F.col("kod").alias("payout_method_code"),
+                F.col("popis").alias("payout_method_descr")),
+            "currency_codes": lambda: t.pay_t_cis_mena.select(F.col("cmenak_id"), F.col("kod").alias("currency_code")),
+            "due_relation": lambda: t.pay_t_cis_typ_vztahu.where(F.col("kod") == DUE_DATE_RELATION)
+            .select("typvzt_id"),
+        })
+    return t.dims(b)
+
+
+def org_units(t: Tables, culture_id: int) -> DataFrame:
+    """P-02: organisation units with their level, one culture (size-checked broadcast)."""
+    return claim_dims(t, culture_id)[f"units:{culture_id}"]
 
 
 def claim_core(t: Tables, culture_id: int) -> DataFrame:
     """Valid claims with status, administering unit and (valid) loss notification."""
     clm = current(t.clm_d_claim)
-    cst = broadcast_if_small(localised(t.clm_d_cl_claim_st, culture_id)
-                             .select(F.col("cclmst_id"), F.col("code").alias("claim_status_code"),
-                                     F.col("description").alias("claim_status")))
+    cst = claim_dims(t, culture_id)[f"claim_status:{culture_id}"]
     units = org_units(t, culture_id)
     losn = current(t.clm_d_loss_notification).select(
         "losntf_id", F.col("address_street").alias("loss_street"),
@@ -140,8 +171,7 @@ def claim_officer(t: Tables) -> DataFrame:
 
 def latest_rate_by_code(t: Tables) -> DataFrame:
     """P-04 keyed by currency code (broadcast: bounded by the currency list)."""
-    r = latest_rates(t.pay_d_exchange, t.pay_t_cis_mena)
-    return broadcast_if_small(r.select(F.col("kod").alias("x_kod"), F.col("xRate")))
+    return t.dims({"rate_by_code": lambda: _rate_by_code(t)})["rate_by_code"]
 
 
 def latest_correspondence(t: Tables, culture_id: int) -> DataFrame:
@@ -247,6 +277,7 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
 
     The two arms of the reference are mutually exclusive on the department
     parameter (equality with NULL is unknown), so only one is planned."""
+    claim_dims(t, p.culture_id)
     core = claim_core(t, p.culture_id)
     period = between_or_fallback("notification_date", p.date_from, p.date_to, "LOSS_DATE")
     if p.department is not None:
@@ -319,6 +350,7 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
 def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     """R-02: claims open at ``as_at`` with age, reserves, home-currency estimates and
     reinsurance recoverables."""
+    claim_dims(t, p.culture_id)
     core = claim_core(t, p.culture_id)
     state = (open_at("claim_status_code", "settlement_date", p.as_at, OPEN_STATUS_CODES)
              & before_next_day("registration_date", p.as_at))
@@ -416,9 +448,10 @@ def payment_due_dates(t: Tables) -> DataFrame:
     """P-08: head transaction -> due date of the related transaction (valid relation
     of type PR/PL)."""
     tv = current(t.pay_t_trans_vztahy, "platny")
-    typ = t.pay_t_cis_typ_vztahu.where(F.col("kod") == DUE_DATE_RELATION).select("typvzt_id")
+    typ = t.dims({"due_relation": lambda: t.pay_t_cis_typ_vztahu
+                  .where(F.col("kod") == DUE_DATE_RELATION).select("typvzt_id")})["due_relation"]
     tx = t.pay_t_transakcia.select(F.col("transa_id").alias("t2_id"), "datum_splatnost")
-    return (tv.join(broadcast_if_small(typ), tv.typvzt_typvzt_id == typ.typvzt_id, "inner")
+    return (tv.join(typ, tv.typvzt_typvzt_id == typ.typvzt_id, "inner")
             .join(tx, F.col("transa_transa_vedl_id") == F.col("t2_id"), "inner")
             .select(F.col("transa_transa_hlav_id").alias("due_head_id"),
                     F.col("datum_splatnost").alias("ACCOUNT_DEBITED_DATE")))
@@ -431,9 +464,8 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     The payee is the claim partner reached from the payout's addressee *or* from
     its valid expense row -- an OR join rewritten as an exploded equi join."""
     v = current(t.ina_t_vyplaty, "platny")
-    vst = t.ina_t_cis_vyplata_stavy.where(F.col("kod") == SETTLED_PAYOUT_STATUS).select("cvypst_id")
-    pm = localised(t.pay_v_cis_platba_forma, p.culture_id).select(
-        "plafor_id", F.col("kod").alias("payout_method_code"), F.col("popis").alias("payout_method_descr"))
+    dims = claim_dims(t, p.culture_id, settled=True)
+    vst, pm = dims["payout_status"], dims[f"payment_form:{p.culture_id}"]
     tx = t.pay_t_transakcia.select(
         F.col("transa_id"), F.col("id_riad_zdroj"), F.col("cmenak_cmenak_id"),
         F.col("datum_vytvorenia").alias("approval_date"), F.col("suma").alias("trans_suma"),
@@ -450,9 +482,9 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
                                person_name("firstname_abbrev", "middle_name", "surname_name")
                                .alias(f"{alias}_name"))
 
-    cm = t.pay_t_cis_mena.select(F.col("cmenak_id"), F.col("kod").alias("currency_code"))
-    j = (v.join(broadcast_if_small(vst), v.cvypst_cvypst_id == vst.cvypst_id, "inner")
-         .join(broadcast_if_small(pm), F.col("plafor_plafor_id") == F.col("plafor_id"), "inner")
+    cm = dims["currency_codes"]
+    j = (v.join(vst, v.cvypst_cvypst_id == vst.cvypst_id, "inner")
+         .join(pm, F.col("plafor_plafor_id") == F.col("plafor_id"), "inner")
          .join(tx, F.col("id_riad_zdroj") == F.col("vypla_id"), "inner")
          .join(cc, F.col("plnadr_plnadr_id") == F.col("plnadr_id"), "left")
          .join(pun, F.col("punakl_punakl_id") == F.col("punakl_id"), "left"))
@@ -460,7 +492,7 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     j = (j.join(names("para"), F.col("partner_partner_id") == F.col("para_id"), "inner")
          .join(names("parr"), F.col("revident") == F.col("parr_id"), "left")
          .join(names("parl"), F.col("likvidator") == F.col("parl_id"), "left")
-         .join(broadcast_if_small(cm), F.col("cmenak_cmenak_id") == F.col("cmenak_id"), "left")
+         .join(cm, F.col("cmenak_cmenak_id") == F.col("cmenak_id"), "left")
          .join(payment_due_dates(t), F.col("transa_id") == F.col("due_head_id"), "left"))
     # The reference also left-joins transaction types and states whose columns
     # are never read; under the report's final DISTINCT they cannot change the
@@ -480,6 +512,7 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
 
 def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     """R-03: claims settled statement, one row per distinct payout line."""
+    claim_dims(t, p.culture_id, settled=True)
     pod = payout_detail(t, p)
     c = p.culture_id
     clm = current(t.clm_d_claim).select(
@@ -490,8 +523,7 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
         F.col("claim_id").alias("pi_claim_id"), "surname_name", "name_abbr", "middle_name")
     cipd = localised(t.clm_dx_ind_payout_details, c).select(
         F.col("claim_root_id").alias("cipd_claim_id"), F.col("payout_method_descr").alias("cipd_method"))
-    cst = broadcast_if_small(localised(t.clm_d_cl_claim_st, c).select(
-        "cclmst_id", F.col("code").alias("cst_code"), F.col("description").alias("claim_status")))
+    cst = claim_dims(t, c)[f"claim_status:{c}"].withColumnRenamed("claim_status_code", "cst_code")
     units = org_units(t, c)
     losn = current(t.clm_d_loss_notification).select(
         "losntf_id", "address_street", "address_house_number1", "address_house_number2",

@@ -23,7 +23,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
 from ..operators.currency import GHS_CCY_ID, HOME_CCY_ID, RateTable, converted, latest_rates
-from ..operators.joins import broadcast_if_small, interval_join, null_aware_anti, semi
+from ..operators.joins import interval_join, null_aware_anti, semi
 from ..sources.catalog import Tables
 from .params import DailyProductionParams
 
@@ -50,14 +50,64 @@ TS = T.TimestampNTZType()
 
 
 # ------------------------------------------------------------------ stages
+def _code_lists(t: Tables, c: int) -> dict:
+    """Builders of every code list the production report broadcasts."""
+    def sel(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+        return df.select(*[F.col(k).alias(v) for k, v in cols.items()])
+    return {
+        "rzml_relation": lambda: localised(current(t.par_d_cl_relation), FIXED_CULTURE)
+        .where(F.col("code") == GROUP_RELATION).select("crel_id"),
+        "rzml_link": lambda: current(t.par_t_cis_vztah, "platny")
+        .where(F.col("vztah_kod") == GROUP_RELATION).select("vztah_id"),
+        "contract_object_type": lambda: t.com_t_cis_object_type
+        .where(F.col("code") == CONTRACT_OBJECT_TYPE).select("objtyp_id"),
+        "paying_agent_types": lambda: t.cms_t_cis_spolupracovnik_typ
+        .where(F.col("create_pay_out") == 1).select("cspolty_id"),
+        "certificate_status": lambda: localised(t.prd_d_cl_policy_status, FIXED_CULTURE).select("polst_id"),
+        f"policy_type:{c}": lambda: sel(localised(t.pol_d_cl_policy_type, c).where(F.col("code").isin(*POLICY_TYPES)),
+                                       {"polty_id": "pt_id", "description": "policy_type"}),
+        f"policy_status:{c}": lambda: sel(localised(t.prd_d_cl_policy_status, c),
+                                         {"polst_id": "ps_id", "code": "ps_code", "name": "ps_name",
+                                          "description": "ps_desc"}),
+        f"book_unit:{c}": lambda: sel(localised(t.par_d_cl_org_unit, c),
+                                     {"orgunit_id": "ou_id", "code": "ou_code", "abbrev": "ou_abbrev",
+                                      "name": "ou_name"}),
+        "product": lambda: sel(t.prd_d_product, {"prod_id": "pr_id", "code": "pr_code", "name": "pr_name",
+                                                 "brand_brand_id": "pr_brand", "sysown_sysown_id": "pr_sysown"}),
+        f"brand:{c}": lambda: sel(localised(t.prd_d_cl_brand, c),
+                                 {"brand_id": "br_id", "brand_code": "brand_class_code",
+                                  "brand_name": "brand_class_name"}),
+        f"currency:{c}": lambda: sel(localised(t.pay_d_cl_currency, c),
+                                    {"ccurr_id": "curr_id", "code": "policy_currency"}),
+        "rate_by_id": lambda: sel(latest_rates(t.pay_d_exchange, t.pay_t_cis_mena),
+                                  {"ccurr_ccurr_id": "xr_ccy", "xRate": "Exchange_Rate"}),
+        f"payment_method:{c}": lambda: sel(localised(t.pay_d_cl_payment_method, c),
+                                          {"cpaymeth_id": "pmt_id", "description": "payment_method"}),
+        "change_link": lambda: sel(t.pol_d_changetype, {"chty_id": "cht_id", "chngty_chngty_id": "cht_type"}),
+        f"change_type:{c}": lambda: sel(localised(t.pol_d_cl_change_type, c),
+                                       {"chngty_id": "ccht_id", "code": "ccht_code", "name": "ccht_name",
+                                        "description": "ccht_desc"}),
+        f"coinsurance_type:{c}": lambda: sel(localised(t.prd_d_cl_coinsurance_type, c),
+                                            {"coinsty_id": "ct_id", "code": "ct_code"}),
+        "version_change_link": lambda: sel(t.inc_t_zmena_typy, {"zme_id": "zt2_id", "czmet_czmet_id": "zt2_czmet"}),
+        "version_change_type": lambda: sel(localised(t.inc_v_cis_zmena_typ, FIXED_CULTURE),
+                                           {"czmet_id": "c2_id", "popis": "c2_popis", "skratka": "c2_skratka"}),
+        f"sales_channel:{c}": lambda: sel(localised(t.par_d_cl_sale_channel, c),
+                                         {"schann_id": "sal_id", "code": "sales_channel_code",
+                                          "name": "sales_channel_name", "description": "sales_channel_desc"}),
+    }
+
+
+def _dim(t: Tables, key: str, c: int = FIXED_CULTURE) -> DataFrame:
+    return t.dims({key: _code_lists(t, c)[key]})[key]
+
+
 def _rzml_relation_ids(t: Tables) -> DataFrame:
-    rel = localised(current(t.par_d_cl_relation), FIXED_CULTURE).where(F.col("code") == GROUP_RELATION)
-    return broadcast_if_small(rel.select("crel_id"))
+    return _dim(t, "rzml_relation")
 
 
 def _rzml_link_ids(t: Tables) -> DataFrame:
-    v = current(t.par_t_cis_vztah, "platny").where(F.col("vztah_kod") == GROUP_RELATION)
-    return broadcast_if_small(v.select("vztah_id"))
+    return _dim(t, "rzml_link")
 
 
 def covers(t: Tables) -> DataFrame:
@@ -81,8 +131,8 @@ def commission_by_split(t: Tables, rates: RateTable) -> DataFrame:
     """P-13: per premium split, the net commission of agents whose type creates
     pay-outs -- in original currency and converted to the agent's currency at the
     case date (NULL -> 0 per reward; a case without rewards gives 0)."""
-    paying_types = t.cms_t_cis_spolupracovnik_typ.where(F.col("create_pay_out") == 1).select("cspolty_id")
-    agents = semi(t.cms_t_spolupracovnik, broadcast_if_small(paying_types),
+    paying_types = _dim(t, "paying_agent_types")
+    agents = semi(t.cms_t_spolupracovnik, paying_types,
                   F.col("cspolty_cspolty_id") == F.col("cspolty_id")).select("spoluprac_id")
     rewards = current(t.cms_t_odmena, "platny").where(F.col("suma_netto") != 0)
     rewards = semi(rewards, agents, F.col("spolupracovnik") == F.col("spoluprac_id"))
@@ -107,8 +157,8 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     tx = semi(tx, com, F.col("vznik_id") == F.col("trans_id"))
     tx = semi(tx, com, F.col("zmena_id") == F.col("trans_id"))
     acc = current(t.pay_t_ucet, "platny")
-    otype = t.com_t_cis_object_type.where(F.col("code") == CONTRACT_OBJECT_TYPE).select("objtyp_id")
-    acc = semi(acc, broadcast_if_small(otype), F.col("id_tab_obj") == F.col("objtyp_id"))
+    otype = _dim(t, "contract_object_type")
+    acc = semi(acc, otype, F.col("id_tab_obj") == F.col("objtyp_id"))
     contracts = current(t.inc_t_zmluvy, "platny")
     groups = semi(t.inc_t_zml_vazby, _rzml_link_ids(t), F.col("vztah_vztah_id") == F.col("vztah_id"))
     contracts = null_aware_anti(contracts, "zml_id", groups, "ku_zmluve_id",
@@ -243,8 +293,7 @@ def certificates(t: Tables, policy_id: int | None) -> DataFrame:
     c = current(t.pol_d_cover)
     if policy_id is not None:
         c = c.where(F.col("policy_policy_id") == F.lit(policy_id))
-    status = localised(t.prd_d_cl_policy_status, FIXED_CULTURE).select("polst_id")
-    c = semi(c, broadcast_if_small(status), F.col("polst_polst_id") == F.col("polst_id"))
+    c = semi(c, _dim(t, "certificate_status"), F.col("polst_polst_id") == F.col("polst_id"))
     c = semi(c, t.prd_d_element.select("elm_id"), F.col("elm_elm_id") == F.col("elm_id"))
     pp = t.pol_d_cover_parameter.select("cover_cover_id", "elmprm_elmprm_id", F.col("value").alias("pp_value"))
     ep = t.prd_d_element_parameter.select("elmprm_id", "param_param_id")
@@ -266,7 +315,8 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
     """R-04: one row per policy version change with gross/net premium, commission,
     co-insurance share, endorsement classification and certificate numbers."""
     c = p.culture_id
-    rates = RateTable(t.pay_d_exchange)
+    dims = t.dims(_code_lists(t, c))          # one size-check job for every code list
+    rates = RateTable(t.pay_d_exchange, size_check=t.dims)
     prem = premium_level2(premium_level1(premium_movements(t, p, rates)))
     prem = prem.select(*[F.col(x).alias("pm_" + x) for x in prem.columns])
 
@@ -274,30 +324,11 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
     j = interval_join(prem, pol, [("pm_policy_id", "policy_id")],
                       F.col("pm_to_date").cast(TS), "date_version_from", "date_version_to", "inner")
 
-    def dim(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-        return broadcast_if_small(df.select(*[F.col(k).alias(v) for k, v in cols.items()]))
-
-    pt = dim(localised(t.pol_d_cl_policy_type, c).where(F.col("code").isin(*POLICY_TYPES)),
-             {"polty_id": "pt_id", "description": "policy_type"})
-    ps = dim(localised(t.prd_d_cl_policy_status, c),
-             {"polst_id": "ps_id", "code": "ps_code", "name": "ps_name", "description": "ps_desc"})
-    ou = dim(localised(t.par_d_cl_org_unit, c),
-             {"orgunit_id": "ou_id", "code": "ou_code", "abbrev": "ou_abbrev", "name": "ou_name"})
-    pr = dim(t.prd_d_product, {"prod_id": "pr_id", "code": "pr_code", "name": "pr_name",
-                               "brand_brand_id": "pr_brand", "sysown_sysown_id": "pr_sysown"})
-    br = dim(localised(t.prd_d_cl_brand, c),
-             {"brand_id": "br_id", "brand_code": "brand_class_code", "brand_name": "brand_class_name"})
-    curr = dim(localised(t.pay_d_cl_currency, c), {"ccurr_id": "curr_id", "code": "policy_currency"})
-    xr = dim(latest_rates(t.pay_d_exchange, t.pay_t_cis_mena),
-             {"ccurr_ccurr_id": "xr_ccy", "xRate": "Exchange_Rate"})
-    pm = dim(localised(t.pay_d_cl_payment_method, c), {"cpaymeth_id": "pmt_id", "description": "payment_method"})
-    cht = dim(t.pol_d_changetype, {"chty_id": "cht_id", "chngty_chngty_id": "cht_type"})
-    ccht = dim(localised(t.pol_d_cl_change_type, c),
-               {"chngty_id": "ccht_id", "code": "ccht_code", "name": "ccht_name", "description": "ccht_desc"})
-    ct = dim(localised(t.prd_d_cl_coinsurance_type, c), {"coinsty_id": "ct_id", "code": "ct_code"})
-    zt2 = dim(t.inc_t_zmena_typy, {"zme_id": "zt2_id", "czmet_czmet_id": "zt2_czmet"})
-    c2 = dim(localised(t.inc_v_cis_zmena_typ, FIXED_CULTURE),
-             {"czmet_id": "c2_id", "popis": "c2_popis", "skratka": "c2_skratka"})
+    pt, ps, ou = dims[f"policy_type:{c}"], dims[f"policy_status:{c}"], dims[f"book_unit:{c}"]
+    pr, br, curr = dims["product"], dims[f"brand:{c}"], dims[f"currency:{c}"]
+    xr, pm, cht = dims["rate_by_id"], dims[f"payment_method:{c}"], dims["change_link"]
+    ccht, ct = dims[f"change_type:{c}"], dims[f"coinsurance_type:{c}"]
+    zt2, c2 = dims["version_change_link"], dims["version_change_type"]
     orig_change = t.inc_t_zmluvy_h.select(F.col("zmlh_id").alias("oc_id"), F.col("zme_zme_id").alias("oc_zme"))
 
     col = F.col
@@ -338,9 +369,7 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
                 & (col("e_endors_date") == col("pm_creation_date")), "left")
          .join(ifn, (col("f_policy_id") == col("pm_policy_id")) & (col("f_date") == col("pm_creation_date")),
                "left"))
-    sal = dim(localised(t.par_d_cl_sale_channel, c),
-              {"schann_id": "sal_id", "code": "sales_channel_code", "name": "sales_channel_name",
-               "description": "sales_channel_desc"})
+    sal = dims[f"sales_channel:{c}"]
     j = j.join(sal, col("e_sales_channel_id") == col("sal_id"), "left")
     j = j.withColumn("_ver_policy", F.coalesce("e_policy_id", "policy_id")) \
          .withColumn("_ver_id", F.coalesce("e_policyh_id", "policyh_id"))
@@ -372,14 +401,13 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
     # currency conversions at the premium's due date
     j = j.withColumn("_at", col("pm_to_date").cast(TS))
     j = rates.with_rate(j, "curr_id", "_at", "_r_pol")
-    j = j.withColumn("_ghs", F.lit(GHS_CCY_ID).cast("bigint"))
-    j = rates.with_rate(j, "_ghs", "_at", "_r_ghs")
+    j = rates.with_rate(j, GHS_CCY_ID, "_at", "_r_ghs")
 
     def to_home(amount: Column) -> Column:
         return converted(amount, "curr_id", F.lit(HOME_CCY_ID).cast("bigint"), "_r_pol", F.lit(1))
 
     def to_ghs(amount: Column) -> Column:
-        return converted(amount, "curr_id", "_ghs", "_r_pol", "_r_ghs")
+        return converted(amount, "curr_id", F.lit(GHS_CCY_ID).cast("bigint"), "_r_pol", "_r_ghs")
 
     status = F.coalesce("e_policy_status_code", "ps_code")
     change = F.coalesce("e_change_type_code", "ccht_code")

@@ -27,6 +27,7 @@ class Tables:
         self.spark = spark
         self._loader = loader
         self._cache: dict[str, DataFrame] = {}
+        self._dims: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         key = name.lower()
@@ -39,6 +40,15 @@ class Tables:
             raise AttributeError(name)
         return self[name]
 
+    def dims(self, builders: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        """Small dimension frames, each broadcast only if a size check proved it
+        small.  All frames not seen before are checked with one Spark job; the
+        decisions are memoised per key for this set of tables."""
+        from ..operators.joins import broadcast_small
+        missing = {k: b() for k, b in builders.items() if k not in self._dims}
+        self._dims.update(broadcast_small(missing))
+        return {k: self._dims[k] for k in builders}
+
     def with_overrides(self, frames: Mapping[str, DataFrame]) -> "Tables":
         """Same tables, with some replaced (used by unit tests)."""
         base = self

@@ -21,8 +21,11 @@ from . import claims_sql
 
 @dataclass(frozen=True)
 class Query:
-    spark: Callable[[SparkSession, str], DataFrame]
-    oracle: Callable[[], str] | None
+    build: Callable[[Tables], DataFrame]          # the query over any set of logical tables
+    oracle: Callable[[], str] | None              # DuckDB SQL over the driver-derived tables
+
+    def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return self.build(tables(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {}
@@ -33,8 +36,8 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables.from_driver_data(spark, sf_dir)
 
 
-def register(name: str, spark_fn, oracle_fn=None) -> None:
-    QUERIES[name] = Query(spark_fn, oracle_fn)
+def register(name: str, build, oracle_fn=None) -> None:
+    QUERIES[name] = Query(build, oracle_fn)
 
 
 D = dt.datetime
@@ -42,31 +45,31 @@ D = dt.datetime
 # ----------------------------------------------------------------- reports
 _r01 = ClaimsReportedParams(date_from=D(1998, 1, 1), date_to=D(1998, 12, 31))
 register("claims_reported",
-         lambda s, d: claims.claims_reported(tables(s, d), _r01),
+         lambda t: claims.claims_reported(t, _r01),
          lambda: claims_sql.claims_reported(date_from=_r01.date_from, date_to=_r01.date_to))
 _r01d = ClaimsReportedParams(branch="R3", department="N3", product="MA%",
                              date_from=D(1996, 1, 1), date_to=D(1999, 12, 31, 12, 0))
 register("claims_reported_department",
-         lambda s, d: claims.claims_reported(tables(s, d), _r01d),
+         lambda t: claims.claims_reported(t, _r01d),
          lambda: claims_sql.claims_reported(branch="R3", department="N3", product="MA%",
                                             date_from=_r01d.date_from, date_to=_r01d.date_to))
 _r02 = ClaimsOutstandingParams(as_at=D(1998, 7, 1), run_ts=D(2002, 1, 1))
 register("claims_outstanding",
-         lambda s, d: claims.claims_outstanding(tables(s, d), _r02),
+         lambda t: claims.claims_outstanding(t, _r02),
          lambda: claims_sql.claims_outstanding(as_at=_r02.as_at, run_ts=_r02.run_ts))
 _r02d = ClaimsOutstandingParams(department="N7", product="", as_at=D(1999, 3, 15), run_ts=D(2002, 1, 1))
 register("claims_outstanding_department",
-         lambda s, d: claims.claims_outstanding(tables(s, d), _r02d),
+         lambda t: claims.claims_outstanding(t, _r02d),
          lambda: claims_sql.claims_outstanding(department="N7", product="", as_at=_r02d.as_at,
                                                run_ts=_r02d.run_ts))
 _r03 = ClaimsSettledParams(class_code="%", product="%", date_from=D(1997, 1, 1), date_to=D(1998, 12, 31))
 register("claims_settled",
-         lambda s, d: claims.claims_settled(tables(s, d), _r03),
+         lambda t: claims.claims_settled(t, _r03),
          lambda: claims_sql.claims_settled(class_code="%", product="%", date_from=_r03.date_from,
                                            date_to=_r03.date_to))
 _r03o = ClaimsSettledParams(branch="N4", date_from=D(1998, 1, 1), date_to=None)
 register("claims_settled_open_end",
-         lambda s, d: claims.claims_settled(tables(s, d), _r03o),
+         lambda t: claims.claims_settled(t, _r03o),
          lambda: claims_sql.claims_settled(branch="N4", date_from=_r03o.date_from, date_to=None))
 
 # -------------------------------------------------------- daily production
@@ -78,7 +81,7 @@ from . import production_sql  # noqa: E402
 
 def _prod(name: str, **kw) -> None:
     params = DailyProductionParams(**kw)
-    register(name, lambda s, d: production.daily_production(tables(s, d), params),
+    register(name, lambda t: production.daily_production(t, params),
              lambda: production_sql.daily_production(**kw))
 
 
