@@ -57,17 +57,22 @@ def or_equi_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_
     dropped, duplicates removed so a row matching through both keys is emitted
     once, like the OR join), exploded, and joined on equality: a hash or
     sort-merge join on ``right_key``.  ``how`` may be ``inner`` or ``left``; for
-    ``left`` a row without any candidate key is kept once with NULLs."""
+    ``left`` the rows none of whose keys match (found by one anti join per key)
+    are added once, padded with NULLs."""
+    if how not in ("inner", "left"):
+        raise ValueError("or_equi_join supports inner and left")
     cands = F.array_distinct(F.filter(F.array(*[F.col(k) for k in left_keys]),
                                       lambda x: x.isNotNull()))
+    exploded = left.withColumn(key_alias, F.explode(cands))
+    matched = exploded.join(right, F.col(key_alias) == right[right_key], "inner").drop(key_alias)
     if how == "inner":
-        exploded = left.withColumn(key_alias, F.explode(cands))
-    elif how == "left":
-        exploded = left.withColumn(key_alias, F.explode_outer(cands))
-    else:
-        raise ValueError("or_equi_join supports inner and left")
-    out = exploded.join(right, F.col(key_alias) == right[right_key], how)
-    return out.drop(key_alias)
+        return matched
+    keys = right.select(F.col(right_key).alias(key_alias))
+    unmatched = left
+    for k in left_keys:
+        unmatched = unmatched.join(keys, unmatched[k] == keys[key_alias], "left_anti")
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return matched.unionByName(unmatched.select(*left.columns, *pad))
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]],
