@@ -73,7 +73,12 @@ class DailyProductionParams:
     ``certificate_policy_id``: the certificate pivot is computed for this
     policy only (the reference's pinned id); ``None`` = every policy.
     ``fix_group_exclusion``: NOT IN over group ids without a NULL guard empties
-    the report when one NULL id exists; ``True`` ignores NULL ids."""
+    the report when one NULL id exists; ``True`` ignores NULL ids.
+    ``fix_commission_nulls``: splits without commission drop out of
+    ``SUM(gross - commission)``; ``True`` counts their commission as 0.
+    ``fix_period_end``: transactions created the day after ``date_to`` are
+    scanned (and can be summed into groups kept for other rows); ``True``
+    stops the scan at ``date_to``."""
     sysown_id: int | None = 2
     branch: str | None = None
     dept: str | None = None            # accepted, never read
@@ -87,3 +92,5 @@ class DailyProductionParams:
     user_id: int | None = None         # accepted, never read
     certificate_policy_id: int | None = CERTIFICATE_POLICY_ID
     fix_group_exclusion: bool = False
+    fix_commission_nulls: bool = False   # count a missing commission as 0 in the net sums
+    fix_period_end: bool = False         # do not scan one day past date_to

@@ -152,7 +152,8 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     """P-10: one row per valid prescribed transaction split, with signed amounts,
     versions, commission, periods and in-period flags."""
     tx = current(t.pay_t_transakcia, "platny").where(F.col("predpis") == 1)
-    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to, extra_days=1))
+    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to,
+                                    extra_days=0 if p.fix_period_end else 1))
     com = t.com_t_transaction.select("trans_id")
     tx = semi(tx, com, F.col("vznik_id") == F.col("trans_id"))
     tx = semi(tx, com, F.col("zmena_id") == F.col("trans_id"))
@@ -212,7 +213,9 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
         F.coalesce(F.col("tr_suma") * sign, F.lit(0)).cast(D4).alias("premium_gross"),
         F.coalesce(F.col("tr_home") * sign, F.lit(0)).cast(D4).alias("premium_gross_home"),
         F.col("transa_id"),
-        F.col("broker_commission_home"), F.col("broker_commission"),
+        *([F.coalesce("broker_commission_home", F.lit(0).cast(D6)).alias("broker_commission_home"),
+           F.coalesce("broker_commission", F.lit(0).cast(D4)).alias("broker_commission")]
+          if p.fix_commission_nulls else [F.col("broker_commission_home"), F.col("broker_commission")]),
         F.coalesce("zh2_renewal", "zh2_start", "z_renewal", "z_start").alias("period_from"),
         F.coalesce("zh2_cur_end", "zh2_end", "z_cur_end", "z_end").alias("period_to"),
         F.coalesce("zh_renewal", "zh_concl", "z_renewal", "z_concl").alias("policy_conclusion"),

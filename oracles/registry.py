@@ -89,6 +89,8 @@ _prod("daily_production_c", basic_date="C", date_from=D(1996, 1, 1), date_to=D(1
 _prod("daily_production_a", basic_date="A", sysown_id=None, marketer="K01",
       date_from=D(1997, 1, 1), date_to=D(1997, 12, 31))
 _prod("daily_production_i", basic_date="I", class_code="MO", date_from=D(1996, 6, 1), date_to=D(1999, 6, 30))
+_prod("daily_production_fixed", basic_date="C", branch="DP3", date_from=D(1996, 1, 1), date_to=D(1998, 12, 31),
+      certificate_policy_id=None, fix_group_exclusion=True, fix_commission_nulls=True, fix_period_end=True)
 
 # ------------------------------------------------- operator-level queries
 from .operator_queries import Q as _OPS  # noqa: E402
