@@ -75,23 +75,56 @@ def or_equi_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_
     return matched.unionByName(unmatched.select(*left.columns, *pad))
 
 
+def _month(c: Column) -> Column:
+    return F.year(c) * 12 + F.month(c)
+
+
 def interval_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]],
                   point: str | Column, start: str, end: str, how: str = "inner",
-                  inclusive_end: bool = True) -> DataFrame:
+                  inclusive_end: bool = True, bucket_months: int | None = 36) -> DataFrame:
     """J-08: equi keys plus ``start <= point <= end`` (or ``< end``).
 
-    The equality keys keep it a hash / sort-merge join (the range is a residual
-    predicate), so no nested loop is planned.  Boundary overlaps (one version
-    ending the day the next starts) match both and duplicate rows, as the
-    reference's BETWEEN does."""
+    Boundary overlaps (one version ending the day the next starts) match both
+    and duplicate rows, as the reference's BETWEEN does.
+
+    With the range as a plain residual, a key holding many intervals (a hot
+    policy with thousands of versions) would compare every fact of the key
+    with every interval.  So intervals spanning at most ``bucket_months``
+    calendar months are exploded over those months and joined on (keys,
+    month of the point); only the few long or open-ended intervals of a key
+    are joined on the keys alone.  Every match is found exactly once.  For
+    ``how="left"`` the facts matching neither side are added once, padded
+    with NULLs.  ``bucket_months=None`` plans the plain equi + range join."""
     p = F.col(point) if isinstance(point, str) else point
-    cond = None
-    for lk, rk in keys:
-        c = left[lk] == right[rk]
-        cond = c if cond is None else cond & c
-    upper = (p <= right[end]) if inclusive_end else (p < right[end])
-    cond = cond & (p >= right[start]) & upper
-    return left.join(right, cond, how)
+    if how not in ("inner", "left"):
+        raise ValueError("interval_join supports inner and left")
+
+    def cond(l_df, r_df, extra=None):
+        c = None
+        for lk, rk in keys:
+            e = l_df[lk] == r_df[rk]
+            c = e if c is None else c & e
+        upper = (p <= r_df[end]) if inclusive_end else (p < r_df[end])
+        c = c & (p >= r_df[start]) & upper
+        return c if extra is None else c & extra
+
+    if bucket_months is None:
+        return left.join(right, cond(left, right), how)
+
+    span = _month(F.col(end)) - _month(F.col(start))
+    short = right.where(F.col(end).isNotNull() & (span <= bucket_months)) \
+                 .withColumn("_iv_m", F.explode(F.sequence(_month(F.col(start)), _month(F.col(end)))))
+    long_ = right.where(F.col(end).isNull() | (span > bucket_months))
+    probe = left.withColumn("_iv_p", _month(p))
+    hit_short = probe.join(short, cond(probe, short, F.col("_iv_p") == short["_iv_m"]), "inner").drop("_iv_m")
+    hit_long = probe.join(long_, cond(probe, long_), "inner")
+    matched = hit_short.unionByName(hit_long).drop("_iv_p")
+    if how == "inner":
+        return matched
+    miss = probe.join(short, cond(probe, short, F.col("_iv_p") == short["_iv_m"]), "left_anti") \
+                .join(long_, cond(probe, long_), "left_anti").drop("_iv_p")
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return matched.unionByName(miss.select(*left.columns, *pad))
 
 
 def null_aware_anti(left: DataFrame, left_key: str, values: DataFrame, value_col: str,

@@ -169,3 +169,26 @@ def test_open_at_sentinel(spark):
                                "code string, settled timestamp_ntz")
     flags = [r.o for r in df.select(E.open_at("code", "settled", D(2020, 1, 1), ("R", "SP", "ZO")).alias("o")).collect()]
     assert flags == [False, True, True, False]
+
+
+def test_bucketed_interval_join_equals_plain(spark):
+    random.seed(3)
+    versions, vid = [], 0
+    for key in range(6):
+        day = D(2000, 1, 1)
+        for _ in range(random.randint(1, 12)):
+            span = random.choice([0, 5, 40, 400, 2000])
+            nxt = day + dt.timedelta(days=span)
+            versions.append((key, vid, day, nxt)); vid += 1
+            day = nxt
+        versions.append((key, vid, day, random.choice([None, D(9999, 12, 31)]))); vid += 1
+    facts = [(i, random.randint(0, 6), D(2000, 1, 1) + dt.timedelta(days=random.randint(-30, 9000)))
+             for i in range(400)]
+    v = spark.createDataFrame(versions, "k long, vid long, f timestamp_ntz, t timestamp_ntz")
+    f = spark.createDataFrame(facts, "id int, key long, at timestamp_ntz")
+    for how in ("inner", "left"):
+        for incl in (True, False):
+            got = J.interval_join(f, v, [("key", "k")], "at", "f", "t", how, incl, bucket_months=6)
+            ref = J.interval_join(f, v, [("key", "k")], "at", "f", "t", how, incl, bucket_months=None)
+            cols = ["id", "vid"]
+            assert sorted(got.select(*cols).collect()) == sorted(ref.select(*cols).collect()), (how, incl)
