@@ -153,6 +153,39 @@ def branch_arm(core: DataFrame) -> DataFrame:
         F.col("u_level_name").alias("branch_level_name"))
 
 
+def both_arms(t: Tables, culture_id: int, core: DataFrame, arm1_filter=None, arm2_filter=None) -> DataFrame:
+    """U-01: ``department_arm UNION ALL branch_arm`` from a single pass over the claims.
+
+    Each claim row carries an array of (at most two) arm structs -- the department
+    reading when its unit is below level 1, the branch reading always -- which is
+    exploded; so the claim table and its joins are read once, not once per arm.
+    ``arm1_filter`` / ``arm2_filter`` are predicates over the arm's output columns."""
+    par = org_units(t, culture_id)
+    parent = par.select(*[F.col(c).alias("p" + c) for c in par.columns])
+    j = core.join(parent, F.col("u_parent") == F.col("pu_id"), "left")
+    dept = F.struct(F.col("u_code").alias("department"), F.col("u_abbrev").alias("department_code"),
+                    F.col("u_name").alias("department_name"), F.col("u_level_no").alias("department_level_no"),
+                    F.col("u_level_name").alias("department_level_name"), F.col("pu_code").alias("branch"),
+                    F.col("pu_abbrev").alias("branch_code"), F.col("pu_name").alias("branch_name"),
+                    F.col("pu_level_no").alias("branch_level_no"),
+                    F.col("pu_level_name").alias("branch_level_name"))
+    own = F.struct(typed_null(STR).alias("department"), typed_null(STR).alias("department_code"),
+                   typed_null(STR).alias("department_name"),
+                   typed_null(T.IntegerType()).alias("department_level_no"),
+                   typed_null(STR).alias("department_level_name"), F.col("u_code").alias("branch"),
+                   F.col("u_abbrev").alias("branch_code"), F.col("u_name").alias("branch_name"),
+                   F.col("u_level_no").alias("branch_level_no"), F.col("u_level_name").alias("branch_level_name"))
+    arms = F.array(F.when(F.col("u_level_no") > 1, dept), own)
+    out = (j.select(*_CORE_COLS, F.explode(arms).alias("_arm")).where(F.col("_arm").isNotNull())
+           .select(*_CORE_COLS, F.col("_arm.*"), F.col("_arm.department_level_no").isNotNull().alias("_is_dept")))
+    # arm 1 rows have a department level (always > 1); arm 2 rows never do
+    if arm1_filter is not None:
+        out = out.where(~F.col("_is_dept") | arm1_filter)
+    if arm2_filter is not None:
+        out = out.where(F.col("_is_dept") | arm2_filter)
+    return out.drop("_is_dept")
+
+
 def claim_officer(t: Tables) -> DataFrame:
     """P-03: claim -> adjuster partner (valid, inner) -> physical / legal person (valid, left)."""
     clm = current(t.clm_d_claim).select("claim_id", "adjuster")
@@ -354,17 +387,18 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     core = claim_core(t, p.culture_id)
     state = (open_at("claim_status_code", "settlement_date", p.as_at, OPEN_STATUS_CODES)
              & before_next_day("registration_date", p.as_at))
-    arms = []
+    core = core.where(state)
     dept_arm_on = (p.department is not None) if p.fix_arms else True
-    if dept_arm_on:
-        a1 = department_arm(t, p.culture_id, core)
+    if dept_arm_on and p.department is None:
+        # both arms: one pass, arm 2 filtered on the optional branch
+        base = both_arms(t, p.culture_id, core, arm2_filter=optional_eq("branch_code", p.branch))
+    elif dept_arm_on:
+        base = department_arm(t, p.culture_id, core)
         if p.fix_arms:
-            a1 = where_all(a1, optional_eq("branch_code", p.branch),
-                           F.col("department_code") == F.lit(p.department))
-        arms.append(a1.where(state))
-    if p.department is None:
-        arms.append(where_all(branch_arm(core), optional_eq("branch_code", p.branch), state))
-    base = arms[0] if len(arms) == 1 else arms[0].unionByName(arms[1])
+            base = where_all(base, optional_eq("branch_code", p.branch),
+                             F.col("department_code") == F.lit(p.department))
+    else:
+        base = where_all(branch_arm(core), optional_eq("branch_code", p.branch))
 
     j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product))
     j = j.join(_group(t, p.culture_id), F.col("pol_policy_id") == F.col("gp_policy_id"), "left")

@@ -31,3 +31,10 @@ def test_entry_runs(spark):
     df = entry_mod.entry(spark)
     assert len(df.columns) == 73
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_nested_loop_or_cartesian(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert "CartesianProduct" not in plan
