@@ -36,12 +36,14 @@ def broadcast_small(frames: Mapping[str, DataFrame],
                     max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:
     """``broadcast_if_small`` for several candidate sides with a single Spark job.
 
-    Each frame contributes at most ``max_rows + 1`` tagged rows to one union,
-    whose per-tag counts (one small row per frame) come back to the driver."""
+    Every frame contributes one tag column (no data columns, so scans read
+    only what their filters need) to one union; a grouped count with partial
+    aggregation gives the exact row count of each frame in a single shuffle
+    stage, and only those counts (one row per frame) reach the driver."""
     names = list(frames)
     if not names:
         return {}
-    tagged = [frames[n].limit(max_rows + 1).select(F.lit(i).alias("_tag")) for i, n in enumerate(names)]
+    tagged = [frames[n].select(F.lit(i).alias("_tag")) for i, n in enumerate(names)]
     counts = {r["_tag"]: r["n"] for r in reduce(DataFrame.unionAll, tagged)
               .groupBy("_tag").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {n: (F.broadcast(frames[n]) if counts.get(i, 0) <= max_rows else frames[n])
@@ -88,43 +90,40 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]
     and duplicate rows, as the reference's BETWEEN does.
 
     With the range as a plain residual, a key holding many intervals (a hot
-    policy with thousands of versions) would compare every fact of the key
-    with every interval.  So intervals spanning at most ``bucket_months``
-    calendar months are exploded over those months and joined on (keys,
-    month of the point); only the few long or open-ended intervals of a key
-    are joined on the keys alone.  Every match is found exactly once.  For
-    ``how="left"`` the facts matching neither side are added once, padded
-    with NULLs.  ``bucket_months=None`` plans the plain equi + range join."""
+    policy with thousands of versions) compares every fact of the key with
+    every interval.  For inner joins, intervals spanning at most
+    ``bucket_months`` calendar months are exploded over those months, the
+    few long or open-ended ones get the bucket -1, and every fact probes both
+    its month and -1: one equi join on (keys, bucket) + range residual, each
+    match found exactly once, candidates per probe bounded by about one
+    month of intervals plus the key's long ones.  Left joins (and
+    ``bucket_months=None``) use the plain equi + range join: a left join
+    would need a second pass over the facts to add the unmatched ones, and it
+    is used where the key's intervals are one contract's own versions."""
     p = F.col(point) if isinstance(point, str) else point
     if how not in ("inner", "left"):
         raise ValueError("interval_join supports inner and left")
-
-    def cond(l_df, r_df, extra=None):
-        c = None
+    upper = (p <= right[end]) if inclusive_end else (p < right[end])
+    rng = (p >= right[start]) & upper
+    if bucket_months is None or how == "left":
+        cond = None
         for lk, rk in keys:
-            e = l_df[lk] == r_df[rk]
-            c = e if c is None else c & e
-        upper = (p <= r_df[end]) if inclusive_end else (p < r_df[end])
-        c = c & (p >= r_df[start]) & upper
-        return c if extra is None else c & extra
-
-    if bucket_months is None:
-        return left.join(right, cond(left, right), how)
+            e = left[lk] == right[rk]
+            cond = e if cond is None else cond & e
+        return left.join(right, cond & rng, how)
 
     span = _month(F.col(end)) - _month(F.col(start))
-    short = right.where(F.col(end).isNotNull() & (span <= bucket_months)) \
-                 .withColumn("_iv_m", F.explode(F.sequence(_month(F.col(start)), _month(F.col(end)))))
-    long_ = right.where(F.col(end).isNull() | (span > bucket_months))
-    probe = left.withColumn("_iv_p", _month(p))
-    hit_short = probe.join(short, cond(probe, short, F.col("_iv_p") == short["_iv_m"]), "inner").drop("_iv_m")
-    hit_long = probe.join(long_, cond(probe, long_), "inner")
-    matched = hit_short.unionByName(hit_long).drop("_iv_p")
-    if how == "inner":
-        return matched
-    miss = probe.join(short, cond(probe, short, F.col("_iv_p") == short["_iv_m"]), "left_anti") \
-                .join(long_, cond(probe, long_), "left_anti").drop("_iv_p")
-    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.unionByName(miss.select(*left.columns, *pad))
+    is_short = F.col(end).isNotNull() & (span <= bucket_months)
+    buckets = F.when(is_short, F.sequence(_month(F.col(start)), _month(F.col(end)))) \
+               .otherwise(F.array(F.lit(-1)))
+    r = right.withColumn("_iv_b", F.explode(buckets))
+    probe = left.withColumn("_iv_b", F.explode(F.array(_month(p), F.lit(-1))))
+    cond = probe["_iv_b"] == r["_iv_b"]
+    for lk, rk in keys:
+        cond = cond & (probe[lk] == r[rk])
+    upper = (p <= r[end]) if inclusive_end else (p < r[end])
+    cond = cond & (p >= r[start]) & upper
+    return probe.join(r, cond, "inner").drop(probe["_iv_b"]).drop(r["_iv_b"])
 
 
 def null_aware_anti(left: DataFrame, left_key: str, values: DataFrame, value_col: str,
