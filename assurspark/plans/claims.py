@@ -11,6 +11,8 @@ partial aggregate before they are joined.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from ..operators.aggregates import latest_per_key, span_per_key
 from ..operators.currency import latest_rates
 from ..operators.joins import or_equi_join
 from ..sources.catalog import Tables
+from ..sources.layout import prune_months
 from .params import ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams
 
 # fixed values: codes the claims reports test
@@ -92,9 +95,13 @@ def org_units(t: Tables, culture_id: int) -> DataFrame:
     return claim_dims(t, culture_id)[f"units:{culture_id}"]
 
 
-def claim_core(t: Tables, culture_id: int) -> DataFrame:
-    """Valid claims with status, administering unit and (valid) loss notification."""
-    clm = current(t.clm_d_claim)
+def claim_core(t: Tables, culture_id: int, notified_from=None, notified_to=None) -> DataFrame:
+    """Valid claims with status, administering unit and (valid) loss notification.
+
+    ``notified_from`` / ``notified_to``: inclusive notification-date bounds the
+    caller filters on; they only prune month partitions of a partitioned claim
+    table (the caller's own predicate stays the exact filter)."""
+    clm = prune_months(current(t.clm_d_claim), "clm_d_claim", notified_from, notified_to)
     cst = claim_dims(t, culture_id)[f"claim_status:{culture_id}"]
     units = org_units(t, culture_id)
     losn = current(t.clm_d_loss_notification).select(
@@ -311,7 +318,7 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
     The two arms of the reference are mutually exclusive on the department
     parameter (equality with NULL is unknown), so only one is planned."""
     claim_dims(t, p.culture_id)
-    core = claim_core(t, p.culture_id)
+    core = claim_core(t, p.culture_id, p.date_from, p.date_to)
     period = between_or_fallback("notification_date", p.date_from, p.date_to, "LOSS_DATE")
     if p.department is not None:
         base = department_arm(t, p.culture_id, core)
@@ -501,10 +508,13 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     dims = claim_dims(t, p.culture_id, settled=True)
     vst, pm = dims["payout_status"], dims[f"payment_form:{p.culture_id}"]
     tx = t.pay_t_transakcia.select(
+        *[c for c in ("created_month",) if c in t.pay_t_transakcia.columns],
         F.col("transa_id"), F.col("id_riad_zdroj"), F.col("cmenak_cmenak_id"),
         F.col("datum_vytvorenia").alias("approval_date"), F.col("suma").alias("trans_suma"),
         F.col("sum_home_currency").alias("payout_amount_hc"))
     tx = tx.where(half_open_days("approval_date", p.date_from, p.date_to, p.fix_open_end))
+    tx = prune_months(tx, "pay_t_transakcia", p.date_from,
+                      None if p.date_to is None else p.date_to + _dt.timedelta(days=1))
     cc = t.ina_t_pln_adresati.select(F.col("plnadr_id"), F.col("pupar_pupar_id").alias("cc_pupar"))
     pun = current(t.ina_t_pu_naklady, "platny").select(
         F.col("punakl_id"), F.col("pupar_pupar_id").alias("pun_pupar"))

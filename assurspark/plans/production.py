@@ -25,6 +25,7 @@ from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
 from ..operators.currency import GHS_CCY_ID, HOME_CCY_ID, RateTable, converted, latest_rates
 from ..operators.joins import interval_join, null_aware_anti, semi
 from ..sources.catalog import Tables
+from ..sources.layout import prune_months
 from .params import DailyProductionParams
 
 # fixed values: codes the production report tests
@@ -152,8 +153,10 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     """P-10: one row per valid prescribed transaction split, with signed amounts,
     versions, commission, periods and in-period flags."""
     tx = current(t.pay_t_transakcia, "platny").where(F.col("predpis") == 1)
-    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to,
-                                    extra_days=0 if p.fix_period_end else 1))
+    extra = 0 if p.fix_period_end else 1
+    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to, extra_days=extra))
+    tx = prune_months(tx, "pay_t_transakcia", p.date_from,
+                      None if p.date_to is None else p.date_to + _dt.timedelta(days=extra))
     com = t.com_t_transaction.select("trans_id")
     tx = semi(tx, com, F.col("vznik_id") == F.col("trans_id"))
     tx = semi(tx, com, F.col("zmena_id") == F.col("trans_id"))

@@ -23,7 +23,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from assurspark.session import local_session  # noqa: E402
-from assurspark.sources import driver_fixtures  # noqa: E402
+from assurspark.sources import driver_fixtures, layout  # noqa: E402
 from assurspark.sources.catalog import Tables  # noqa: E402
 from oracles.registry import QUERIES  # noqa: E402
 
@@ -36,10 +36,9 @@ HEADLINE = [
 
 def prepare(spark, sf_dir: str, out_dir: str) -> None:
     derived = Tables.from_driver_data(spark, sf_dir)
-    for name in driver_fixtures.logical_names():
-        path = os.path.join(out_dir, name)
-        if not os.path.exists(os.path.join(path, "_SUCCESS")):
-            derived[name].write.mode("overwrite").parquet(path)
+    todo = [n for n in driver_fixtures.logical_names()
+            if not os.path.exists(os.path.join(out_dir, n, "_SUCCESS"))]
+    layout.store(derived, todo, out_dir)
 
 
 def main() -> None:

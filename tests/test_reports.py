@@ -4,6 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from helpers import canonical
+
 from assurspark.plans import claims, production
 from assurspark.plans.params import (
     ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams, DailyProductionParams,
@@ -135,3 +137,23 @@ def test_q11_scan_stops_at_date_to_when_fixed(tables):
     late = F.col("creation_date") > F.lit(dt.date(1998, 12, 31))
     assert fixed.where(late).count() == 0
     assert ref.where(late).count() >= 0 and ref.count() >= fixed.count()
+
+
+def test_month_partitions_prune_and_keep_results(spark, tables, tmp_path):
+    from assurspark.sources import layout
+    from assurspark.sources.catalog import Tables
+    names = ["clm_d_claim", "pay_t_transakcia"]
+    layout.store(tables, names, str(tmp_path))
+    stored = tables.with_overrides({n: spark.read.parquet(str(tmp_path / n)) for n in names})
+    cases = [
+        (lambda tt: claims.claims_reported(tt, ClaimsReportedParams(date_from=D(1998, 1, 1), date_to=D(1998, 12, 31))),
+         "notification_month"),
+        (lambda tt: claims.claims_settled(tt, ClaimsSettledParams(date_from=D(1997, 1, 1), date_to=D(1998, 12, 31))),
+         "created_month"),
+        (lambda tt: _prod(tt, basic_date="C", date_from=D(1996, 1, 1), date_to=D(1998, 12, 31)), "created_month"),
+    ]
+    for build, part in cases:
+        a, b = build(tables), build(stored)
+        assert canonical(a.collect(), a.columns) == canonical(b.select(*a.columns).collect(), a.columns)
+        p = b._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(" + part in p or ("PartitionFilters" in p and part in p)
