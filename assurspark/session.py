@@ -56,6 +56,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # one machine: list partition directories on the driver instead of
+        # launching a listing job for every read of a month-partitioned table
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "4096")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
