@@ -46,11 +46,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "assurspark", memory: str = "8g") -> SparkSession:
+                  app: str = "assurspark", memory: str = "8g",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and the benchmark (UI off, no extra ports)."""
     os.environ.setdefault("PYSPARK_PYTHON", "python")
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
