@@ -77,6 +77,47 @@ def or_equi_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_
     return matched.unionByName(unmatched.select(*left.columns, *pad))
 
 
+# Skew handling: a key with at least HOT_ROWS rows on the large side is split
+# into ceil(rows / ROWS_PER_SPLIT) salted sub-keys (settable per session with
+# the confs below).
+HOT_ROWS = 1_000_000
+ROWS_PER_SPLIT = 250_000
+HOT_ROWS_CONF = "assurspark.skew.hotRows"
+ROWS_PER_SPLIT_CONF = "assurspark.skew.rowsPerSplit"
+
+
+def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
+                hot_rows: int | None = None, rows_per_split: int | None = None) -> DataFrame:
+    """``big JOIN small ON big_key = small_key`` that splits hot keys.
+
+    A key holding a large share of ``big`` (a group policy with a third of the
+    claims) would put all its rows into one task.  The row count per key is
+    computed with a partial aggregate; keys with at least ``hot_rows`` rows
+    get ``ceil(n / rows_per_split)`` salts.  Their rows on the big side get a
+    salt from a hash of the row, the matching rows of the small side are
+    replicated once per salt, and one equi join on (key, salt) follows -- so a
+    hot key is spread over many tasks and every match is still produced once.
+    The hot-key list is bounded by ``rows(big) / hot_rows`` entries, which is
+    what makes its broadcast safe.  ``how``: ``inner`` or ``left``."""
+    conf = big.sparkSession.conf
+    hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+    rows_per_split = rows_per_split or int(conf.get(ROWS_PER_SPLIT_CONF, str(ROWS_PER_SPLIT)))
+    hot = (big.groupBy(F.col(big_key).alias("_hot_k")).agg(F.count(F.lit(1)).alias("_hot_n"))
+           .where(F.col("_hot_n") >= hot_rows)
+           .select("_hot_k", F.ceil(F.col("_hot_n") / rows_per_split).cast("int").alias("_hot_s")))
+    hot = F.broadcast(hot)
+    b = big.join(hot, big[big_key] == hot["_hot_k"], "left")
+    b = b.withColumn("_salt", F.when(F.col("_hot_s").isNull(), F.lit(0))
+                     .otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_hot_s"))))
+    b = b.drop("_hot_k", "_hot_s")
+    hot2 = hot.select(F.col("_hot_k").alias("_hot_k2"), F.col("_hot_s").alias("_hot_s2"))
+    s = small.join(hot2, small[small_key] == hot2["_hot_k2"], "left")
+    s = s.withColumn("_salt2", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_hot_s2"), F.lit(1)) - 1)))
+    s = s.drop("_hot_k2", "_hot_s2")
+    out = b.join(s, (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt2"]), how)
+    return out.drop("_salt", "_salt2")
+
+
 def _month(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c)
 

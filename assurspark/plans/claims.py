@@ -24,7 +24,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import latest_per_key, span_per_key
 from ..operators.currency import latest_rates
-from ..operators.joins import or_equi_join
+from ..operators.joins import or_equi_join, salted_join
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
 from .params import ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams
@@ -251,19 +251,26 @@ def _recoverable(t: Tables, pattern: str, prefix: str) -> DataFrame:
                     F.col("recoverable").alias(f"{prefix}_recoverable"))
 
 
-def _policy_side(t: Tables, culture_id: int, base: DataFrame, pol: DataFrame,
-                 with_booking: bool = True) -> DataFrame:
-    """Inner policy (+ booking) join and every policy-keyed left join."""
-    pol = pol.select(
+def policy_row(t: Tables, culture_id: int, pol: DataFrame, with_booking: bool = True,
+               with_group: bool = True) -> DataFrame:
+    """Everything the claims reports read per policy, pre-joined into one
+    policy-level row: the policy (inner), its booking (inner), premium, policy
+    partners, paid premium and group policy (left).
+
+    All of these are keyed by the policy, so joining them to each other first
+    and the claims to the result once gives the same rows as joining the
+    claims to each in turn -- but leaves a single claims-to-policy join, which
+    AQE can split when one policy holds a large share of the claims."""
+    j = pol.select(
         F.col("policy_id").alias("pol_policy_id"), "policy_number", F.col("uw_year").alias("UW_Year"),
         "date_inception", "date_maturity", "orgunit_name", "product_code", "product_name",
         "product_brand_code", "currency_code", "sysowner", "acc_orgunit_name",
         "acc_orgunit_description")
-    j = base.join(pol, base.policy_policy_id == pol.pol_policy_id, "inner")
+    key = F.col("pol_policy_id")
     if with_booking:
         book = t.pol_dx_policy_booking.select(F.col("policy_id").alias("bk_policy_id"),
                                               "orgunit_book_code")
-        j = j.join(book, F.col("policy_policy_id") == F.col("bk_policy_id"), "inner")
+        j = j.join(book, key == F.col("bk_policy_id"), "inner")
     prem = t.clm_dx_premium.select(F.col("policy_policy_id").alias("pr_policy_id"),
                                    "annual_premium", "insured_sum")
     ap = t.clm_dx_policy_partner.select(F.col("policy_id").alias("ap_policy_id"), "assured_pers",
@@ -271,9 +278,18 @@ def _policy_side(t: Tables, culture_id: int, base: DataFrame, pol: DataFrame,
     pp = localised(t.clm_dx_pay_premium, culture_id).select(
         F.col("policy_id").alias("pp_policy_id"), F.col("payment_amount").alias("PAYMENT_AMOUNT"),
         "first_premium_date", "last_premium_date")
-    return (j.join(prem, F.col("policy_policy_id") == F.col("pr_policy_id"), "left")
-            .join(ap, F.col("policy_policy_id") == F.col("ap_policy_id"), "left")
-            .join(pp, F.col("policy_policy_id") == F.col("pp_policy_id"), "left"))
+    j = (j.join(prem, key == F.col("pr_policy_id"), "left")
+         .join(ap, key == F.col("ap_policy_id"), "left")
+         .join(pp, key == F.col("pp_policy_id"), "left"))
+    if with_group:
+        j = j.join(_group(t, culture_id), key == F.col("gp_policy_id"), "left")
+    return j
+
+
+def _policy_side(t: Tables, culture_id: int, base: DataFrame, pol: DataFrame) -> DataFrame:
+    """The claims joined once to their policy-level row (inner)."""
+    row = policy_row(t, culture_id, pol)
+    return salted_join(base, row, "policy_policy_id", "pol_policy_id", "inner")
 
 
 def _group(t: Tables, culture_id: int) -> DataFrame:
@@ -328,7 +344,6 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
         base = where_all(branch_arm(core), optional_eq("branch_code", p.branch), period)
 
     j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product))
-    j = j.join(_group(t, p.culture_id), F.col("pol_policy_id") == F.col("gp_policy_id"), "left")
     j = _claim_side(t, p.culture_id, j, latest_correspondence(t, p.culture_id))
     j = j.join(claim_officer(t), F.col("claim_id") == F.col("off_claim_id"), "left")
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
@@ -408,7 +423,6 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
         base = where_all(branch_arm(core), optional_eq("branch_code", p.branch))
 
     j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product))
-    j = j.join(_group(t, p.culture_id), F.col("pol_policy_id") == F.col("gp_policy_id"), "left")
     j = _claim_side(t, p.culture_id, j, correspondence_span(t, p.culture_id))
     payind = localised(t.clm_dx_payout_ind, p.culture_id).select(
         F.col("claim_id").alias("pi_claim_id"), "surname_name", "name_abbr", "middle_name")
@@ -572,10 +586,6 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     losn = current(t.clm_d_loss_notification).select(
         "losntf_id", "address_street", "address_house_number1", "address_house_number2",
         "address_city", "postal_code", "occurence_place_description", "loss_description")
-    pol = policies(t, c, p.product).select(
-        F.col("policy_id").alias("pol_policy_id"), "policy_number", "uw_year", "date_inception",
-        "date_maturity", "orgunit_name", "product_code", "product_name", "product_brand_code",
-        "currency_code", "sysowner", "acc_orgunit_name", "acc_orgunit_description")
     # The history view is joined twice on the same key (k rows -> k^2 pairs);
     # under the final DISTINCT only distinct value pairs matter, so each side is
     # reduced to distinct values first, which bounds the fan-out.
@@ -608,20 +618,12 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
          .join(notes, F.col("claim_id") == F.col("nt_claim_id"), "left")
          .join(_recoverable(t, FAC_PREFIX, "r1"), F.col("claim_id") == F.col("r1_claim_id"), "left")
          .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
-    # policy-keyed joins
-    prem = t.clm_dx_premium.select(F.col("policy_policy_id").alias("pr_policy_id"),
-                                   "annual_premium", "insured_sum")
-    ap = t.clm_dx_policy_partner.select(F.col("policy_id").alias("ap_policy_id"), "assured_pers",
-                                        "insured_pers", "agent", "agent_number")
-    pp = localised(t.clm_dx_pay_premium, c).select(
-        F.col("policy_id").alias("pp_policy_id"), F.col("payment_amount").alias("PAYMENT_AMOUNT"),
-        "first_premium_date", "last_premium_date")
-    j = (j.join(pol, F.col("policy_policy_id") == F.col("pol_policy_id"), "inner")
-         .join(polh, F.col("pol_policy_id") == F.col("h_policy_id"), "inner")
-         .join(prem, F.col("policy_policy_id") == F.col("pr_policy_id"), "left")
-         .join(ap, F.col("policy_policy_id") == F.col("ap_policy_id"), "left")
-         .join(pp, F.col("policy_policy_id") == F.col("pp_policy_id"), "left")
-         .join(polhgr, F.col("pol_policy_id") == F.col("hg_policy_id"), "left")
+    # one policy-level row (policy, history twice, premium, partners, paid
+    # premium), joined to the payout rows once
+    prow = (policy_row(t, c, policies(t, c, p.product), with_booking=False, with_group=False)
+            .join(polh, F.col("pol_policy_id") == F.col("h_policy_id"), "inner")
+            .join(polhgr, F.col("pol_policy_id") == F.col("hg_policy_id"), "left"))
+    j = (salted_join(j, prow, "policy_policy_id", "pol_policy_id", "inner")
          .join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left"))
 
     exp = "is_expense"
@@ -633,7 +635,7 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
         F.coalesce("insured_pers", F.lit("")).alias("insured_name"),
         F.coalesce("assured_pers", F.lit("")).alias("assured_name"),
         F.col("clmno").alias("claim_no"), F.col("policy_number").alias("policy_no"),
-        F.col("uw_year"), F.col("date_inception").alias("policy_fm_date"),
+        F.col("UW_Year").alias("uw_year"), F.col("date_inception").alias("policy_fm_date"),
         F.col("date_maturity").alias("policy_to_date"), F.col("loss_description"),
         F.col("annual_premium").alias("gross_premium"), F.col("PAYMENT_AMOUNT").alias("premium_received"),
         F.col("first_premium_date").alias("date_prem_recvd_first"),

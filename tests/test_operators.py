@@ -192,3 +192,18 @@ def test_bucketed_interval_join_equals_plain(spark):
             ref = J.interval_join(f, v, [("key", "k")], "at", "f", "t", how, incl, bucket_months=None)
             cols = ["id", "vid"]
             assert sorted(got.select(*cols).collect()) == sorted(ref.select(*cols).collect()), (how, incl)
+
+
+def test_salted_join_splits_hot_keys_and_keeps_rows(spark):
+    big = spark.range(5000).select(F.col("id").alias("row"),
+                                   F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"))
+    small = spark.createDataFrame([(7, "hot"), (7, "hot2"), (1, "one"), (2, "two")], "sk long, v string")
+    for how in ("inner", "left"):
+        got = J.salted_join(big, small, "k", "sk", how, hot_rows=500, rows_per_split=100)
+        ref = big.join(small, big.k == small.sk, how)
+        assert sorted(got.select("row", "v").collect()) == sorted(ref.select("row", "v").collect())
+    # the hot key (1734 rows) gets 18 salts: its small-side rows are replicated 18 times
+    salted = J.salted_join(big, small, "k", "sk", "inner", hot_rows=500, rows_per_split=100)
+    assert "xxhash64" in plan(salted) and "Generate explode(sequence" in plan(salted)
+    hot = (big.groupBy("k").count().where("count >= 500").collect())
+    assert [(r.k, r["count"]) for r in hot] == [(7, 1734)]
