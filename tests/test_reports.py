@@ -157,3 +157,22 @@ def test_month_partitions_prune_and_keep_results(spark, tables, tmp_path):
         assert canonical(a.collect(), a.columns) == canonical(b.select(*a.columns).collect(), a.columns)
         p = b._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(" + part in p or ("PartitionFilters" in p and part in p)
+
+
+def test_hot_policy_is_salted_with_same_result(spark, tables):
+    hot = tables.clm_d_claim.withColumn(
+        "policy_policy_id", F.when(F.col("claim_id") % 3 == 0, F.lit(3)).otherwise(F.col("policy_policy_id")))
+    t2 = tables.with_overrides({"clm_d_claim": hot})
+    p = ClaimsOutstandingParams(as_at=D(1998, 7, 1), run_ts=D(2002, 1, 1))
+    plain = claims.claims_outstanding(t2, p)
+    rows_plain = plain.collect()
+    spark.conf.set("assurspark.skew.hotRows", "50")
+    spark.conf.set("assurspark.skew.rowsPerSplit", "10")
+    try:
+        salted = claims.claims_outstanding(t2, p)
+        rows_salted = salted.collect()
+    finally:
+        spark.conf.unset("assurspark.skew.hotRows")
+        spark.conf.unset("assurspark.skew.rowsPerSplit")
+    assert len(rows_plain) > 0
+    assert canonical(rows_plain, plain.columns) == canonical(rows_salted, salted.columns)
