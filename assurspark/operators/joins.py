@@ -87,7 +87,8 @@ ROWS_PER_SPLIT_CONF = "assurspark.skew.rowsPerSplit"
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
-                hot_rows: int | None = None, rows_per_split: int | None = None) -> DataFrame:
+                hot_rows: int | None = None, rows_per_split: int | None = None,
+                extra: Column | None = None) -> DataFrame:
     """``big JOIN small ON big_key = small_key`` that splits hot keys.
 
     A key holding a large share of ``big`` (a group policy with a third of the
@@ -98,7 +99,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     replicated once per salt, and one equi join on (key, salt) follows -- so a
     hot key is spread over many tasks and every match is still produced once.
     The hot-key list is bounded by ``rows(big) / hot_rows`` entries, which is
-    what makes its broadcast safe.  ``how``: ``inner`` or ``left``."""
+    what makes its broadcast safe.  ``how``: ``inner`` or ``left``;
+    ``extra``: an additional (e.g. range) condition over columns of both sides."""
     conf = big.sparkSession.conf
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
     rows_per_split = rows_per_split or int(conf.get(ROWS_PER_SPLIT_CONF, str(ROWS_PER_SPLIT)))
@@ -114,7 +116,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     s = small.join(hot2, small[small_key] == hot2["_hot_k2"], "left")
     s = s.withColumn("_salt2", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_hot_s2"), F.lit(1)) - 1)))
     s = s.drop("_hot_k2", "_hot_s2")
-    out = b.join(s, (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt2"]), how)
+    cond = (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt2"])
+    out = b.join(s, cond if extra is None else cond & extra, how)
     return out.drop("_salt", "_salt2")
 
 

@@ -23,7 +23,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
 from ..operators.currency import GHS_CCY_ID, HOME_CCY_ID, RateTable, converted, latest_rates
-from ..operators.joins import interval_join, null_aware_anti, semi
+from ..operators.joins import interval_join, null_aware_anti, salted_join, semi
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
 from .params import DailyProductionParams
@@ -172,8 +172,15 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
                          F.col("aktualny_koniec").alias("z_cur_end"), F.col("datum_konca").alias("z_end"),
                          F.col("datum_uzatvorenia").alias("z_concl"),
                          F.col("date_acceptance").alias("z_accept"))
-    j = (tx.join(acc.select("ucet_id", "id_riad_obj"), F.col("id_riad_ciel") == F.col("ucet_id"), "inner")
-         .join(z, F.col("id_riad_obj") == F.col("zml_id"), "inner"))
+    zv = semi(current(t.inc_t_zml_vazby, "platny"), _rzml_link_ids(t),
+              F.col("vztah_vztah_id") == F.col("vztah_id")).select("zml_zml_id", "ku_zmluve_id")
+    # one row per account: the account, its contract and the contract's group link
+    # (all one-to-one), joined to the transactions once; an account / contract with
+    # a large share of the transactions is split by salting
+    account = (acc.select("ucet_id", "id_riad_obj")
+               .join(z, F.col("id_riad_obj") == F.col("zml_id"), "inner")
+               .join(zv, F.col("zml_zml_id") == F.col("zml_id"), "left"))
+    j = salted_join(tx, account, "id_riad_ciel", "ucet_id", "inner")
 
     hist = t.inc_t_zmluvy_h
     zh = hist.select(F.col("zmlh_id"), F.col("zml_id").alias("zh_zml_id"),
@@ -186,7 +193,9 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
         F.col("datum_od").alias("zh2_from"), F.col("datum_do").alias("zh2_to"),
         F.col("renewal_date").alias("zh2_renewal"), F.col("datum_zaciatku").alias("zh2_start"),
         F.col("aktualny_koniec").alias("zh2_cur_end"), F.col("datum_konca").alias("zh2_end"))
-    j = interval_join(j, zh2, [("zml_id", "zh2_zml_id")], "datum_splatnost", "zh2_from", "zh2_to", "left")
+    j = salted_join(j, zh2, "zml_id", "zh2_zml_id", "left",
+                    extra=(F.col("datum_splatnost") >= F.col("zh2_from"))
+                    & (F.col("datum_splatnost") <= F.col("zh2_to")))
     # The change-type lookups of both versions are left joins on code-list keys
     # whose columns are not used downstream, so they cannot change the rows.
 
@@ -196,9 +205,6 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     j = j.join(splits, F.col("transa_transa_id") == F.col("transa_id"), "inner")
     j = semi(j, t.pay_t_cis_trans_stav.select("trastav_id"), F.col("trastav_trastav_id") == F.col("trastav_id"))
     j = j.join(commission_by_split(t, rates), F.col("podklad_id") == F.col("traroz_id"), "left")
-    zv = semi(current(t.inc_t_zml_vazby, "platny"), _rzml_link_ids(t),
-              F.col("vztah_vztah_id") == F.col("vztah_id")).select("zml_zml_id", "ku_zmluve_id")
-    j = j.join(zv, F.col("zml_zml_id") == F.col("zml_id"), "left")
     gm = current(t.inc_t_group_change_member, "platny").select(
         "member_policy_id", "member_policyh_id", "group_policyh_id")
     j = j.join(gm, (F.col("member_policy_id") == F.col("zh_zml_id"))

@@ -176,3 +176,20 @@ def test_hot_policy_is_salted_with_same_result(spark, tables):
         spark.conf.unset("assurspark.skew.rowsPerSplit")
     assert len(rows_plain) > 0
     assert canonical(rows_plain, plain.columns) == canonical(rows_salted, salted.columns)
+
+
+def test_hot_contract_movements_salted_same_result(spark, tables):
+    p = DailyProductionParams(date_from=D(1996, 1, 1), date_to=D(1998, 12, 31))
+
+    def rows():
+        df = production.premium_movements(tables, p, production.RateTable(tables.pay_d_exchange))
+        return canonical(df.collect(), df.columns)
+    plain = rows()
+    spark.conf.set("assurspark.skew.hotRows", "5")
+    spark.conf.set("assurspark.skew.rowsPerSplit", "2")
+    try:
+        salted = rows()
+    finally:
+        spark.conf.unset("assurspark.skew.hotRows")
+        spark.conf.unset("assurspark.skew.rowsPerSplit")
+    assert len(plain) > 0 and plain == salted
