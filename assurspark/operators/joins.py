@@ -100,10 +100,14 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     hot key is spread over many tasks and every match is still produced once.
     The hot-key list is bounded by ``rows(big) / hot_rows`` entries, which is
     what makes its broadcast safe.  ``how``: ``inner`` or ``left``;
-    ``extra``: an additional (e.g. range) condition over columns of both sides."""
+    ``extra``: an additional (e.g. range) condition over columns of both sides.
+    A negative ``assurspark.skew.hotRows`` switches the salting off."""
     conf = big.sparkSession.conf
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
     rows_per_split = rows_per_split or int(conf.get(ROWS_PER_SPLIT_CONF, str(ROWS_PER_SPLIT)))
+    if hot_rows < 0:                     # salting switched off: plain equi join
+        cond = big[big_key] == small[small_key]
+        return big.join(small, cond if extra is None else cond & extra, how)
     hot = (big.groupBy(F.col(big_key).alias("_hot_k")).agg(F.count(F.lit(1)).alias("_hot_n"))
            .where(F.col("_hot_n") >= hot_rows)
            .select("_hot_k", F.ceil(F.col("_hot_n") / rows_per_split).cast("int").alias("_hot_s")))

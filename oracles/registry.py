@@ -62,11 +62,22 @@ register("claims_outstanding_department",
          lambda t: claims.claims_outstanding(t, _r02d),
          lambda: claims_sql.claims_outstanding(department="N7", product="", as_at=_r02d.as_at,
                                                run_ts=_r02d.run_ts))
+_r02f = ClaimsOutstandingParams(branch="R1", department="N6", as_at=D(1999, 3, 15), run_ts=D(2002, 1, 1),
+                                fix_arms=True)
+register("claims_outstanding_fixed",
+         lambda t: claims.claims_outstanding(t, _r02f),
+         lambda: claims_sql.claims_outstanding(branch="R1", department="N6", as_at=_r02f.as_at,
+                                               run_ts=_r02f.run_ts, fix_arms=True))
 _r03 = ClaimsSettledParams(class_code="%", product="%", date_from=D(1997, 1, 1), date_to=D(1998, 12, 31))
 register("claims_settled",
          lambda t: claims.claims_settled(t, _r03),
          lambda: claims_sql.claims_settled(class_code="%", product="%", date_from=_r03.date_from,
                                            date_to=_r03.date_to))
+_r03f = ClaimsSettledParams(branch="N4", date_from=D(1998, 1, 1), date_to=None, fix_open_end=True)
+register("claims_settled_open_end_fixed",
+         lambda t: claims.claims_settled(t, _r03f),
+         lambda: claims_sql.claims_settled(branch="N4", date_from=_r03f.date_from, date_to=None,
+                                           fix_open_end=True))
 _r03o = ClaimsSettledParams(branch="N4", date_from=D(1998, 1, 1), date_to=None)
 register("claims_settled_open_end",
          lambda t: claims.claims_settled(t, _r03o),
