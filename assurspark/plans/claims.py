@@ -123,9 +123,6 @@ def claim_core(t: Tables, culture_id: int, notified_from=None, notified_to=None)
         "u_parent", "u_code", "u_abbrev", "u_name", "u_level_no", "u_level_name")
 
 
-_DEPT = ["department", "department_code", "department_name", "department_level_no",
-         "department_level_name"]
-_BRANCH = ["branch", "branch_code", "branch_name", "branch_level_no", "branch_level_name"]
 _CORE_COLS = ["orgunit_admin_id", "claim_id", "claim_number", "policy_policy_id",
               "notification_date", "LOSS_DATE", "settlement_date", "registration_date",
               "claim_status_code", "claim_status", "loss_street", "loss_house_number1",

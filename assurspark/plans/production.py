@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.expressions import (
     LOW_DATE, class_of, contains_pattern, current, date_part_between, in_period_flag, like,
-    localised, optional_nonempty_eq, ts_lit, typed_null, where_all, year_month,
+    localised, optional_nonempty_eq, ts_lit, where_all, year_month,
 )
 from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
 from ..operators.currency import GHS_CCY_ID, HOME_CCY_ID, RateTable, converted, latest_rates

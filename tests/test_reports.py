@@ -141,7 +141,6 @@ def test_q11_scan_stops_at_date_to_when_fixed(tables):
 
 def test_month_partitions_prune_and_keep_results(spark, tables, tmp_path):
     from assurspark.sources import layout
-    from assurspark.sources.catalog import Tables
     names = ["clm_d_claim", "pay_t_transakcia"]
     layout.store(tables, names, str(tmp_path))
     stored = tables.with_overrides({n: spark.read.parquet(str(tmp_path / n)) for n in names})
