@@ -88,7 +88,8 @@ ROWS_PER_SPLIT_CONF = "assurspark.skew.rowsPerSplit"
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
                 hot_rows: int | None = None, rows_per_split: int | None = None,
-                extra: Column | None = None) -> DataFrame:
+                extra: Column | None = None, hot_source: DataFrame | None = None,
+                hot_key: str | None = None) -> DataFrame:
     """``big JOIN small ON big_key = small_key`` that splits hot keys.
 
     A key holding a large share of ``big`` (a group policy with a third of the
@@ -101,6 +102,11 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     The hot-key list is bounded by ``rows(big) / hot_rows`` entries, which is
     what makes its broadcast safe.  ``how``: ``inner`` or ``left``;
     ``extra``: an additional (e.g. range) condition over columns of both sides.
+    ``hot_source`` / ``hot_key``: count the keys on this frame instead of on
+    ``big`` -- a narrow superset of ``big``'s rows (e.g. the base table before
+    the report's filters and joins), so the big side is not computed twice; a
+    key hot in ``big`` is hot in any superset, a key hot only in the superset
+    is salted needlessly but still joined exactly.
     A negative ``assurspark.skew.hotRows`` switches the salting off."""
     conf = big.sparkSession.conf
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
@@ -108,7 +114,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     if hot_rows < 0:                     # salting switched off: plain equi join
         cond = big[big_key] == small[small_key]
         return big.join(small, cond if extra is None else cond & extra, how)
-    hot = (big.groupBy(F.col(big_key).alias("_hot_k")).agg(F.count(F.lit(1)).alias("_hot_n"))
+    src = big if hot_source is None else hot_source
+    hot = (src.groupBy(F.col(hot_key or big_key).alias("_hot_k")).agg(F.count(F.lit(1)).alias("_hot_n"))
            .where(F.col("_hot_n") >= hot_rows)
            .select("_hot_k", F.ceil(F.col("_hot_n") / rows_per_split).cast("int").alias("_hot_s")))
     hot = F.broadcast(hot)

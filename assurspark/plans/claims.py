@@ -286,7 +286,8 @@ def policy_row(t: Tables, culture_id: int, pol: DataFrame, with_booking: bool =
 def _policy_side(t: Tables, culture_id: int, base: DataFrame, pol: DataFrame) -> DataFrame:
     """The claims joined once to their policy-level row (inner)."""
     row = policy_row(t, culture_id, pol)
-    return salted_join(base, row, "policy_policy_id", "pol_policy_id", "inner")
+    return salted_join(base, row, "policy_policy_id", "pol_policy_id", "inner",
+                       hot_source=t.clm_d_claim.select("policy_policy_id"))
 
 
 def _group(t: Tables, culture_id: int) -> DataFrame:
@@ -423,7 +424,10 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     j = _claim_side(t, p.culture_id, j, correspondence_span(t, p.culture_id))
     payind = localised(t.clm_dx_payout_ind, p.culture_id).select(
         F.col("claim_id").alias("pi_claim_id"), "surname_name", "name_abbr", "middle_name")
-    j = j.join(payind, F.col("po_claim_id") == F.col("pi_claim_id"), "left")   # keyed through the payout
+    # keyed through the payout (no payout, no beneficiary): written on claim_id,
+    # which equals the payout's claim id whenever there is one, so the row is
+    # not re-shuffled on a second key
+    j = j.join(payind, (F.col("claim_id") == F.col("pi_claim_id")) & F.col("po_claim_id").isNotNull(), "left")
     j = j.join(claim_officer(t), F.col("claim_id") == F.col("off_claim_id"), "left")
     j = (j.join(_recoverable(t, FAC_PREFIX, "r1"), F.col("claim_id") == F.col("r1_claim_id"), "left")
          .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
@@ -620,7 +624,8 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     prow = (policy_row(t, c, policies(t, c, p.product), with_booking=False, with_group=False)
             .join(polh, F.col("pol_policy_id") == F.col("h_policy_id"), "inner")
             .join(polhgr, F.col("pol_policy_id") == F.col("hg_policy_id"), "left"))
-    j = (salted_join(j, prow, "policy_policy_id", "pol_policy_id", "inner")
+    j = (salted_join(j, prow, "policy_policy_id", "pol_policy_id", "inner",
+                     hot_source=t.clm_d_claim.select("policy_policy_id"))
          .join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left"))
 
     exp = "is_expense"
