@@ -48,18 +48,32 @@ def localised(df: DataFrame, culture_id: int, column: str = "culture_id") -> Dat
     return df.where(F.col(column) == F.lit(culture_id))
 
 
-def optional_eq(c: str | Column, p: str | None) -> Column | None:
+def code(c: Column, ci: bool = False) -> Column:
+    """A code as compared by the reports: as is (binary, Spark's default), or --
+    ``ci`` -- upper-cased with trailing blanks removed, the comparison a
+    case- and trailing-blank-insensitive database collation makes."""
+    return F.upper(F.rtrim(c)) if ci else c
+
+
+def code_eq(c: str | Column, p: str, ci: bool = False) -> Column:
+    """F-11: code column equals a parameter (binary or ``ci``)."""
+    return code(col(c), ci) == code(F.lit(p), ci)
+
+
+def optional_eq(c: str | Column, p: str | None, ci: bool = False) -> Column | None:
     """F-08: ``coalesce(p, c, '') = coalesce(c, '')`` -- null parameter = any row
     (a NULL column also passes); a set parameter matches ``coalesce(c, '')``."""
     if p is None:
         return None
-    return F.coalesce(col(c), F.lit("")) == F.lit(p)
+    return code(F.coalesce(col(c), F.lit("")), ci) == code(F.lit(p), ci)
 
 
-def optional_nonempty_eq(c: str | Column, p) -> Column | None:
+def optional_nonempty_eq(c: str | Column, p, ci: bool = False) -> Column | None:
     """F-09 / F-10: null (or, for strings, empty) parameter = any row; else equality."""
     if p is None or (isinstance(p, str) and p == ""):
         return None
+    if isinstance(p, str):
+        return code(col(c), ci) == code(F.lit(p), ci)
     return col(c) == F.lit(p)
 
 
@@ -71,23 +85,25 @@ def _check_like(p: str) -> str:
     return p
 
 
-def product_pattern(c: str | Column, p: str | None) -> Column | None:
+def product_pattern(c: str | Column, p: str | None, ci: bool = False) -> Column | None:
     """F-13: ``c LIKE coalesce(p, c) OR p = ''``.
 
     ``''`` = any row; ``None`` = ``c LIKE c`` (true for every non-null code);
-    else a LIKE match where ``_`` and ``%`` are wildcards."""
+    else a LIKE match where ``_`` and ``%`` are wildcards (``ci``: case-insensitive)."""
     if p == "":
         return None
     if p is None:
         return F.like(col(c), col(c))
-    return col(c).like(_check_like(p))
+    p = _check_like(p)
+    return F.upper(col(c)).like(p.upper()) if ci else col(c).like(p)
 
 
-def contains_pattern(c: str | Column, p: str | None) -> Column | None:
+def contains_pattern(c: str | Column, p: str | None, ci: bool = False) -> Column | None:
     """F-14: ``c LIKE '%' + p + '%'``; null/empty parameter = any row."""
     if p is None or p == "":
         return None
-    return col(c).like("%" + _check_like(p) + "%")
+    p = "%" + _check_like(p) + "%"
+    return F.upper(col(c)).like(p.upper()) if ci else col(c).like(p)
 
 
 def like(c: str | Column, p: str) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import (
-    before_next_day, between_or_fallback, class_of, currency_of_amount, current, day_diff,
+    before_next_day, between_or_fallback, class_of, code_eq, currency_of_amount, current, day_diff,
     half_open_days, like, localised, open_at, optional_eq, person_name, product_pattern,
     ts_lit, typed_null, when_flag, where_all,
 )
@@ -27,7 +27,7 @@ from ..operators.currency import latest_rates
 from ..operators.joins import or_equi_join, salted_join
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
-from .params import ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams
+from .params import CASE_INSENSITIVE, ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams
 
 # fixed values: codes the claims reports test
 NONLIFE = "NONLIFE"
@@ -228,10 +228,10 @@ def correspondence_span(t: Tables, culture_id: int) -> DataFrame:
         .withColumnRenamed("claim_id", "co_claim_id")
 
 
-def policies(t: Tables, culture_id: int, product: str | None) -> DataFrame:
+def policies(t: Tables, culture_id: int, product: str | None, ci: bool = False) -> DataFrame:
     """P-17: non-life policies of one culture, optional product pattern."""
     pol = localised(t.clm_dx_policy, culture_id).where(F.col("sysowner_code") == NONLIFE)
-    return where_all(pol, product_pattern("product_code", product))
+    return where_all(pol, product_pattern("product_code", product, ci))
 
 
 def _reserve(t: Tables, culture_id: int, indemnity: int, prefix: str) -> DataFrame:
@@ -331,17 +331,18 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
 
     The two arms of the reference are mutually exclusive on the department
     parameter (equality with NULL is unknown), so only one is planned."""
+    ci = p.string_compare == CASE_INSENSITIVE
     claim_dims(t, p.culture_id)
     core = claim_core(t, p.culture_id, p.date_from, p.date_to)
     period = between_or_fallback("notification_date", p.date_from, p.date_to, "LOSS_DATE")
     if p.department is not None:
         base = department_arm(t, p.culture_id, core)
-        base = where_all(base, optional_eq("branch_code", p.branch),
-                         F.col("department_code") == F.lit(p.department), period)
+        base = where_all(base, optional_eq("branch_code", p.branch, ci),
+                         code_eq("department_code", p.department, ci), period)
     else:
-        base = where_all(branch_arm(core), optional_eq("branch_code", p.branch), period)
+        base = where_all(branch_arm(core), optional_eq("branch_code", p.branch, ci), period)
 
-    j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product))
+    j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product, ci))
     j = _claim_side(t, p.culture_id, j, latest_correspondence(t, p.culture_id))
     j = j.join(claim_officer(t), F.col("claim_id") == F.col("off_claim_id"), "left")
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
@@ -408,19 +409,20 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     state = (open_at("claim_status_code", "settlement_date", p.as_at, OPEN_STATUS_CODES)
              & before_next_day("registration_date", p.as_at))
     core = core.where(state)
+    ci = p.string_compare == CASE_INSENSITIVE
     dept_arm_on = (p.department is not None) if p.fix_arms else True
     if dept_arm_on and p.department is None:
         # both arms: one pass, arm 2 filtered on the optional branch
-        base = both_arms(t, p.culture_id, core, arm2_filter=optional_eq("branch_code", p.branch))
+        base = both_arms(t, p.culture_id, core, arm2_filter=optional_eq("branch_code", p.branch, ci))
     elif dept_arm_on:
         base = department_arm(t, p.culture_id, core)
         if p.fix_arms:
-            base = where_all(base, optional_eq("branch_code", p.branch),
-                             F.col("department_code") == F.lit(p.department))
+            base = where_all(base, optional_eq("branch_code", p.branch, ci),
+                             code_eq("department_code", p.department, ci))
     else:
-        base = where_all(branch_arm(core), optional_eq("branch_code", p.branch))
+        base = where_all(branch_arm(core), optional_eq("branch_code", p.branch, ci))
 
-    j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product))
+    j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product, ci))
     j = _claim_side(t, p.culture_id, j, correspondence_span(t, p.culture_id))
     payind = localised(t.clm_dx_payout_ind, p.culture_id).select(
         F.col("claim_id").alias("pi_claim_id"), "surname_name", "name_abbr", "middle_name")
@@ -604,7 +606,8 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
          .join(cst, F.col("cclmst_cclmst_id") == F.col("cclmst_id"), "inner")
          .join(units, F.col("orgunit_accounting_id") == F.col("u_id"), "inner")
          .join(losn, F.col("losntf_losntf_id") == F.col("losntf_id"), "left"))
-    j = where_all(j, optional_eq("u_abbrev", p.branch))
+    ci = p.string_compare == CASE_INSENSITIVE
+    j = where_all(j, optional_eq("u_abbrev", p.branch, ci))
     j = j.join(_reserve(t, c, 1, "ri"), F.col("claim_id") == F.col("ri_claim_id"), "left") \
          .join(_reserve(t, c, 0, "re"), F.col("claim_id") == F.col("re_claim_id"), "left") \
          .join(latest_correspondence(t, c), F.col("claim_id") == F.col("co_claim_id"), "left")
@@ -621,7 +624,7 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
          .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
     # one policy-level row (policy, history twice, premium, partners, paid
     # premium), joined to the payout rows once
-    prow = (policy_row(t, c, policies(t, c, p.product), with_booking=False, with_group=False)
+    prow = (policy_row(t, c, policies(t, c, p.product, ci), with_booking=False, with_group=False)
             .join(polh, F.col("pol_policy_id") == F.col("h_policy_id"), "inner")
             .join(polhgr, F.col("pol_policy_id") == F.col("hg_policy_id"), "left"))
     j = (salted_join(j, prow, "policy_policy_id", "pol_policy_id", "inner",

@@ -10,6 +10,12 @@ from dataclasses import dataclass
 # it to reproduce their output byte for byte.
 NOT_AVAILABLE = "*NOT AVAILABLE*"
 
+# How code parameters (branch, department, class, product, marketer) are
+# compared with the data: "binary" (Spark's default) or "ci" -- case- and
+# trailing-blank-insensitive, like the case-insensitive collation the original
+# database typically runs with.
+BINARY, CASE_INSENSITIVE = "binary", "ci"
+
 
 @dataclass(frozen=True)
 class ClaimsReportedParams:
@@ -22,6 +28,7 @@ class ClaimsReportedParams:
     date_from: dt.datetime | None = None
     date_to: dt.datetime | None = None
     placeholder: str = NOT_AVAILABLE
+    string_compare: str = BINARY
 
 
 @dataclass(frozen=True)
@@ -41,6 +48,7 @@ class ClaimsOutstandingParams:
     run_ts: dt.datetime | None = None   # "now" for open claims' process period
     placeholder: str = NOT_AVAILABLE
     fix_arms: bool = False
+    string_compare: str = BINARY
 
 
 @dataclass(frozen=True)
@@ -58,6 +66,7 @@ class ClaimsSettledParams:
     date_to: dt.datetime | None = None
     placeholder: str = NOT_AVAILABLE
     fix_open_end: bool = False
+    string_compare: str = BINARY
 
 
 # fixed values: the policy id the reference's certificate pivot is pinned to
@@ -94,3 +103,4 @@ class DailyProductionParams:
     fix_group_exclusion: bool = False
     fix_commission_nulls: bool = False   # count a missing commission as 0 in the net sums
     fix_period_end: bool = False         # do not scan one day past date_to
+    string_compare: str = BINARY

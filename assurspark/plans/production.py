@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import (
-    LOW_DATE, class_of, contains_pattern, current, date_part_between, in_period_flag, like,
+    LOW_DATE, class_of, code_eq, contains_pattern, current, date_part_between, in_period_flag, like,
     localised, optional_nonempty_eq, ts_lit, where_all, year_month,
 )
 from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
@@ -26,7 +26,7 @@ from ..operators.currency import GHS_CCY_ID, HOME_CCY_ID, RateTable, converted,
 from ..operators.joins import interval_join, null_aware_anti, salted_join, semi
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
-from .params import DailyProductionParams
+from .params import CASE_INSENSITIVE, DailyProductionParams
 
 # fixed values: codes the production report tests
 GROUP_RELATION = "RZML"
@@ -360,11 +360,12 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
          .join(cht, col("chty_chty_id") == col("cht_id"), "inner")
          .join(ccht, col("cht_type") == col("ccht_id"), "inner"))
     # parameter filters on dimension columns (pushed below the joins by Catalyst)
+    ci = p.string_compare == CASE_INSENSITIVE
     j = where_all(j,
                   None if p.sysown_id is None else col("pr_sysown") == F.lit(p.sysown_id),
-                  optional_nonempty_eq("ou_code", p.branch),
-                  None if not p.class_code else F.lit(p.class_code) == class_of("pr_code"),
-                  optional_nonempty_eq("pr_code", p.product))
+                  optional_nonempty_eq("ou_code", p.branch, ci),
+                  None if not p.class_code else code_eq(class_of("pr_code"), p.class_code, ci),
+                  optional_nonempty_eq("pr_code", p.product, ci))
     # policy-keyed lookups
     hist = t.inc_v_policy_history.select(*[F.col(x).alias("h_" + x) for x in t.inc_v_policy_history.columns])
     j = (j.join(certificates(t, p.certificate_policy_id), col("policy_id") == col("elm_policy_id"), "left")
@@ -397,7 +398,7 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
     j = (j.join(par, (col("par_policy_id") == col("_ver_policy")) & (col("par_policyh_id") == col("_ver_id")),
                 "left")
          .join(premh, col("ph_id") == col("_ver_id"), "left"))
-    j = where_all(j, contains_pattern("par_ma_code", p.marketer))
+    j = where_all(j, contains_pattern("par_ma_code", p.marketer, ci))
 
     # filters on the aggregated premium and the basis date
     j = j.where(((col("pm_premium_gross") != 0) | (col("pm_broker_commission") != 0))

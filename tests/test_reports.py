@@ -241,3 +241,19 @@ def test_t16_zero_premium_kept_when_commission_nonzero(tables):
     l1 = production.premium_level1(_movements(tables))
     # HAVING keeps a group if either sum is non-zero; NULL commission counts as unknown
     assert l1.where((F.col("premium_gross") == 0) & F.col("broker_commission").isNull()).count() == 0
+
+
+def test_case_insensitive_code_parameters(tables):
+    from assurspark.plans.params import CASE_INSENSITIVE
+    p = dict(date_from=D(1995, 1, 1), date_to=D(2002, 1, 1))
+    exact = claims.claims_reported(tables, ClaimsReportedParams(branch="R3", department="N3", product="MA%", **p))
+    lower = claims.claims_reported(tables, ClaimsReportedParams(branch="r3 ", department="n3", product="ma%", **p))
+    lower_ci = claims.claims_reported(tables, ClaimsReportedParams(branch="r3 ", department="n3", product="ma%",
+                                                                   string_compare=CASE_INSENSITIVE, **p))
+    assert exact.count() > 0 and lower.count() == 0
+    cols = [c for c in exact.columns if c != "BranchCode"]          # the parameter echo differs
+    assert canonical(exact.select(*cols).collect(), cols) == canonical(lower_ci.select(*cols).collect(), cols)
+    q = dict(basic_date="A", sysown_id=None, **p)
+    a = _prod(tables, class_code="MO", marketer="K0", **q)
+    b = _prod(tables, class_code="mo", marketer="k0", string_compare=CASE_INSENSITIVE, **q)
+    assert a.count() > 0 and a.count() == b.count()
