@@ -21,9 +21,26 @@ REPORT_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply report settings to an existing session (runtime-settable ones)."""
-    for k, v in REPORT_CONF.items():
+# Sizing for the large-scale runs (about 100 TB of input on a ~1000-executor
+# cluster): start with many shuffle partitions and let AQE coalesce them to
+# ~256 MB each; read files in 512 MB splits; treat a shuffle partition above
+# 1 GB and 5x the median as skewed.  Applied by ``configure(spark, cluster=True)``.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.broadcastTimeout": "900",
+}
+
+
+def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
+    """Apply report settings to an existing session (runtime-settable ones);
+    ``cluster=True`` adds the large-scale partition sizing."""
+    conf = dict(REPORT_CONF, **(CLUSTER_CONF if cluster else {}))
+    for k, v in conf.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # some confs are static on managed clusters
