@@ -1,6 +1,6 @@
 """Run a report as a batch job.
 
-    spark-submit -m assurspark.cli claims_outstanding --tables s3://bucket/insurance \\
+    spark-submit --py-files assurspark.zip run_report.py claims_outstanding --tables s3://bucket/insurance \\
         --as-at 2019-03-31 --out s3://bucket/reports/outstanding/2019-03-31
     python -m assurspark.cli daily_production --database insurance --basic-date C \\
         --date-from 2019-01-01 --date-to 2019-01-31 --out /data/prod/2019-01
