@@ -1,0 +1 @@
+"""Column expressions of the reports (filters, date windows, codes, names)."""

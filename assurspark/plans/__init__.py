@@ -1,0 +1 @@
+"""The reports (claims, production), their stages and their typed parameters."""

@@ -1,0 +1 @@
+"""Input tables: catalog access, storage layout and the driver-data derivations."""

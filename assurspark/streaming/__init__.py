@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reports are bounded batch jobs over a period or an as-at date; the
+reference has no watermark, window, state or late-data logic, so there is no
+streaming operator to build.  A report can still be run per micro-batch from
+``foreachBatch`` by building it over the batch's tables.
+"""
