@@ -47,7 +47,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     out_dir = os.environ.get("BENCH_TABLES_DIR") or tempfile.mkdtemp(prefix="run-bench-tables-")
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8")),
                           memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                           extra={"spark.sql.warehouse.dir": os.path.join(out_dir, "_warehouse")})
     t0 = time.perf_counter()
