@@ -34,7 +34,8 @@ def _ts(s: str | None) -> dt.datetime | None:
 def _common(p: argparse.ArgumentParser) -> None:
     p.add_argument("--tables", help="root directory with one parquet dataset per logical table")
     p.add_argument("--database", help="catalog database holding the logical tables")
-    p.add_argument("--out", required=True, help="output path")
+    p.add_argument("--out", help="output path (required unless --explain)")
+    p.add_argument("--explain", action="store_true", help="print the formatted physical plan, do not run")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "append"])
     p.add_argument("--cluster", action="store_true", help="apply the large-scale partition sizing")
@@ -123,6 +124,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.appName(f"assurspark-{a.report}").getOrCreate()
     configure(spark, cluster=a.cluster)
     df = build(spark, a)
+    if a.explain:
+        df.explain("formatted")
+        return
+    if not a.out:
+        raise SystemExit("--out is required")
     df.write.mode(a.mode).format(a.format).option("header", "true").save(a.out)
 
 

@@ -15,3 +15,12 @@ def test_cli_writes_reports(spark, tables, tmp_path):
     r04 = spark.read.parquet(str(out / "r04"))
     assert len(r02.columns) == 79 and r02.count() > 0
     assert len(r04.columns) == 98 and r04.count() > 0
+
+
+def test_cli_explain(spark, tables, tmp_path, capsys):
+    root = tmp_path / "tables"
+    layout.store(tables, driver_fixtures.logical_names(), str(root))
+    cli.main(["claims_settled", "--tables", str(root), "--date-from", "1997-01-01", "--date-to", "1997-12-31",
+              "--explain"], spark=spark)
+    out = capsys.readouterr().out
+    assert "Physical Plan" in out and "PartitionFilters" in out
