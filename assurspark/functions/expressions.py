@@ -220,13 +220,3 @@ def currency_of_amount(amount: str | Column, preferred: str | Column,
 def when_flag(flag: str | Column, on_true: Column, on_false: Column) -> Column:
     """E-18: pick by a 1/0 flag (``CASE WHEN flag = 1 THEN a ELSE b END``)."""
     return F.when(col(flag) == 1, on_true).otherwise(on_false)
-
-
-def money(c: Column, scale: int = 4) -> Column:
-    return c.cast(T.DecimalType(38, scale))
-
-
-def coalesce_as(a: str | Column, b, dtype: T.DataType) -> Column:
-    """E-13: ``isnull(a, b)`` -- the result has the type of ``a``."""
-    b_c = b if isinstance(b, Column) else F.lit(b)
-    return F.coalesce(col(a), b_c.cast(dtype))

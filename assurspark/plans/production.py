@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expressions import (
-    LOW_DATE, class_of, code_eq, contains_pattern, current, date_part_between, in_period_flag, like,
+    LOW_DATE, class_of, code_eq, contains_pattern, current, date_only, date_part_between, in_period_flag, like,
     localised, optional_nonempty_eq, ts_lit, where_all, year_month,
 )
 from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
@@ -222,8 +222,8 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
         .otherwise(F.col("zmlh_id")).alias("policyh_id"),
         F.coalesce("zmlh_id", "zh2_id").alias("policyh_id_orig"),
         F.col("zmlh_id"),
-        F.to_date("datum_vytvorenia").alias("creation_date"),
-        F.to_date("datum_od").alias("to_date"),
+        date_only("datum_vytvorenia").alias("creation_date"),
+        date_only("datum_od").alias("to_date"),
         F.coalesce(F.col("tr_suma") * sign, F.lit(0)).cast(D4).alias("premium_gross"),
         F.coalesce(F.col("tr_home") * sign, F.lit(0)).cast(D4).alias("premium_gross_home"),
         F.col("transa_id"),
