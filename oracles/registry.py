@@ -53,6 +53,12 @@ register("claims_reported_department",
          lambda t: claims.claims_reported(t, _r01d),
          lambda: claims_sql.claims_reported(branch="R3", department="N3", product="MA%",
                                             date_from=_r01d.date_from, date_to=_r01d.date_to))
+_r01ci = ClaimsReportedParams(branch="r3 ", department="n3", product="ma%", string_compare="ci",
+                              date_from=D(1996, 1, 1), date_to=D(1999, 12, 31, 12, 0))
+register("claims_reported_case_insensitive",
+         lambda t: claims.claims_reported(t, _r01ci),
+         lambda: claims_sql.claims_reported(branch="r3 ", department="n3", product="ma%", ci=True,
+                                            date_from=_r01ci.date_from, date_to=_r01ci.date_to))
 _r02 = ClaimsOutstandingParams(as_at=D(1998, 7, 1), run_ts=D(2002, 1, 1))
 register("claims_outstanding",
          lambda t: claims.claims_outstanding(t, _r02),
