@@ -19,20 +19,35 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import driver_fixtures
+from . import contract, driver_fixtures
+
+
+# (session, source, table) whose contract check passed in this process
+_VALIDATED: set[tuple] = set()
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame]):
+    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame], validate: bool = False,
+                 source: str | None = None):
         self.spark = spark
         self._loader = loader
+        self._validate = validate
+        self._source = source
         self._cache: dict[str, DataFrame] = {}
         self._dims: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         key = name.lower()
         if key not in self._cache:
-            self._cache[key] = self._loader(key)
+            df = self._loader(key)
+            memo = (id(self.spark), self._source, key)
+            if self._validate and (self._source is None or memo not in _VALIDATED):
+                expected = contract.schema_of(self.spark, key)
+                if expected is not None:
+                    contract.check(key, df, expected)
+                if self._source is not None:
+                    _VALIDATED.add(memo)
+            self._cache[key] = df
         return self._cache[key]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -53,7 +68,7 @@ class Tables:
         """Same tables, with some replaced (used by unit tests)."""
         base = self
         over = {k.lower(): v for k, v in frames.items()}
-        return Tables(self.spark, lambda n: over[n] if n in over else base[n])
+        return Tables(self.spark, lambda n: over[n] if n in over else base[n], self._validate)
 
     # ---------------------------------------------------------------- factories
     @classmethod
@@ -67,12 +82,15 @@ class Tables:
         return cls(spark, load)
 
     @classmethod
-    def from_parquet_dir(cls, spark: SparkSession, root: str) -> "Tables":
-        return cls(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"))
+    def from_parquet_dir(cls, spark: SparkSession, root: str, validate: bool = True) -> "Tables":
+        """One parquet dataset per table under ``root``; each table is checked
+        against the input contract when first used (``sources.contract``)."""
+        return cls(spark, lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"), validate,
+                   source=f"parquet:{root.rstrip('/')}")
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str) -> "Tables":
-        return cls(spark, lambda name: spark.table(f"{database}.{name}"))
+    def from_catalog(cls, spark: SparkSession, database: str, validate: bool = True) -> "Tables":
+        return cls(spark, lambda name: spark.table(f"{database}.{name}"), validate, source=f"catalog:{database}")
 
     @classmethod
     def from_driver_data(cls, spark: SparkSession, sf_dir: str) -> "Tables":

@@ -39,3 +39,18 @@ UNIQUE_KEYS = {
 def test_lookup_keys_are_unique(tables, name):
     df = tables[name]
     assert df.count() == df.select(*UNIQUE_KEYS[name]).distinct().count()
+
+
+def test_contract_matches_derived_tables_and_checks_loads(spark, tables, tmp_path):
+    from pyspark.sql import functions as F
+
+    from assurspark.sources import contract
+    from assurspark.sources.catalog import Tables
+    for name in ("clm_d_claim", "pay_d_exchange", "inc_v_policy_endorsements"):
+        assert contract.schema_of(spark, name) == tables[name].schema
+    tables.clm_d_cl_claim_st.withColumn("extra", F.lit(1)).write.parquet(str(tmp_path / "clm_d_cl_claim_st"))
+    tables.clm_d_claim.drop("adjuster").write.parquet(str(tmp_path / "clm_d_claim"))
+    t = Tables.from_parquet_dir(spark, str(tmp_path))
+    assert "extra" in t.clm_d_cl_claim_st.columns          # extra columns are fine
+    with pytest.raises(contract.ContractError, match="missing adjuster"):
+        t.clm_d_claim
