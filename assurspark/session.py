@@ -33,6 +33,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.broadcastTimeout": "900",
+    # window-filtered sides (this period's payouts, transactions, splits) build
+    # runtime bloom filters that prune scans of full-history tables -- e.g. the
+    # due-date lookup over all transactions -- before they are shuffled
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(256 * 1024 * 1024),
 }
 
 
