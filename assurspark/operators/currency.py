@@ -42,7 +42,11 @@ def _month_index(c: Column) -> Column:
 
 def rate_intervals(exchange: DataFrame) -> DataFrame:
     """Rates as half-open validity intervals ``[valid_from, valid_to)`` per currency
-    (``valid_to`` NULL on the latest rate)."""
+    (``valid_to`` NULL on the latest rate).
+
+    The window is partitioned by currency, so one task holds one currency's
+    rate history: bounded by the calendar (a rate a day is ~365 rows a year),
+    not by the facts being converted, which never pass through this window."""
     w = Window.partitionBy("ccurr_ccurr_id").orderBy("effective_date")
     return (exchange.where(F.col("ccurr_ccurr_id").isNotNull() & F.col("effective_date").isNotNull())
             .select(F.col("ccurr_ccurr_id").alias("r_ccy"),

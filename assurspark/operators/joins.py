@@ -1,10 +1,12 @@
 """Join operators the reports need beyond a plain ``DataFrame.join``.
 
-Sizing rule used throughout: a side is broadcast only after its size was
-checked (``broadcast_if_small``); everything else is left to the planner's
-size estimate and to AQE, which converts sort-merge joins to broadcast joins
-at runtime when the shuffled side turns out small and splits skewed
-partitions otherwise.
+Sizing rule used throughout: a side gets a broadcast hint only after its row
+count was checked (``broadcast_small`` for a report's code lists in one job,
+``broadcast_if_small`` for a single frame); everything else is left to the
+planner's size estimate and to AQE, which converts sort-merge joins to
+broadcast joins at run time when a shuffled side turns out small.  Keys that
+hold a large share of a big side are split by ``salted_join``; AQE's skew-join
+split covers the remaining shuffled joins.
 """
 
 from __future__ import annotations
