@@ -91,7 +91,7 @@ ROWS_PER_SPLIT_CONF = "assurspark.skew.rowsPerSplit"
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
                 hot_rows: int | None = None, rows_per_split: int | None = None,
                 extra: Column | None = None, hot_source: DataFrame | None = None,
-                hot_key: str | None = None) -> DataFrame:
+                hot_key: str | None = None, hot_weight: str | None = None) -> DataFrame:
     """``big JOIN small ON big_key = small_key`` that splits hot keys.
 
     A key holding a large share of ``big`` (a group policy with a third of the
@@ -108,7 +108,9 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     ``big`` -- a narrow superset of ``big``'s rows (e.g. the base table before
     the report's filters and joins), so the big side is not computed twice; a
     key hot in ``big`` is hot in any superset, a key hot only in the superset
-    is salted needlessly but still joined exactly.
+    is salted needlessly but still joined exactly.  ``hot_weight``: a column
+    of ``hot_source`` holding pre-aggregated row counts to sum instead of
+    counting rows (counts computed once and re-keyed through a mapping).
     A negative ``assurspark.skew.hotRows`` switches the salting off."""
     conf = big.sparkSession.conf
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
@@ -117,7 +119,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
         cond = big[big_key] == small[small_key]
         return big.join(small, cond if extra is None else cond & extra, how)
     src = big if hot_source is None else hot_source
-    hot = (src.groupBy(F.col(hot_key or big_key).alias("_hot_k")).agg(F.count(F.lit(1)).alias("_hot_n"))
+    n = F.count(F.lit(1)) if hot_weight is None else F.sum(hot_weight)
+    hot = (src.groupBy(F.col(hot_key or big_key).alias("_hot_k")).agg(n.alias("_hot_n"))
            .where(F.col("_hot_n") >= hot_rows)
            .select("_hot_k", F.ceil(F.col("_hot_n") / rows_per_split).cast("int").alias("_hot_s")))
     hot = F.broadcast(hot)
@@ -199,9 +202,9 @@ def null_aware_anti(left: DataFrame, left_key: str, values: DataFrame, value_col
     out = left.join(vals, left[left_key] == F.col("_nin_v"), "left_anti")
     if null_safe:
         return out
-    nulls = vals.agg(F.count(F.lit(1)) - F.count("_nin_v")).scalar()
-    rows = vals.agg(F.count(F.lit(1))).scalar()
-    return out.where((nulls == 0) & (F.col(left_key).isNotNull() | (rows == 0)))
+    stats = vals.agg(F.struct((F.count(F.lit(1)) - F.count("_nin_v")).alias("nulls"),
+                              F.count(F.lit(1)).alias("rows"))).scalar()
+    return out.where((stats["nulls"] == 0) & (F.col(left_key).isNotNull() | (stats["rows"] == 0)))
 
 
 def semi(left: DataFrame, right: DataFrame, on: Column | str | list, ) -> DataFrame:

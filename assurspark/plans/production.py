@@ -180,8 +180,12 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     account = (acc.select("ucet_id", "id_riad_obj")
                .join(z, F.col("id_riad_obj") == F.col("zml_id"), "inner")
                .join(zv, F.col("zml_zml_id") == F.col("zml_id"), "left"))
+    # transactions per account, counted once on the narrow key column; the
+    # per-contract counts for the version join below are re-keyed from them
+    per_account = t.pay_t_transakcia.groupBy(F.col("id_riad_ciel").alias("_acct")) \
+                                    .agg(F.count(F.lit(1)).alias("_n"))
     j = salted_join(tx, account, "id_riad_ciel", "ucet_id", "inner",
-                    hot_source=t.pay_t_transakcia.select("id_riad_ciel"))
+                    hot_source=per_account, hot_key="_acct", hot_weight="_n")
 
     hist = t.inc_t_zmluvy_h
     zh = hist.select(F.col("zmlh_id"), F.col("zml_id").alias("zh_zml_id"),
@@ -194,13 +198,12 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
         F.col("datum_od").alias("zh2_from"), F.col("datum_do").alias("zh2_to"),
         F.col("renewal_date").alias("zh2_renewal"), F.col("datum_zaciatku").alias("zh2_start"),
         F.col("aktualny_koniec").alias("zh2_cur_end"), F.col("datum_konca").alias("zh2_end"))
-    # transactions per contract, counted on the narrow (account -> contract) mapping
-    per_contract = t.pay_t_transakcia.select("id_riad_ciel").join(
-        t.pay_t_ucet.select("ucet_id", "id_riad_obj"), F.col("id_riad_ciel") == F.col("ucet_id"), "inner")
+    per_contract = per_account.join(t.pay_t_ucet.select("ucet_id", "id_riad_obj"),
+                                    F.col("_acct") == F.col("ucet_id"), "inner")
     j = salted_join(j, zh2, "zml_id", "zh2_zml_id", "left",
                     extra=(F.col("datum_splatnost") >= F.col("zh2_from"))
                     & (F.col("datum_splatnost") <= F.col("zh2_to")),
-                    hot_source=per_contract, hot_key="id_riad_obj")
+                    hot_source=per_contract, hot_key="id_riad_obj", hot_weight="_n")
     # The change-type lookups of both versions are left joins on code-list keys
     # whose columns are not used downstream, so they cannot change the rows.
 
