@@ -103,8 +103,8 @@ class RateTable:
 
     def _with_rate_of(self, df: DataFrame, ccy: int, at: str | Column, out: str) -> DataFrame:
         """Rate of one fixed currency: closed intervals joined on the month key only;
-        the currency's open-ended latest rate comes from two scalar subqueries
-        (evaluated once), so no join without an equality key is planned."""
+        the currency's open-ended latest rate (one row) comes from a scalar
+        subquery evaluated once, so no join without an equality key is planned."""
         if ccy == self.home_ccy:
             return df.withColumn(out, F.lit(1).cast("decimal(19,8)"))
         at_c = (F.col(at) if isinstance(at, str) else at).cast(T.TimestampNTZType())
@@ -115,9 +115,8 @@ class RateTable:
         j = base.join(c, (F.col("_rk_m") == F.col("_c_m")) & (F.col("_rk_at") >= F.col("_c_from"))
                       & (F.col("_rk_at") < F.col("_c_to")), "left")
         tail = self.open.where(F.col("r_ccy") == F.lit(ccy))
-        tail_from = tail.agg(F.max("r_from")).scalar()
-        tail_rate = tail.agg(F.max("r_rate")).scalar()
-        rate = F.coalesce(F.col("_c_rate"), F.when(F.col("_rk_at") >= tail_from, tail_rate))
+        last = tail.agg(F.struct(F.max("r_from").alias("start"), F.max("r_rate").alias("rate"))).scalar()
+        rate = F.coalesce(F.col("_c_rate"), F.when(F.col("_rk_at") >= last["start"], last["rate"]))
         return j.withColumn(out, rate).drop("_rk_at", "_rk_m", "_c_m", "_c_from", "_c_to", "_c_rate")
 
 
