@@ -257,3 +257,35 @@ def test_case_insensitive_code_parameters(tables):
     a = _prod(tables, class_code="MO", marketer="K0", **q)
     b = _prod(tables, class_code="mo", marketer="k0", string_compare=CASE_INSENSITIVE, **q)
     assert a.count() > 0 and a.count() == b.count()
+
+
+def test_t8_sum_insured_from_history_version(tables):
+    df = _prod(tables, basic_date="A", sysown_id=None, **_P)
+    premh = tables.inc_v_policy_premium_h.select(F.col("policyh_id").alias("h_id"),
+                                                 F.col("sum_insured").alias("h_sum_insured"))
+    j = df.join(premh, F.coalesce("endors_policyh_id", "pol_policyh_id") == F.col("h_id"), "inner")
+    assert j.count() > 0
+    assert j.where(F.col("sum_insured_orig") != F.col("h_sum_insured")).count() == 0
+
+
+def test_t9_basis_a_contains_basis_c(tables):
+    p = dict(sysown_id=None, date_from=D(1996, 1, 1), date_to=D(1998, 12, 31))
+    a = _prod(tables, basic_date="A", **p).drop("BasicDate")
+    c = _prod(tables, basic_date="C", **p).drop("BasicDate")
+    assert 0 < c.count() <= a.count()
+    assert c.exceptAll(a).count() == 0
+
+
+def test_t13_time_part_ignored_in_creation_date(tables):
+    mv = _movements(tables)
+    late = (mv.where(F.hour("creation_datetime") > 0).select("creation_date").orderBy("creation_date")
+            .limit(1).collect())
+    assert late
+    day = late[0].creation_date
+    upto = dt.datetime(day.year, day.month, day.day)          # midnight of that day
+    mv2 = production.premium_movements(
+        tables, DailyProductionParams(date_from=D(1995, 1, 1), date_to=upto),
+        production.RateTable(tables.pay_d_exchange))
+    same_day = mv2.where((F.col("creation_date") == F.lit(day)) & (F.hour("creation_datetime") > 0))
+    assert same_day.count() > 0
+    assert same_day.where(F.col("created_in_period") != 1).count() == 0
