@@ -289,3 +289,22 @@ def test_t13_time_part_ignored_in_creation_date(tables):
     same_day = mv2.where((F.col("creation_date") == F.lit(day)) & (F.hour("creation_datetime") > 0))
     assert same_day.count() > 0
     assert same_day.where(F.col("created_in_period") != 1).count() == 0
+
+
+def test_t3_cancelled_billing_pair_vanishes(spark, tables):
+    p = DailyProductionParams(**_P)
+    rates = production.RateTable(tables.pay_d_exchange)
+    mv = production.premium_movements(tables, p, rates)
+    # a transaction that has its own version and is the only one of its level-1 group
+    groups = mv.groupBy("policy_id", "policyh_id_orig").agg(F.countDistinct("transa_id").alias("n"),
+                                                             F.min("transa_id").alias("tx"))
+    tx = groups.where((F.col("n") == 1) & F.col("policyh_id_orig").isNotNull()).orderBy("tx").first().tx
+    splits = tables.pay_t_trans_rozpad
+    one = splits.where(F.col("transa_transa_id") == tx).limit(1)
+    pair = (one.withColumn("traroz_id", F.lit(-1).cast("bigint"))
+            .unionByName(one.withColumn("traroz_id", F.lit(-2).cast("bigint"))
+                         .withColumn("suma", -F.col("suma")).withColumn("sum_home_currency", -F.col("sum_home_currency"))))
+    t2 = tables.with_overrides({"pay_t_trans_rozpad": splits.where(F.col("transa_transa_id") != tx).unionByName(pair)})
+    l1 = production.premium_level1(production.premium_movements(t2, p, rates))
+    assert l1.where(F.col("max_transa_id") == tx).count() == 0
+    assert production.premium_level1(mv).where(F.col("max_transa_id") == tx).count() == 1
