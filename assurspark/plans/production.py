@@ -111,9 +111,13 @@ def _rzml_link_ids(t: Tables) -> DataFrame:
     return _dim(t, "rzml_link")
 
 
-def covers(t: Tables) -> DataFrame:
+def covers(t: Tables, needed: DataFrame | None = None) -> DataFrame:
     """P-09: cover totals per policy, members counted under their group policy
-    (valid member relation of type RZML), six sums with NULL -> 0."""
+    (valid member relation of type RZML), six sums with NULL -> 0.
+
+    ``needed``: one-column frame of the policy ids the caller will look up;
+    rows of other policies are dropped before the aggregation (exact: the
+    totals of a needed policy are unchanged)."""
     pp = semi(current(t.pol_d_policy_policy), _rzml_relation_ids(t),
               F.col("crel_crel_id") == F.col("crel_id"))
     ppr = t.inc_v_policy_premium
@@ -122,22 +126,32 @@ def covers(t: Tables) -> DataFrame:
     keyed = j.select(F.coalesce("policy_policy2_id", "policy_id").alias("cov_policy_id"),
                      "sum_insured", "premium_annual", "premium_modal", "rate_annual_tariff",
                      "premium_annual_discount", "premium_annual_loading")
+    if needed is not None:
+        keyed = semi(keyed, needed.select(F.col(needed.columns[0]).alias("_need")),
+                     F.col("cov_policy_id") == F.col("_need"))
     s = sums_nulls_as_zero(keyed, ["cov_policy_id"],
                            ["sum_insured", "premium_annual", "premium_modal", "rate_annual_tariff",
                             "premium_annual_discount", "premium_annual_loading"])
     return s.select("cov_policy_id", *[F.col(c).cast(D4).alias("cov_" + c) for c in s.columns[1:]])
 
 
-def commission_by_split(t: Tables, rates: RateTable) -> DataFrame:
+def commission_by_split(t: Tables, rates: RateTable, needed: DataFrame | None = None) -> DataFrame:
     """P-13: per premium split, the net commission of agents whose type creates
     pay-outs -- in original currency and converted to the agent's currency at the
-    case date (NULL -> 0 per reward; a case without rewards gives 0)."""
+    case date (NULL -> 0 per reward; a case without rewards gives 0).
+
+    ``needed``: one-column frame of the split ids the caller will look up
+    (the splits of the report's window); other cases are dropped first, so a
+    one-month report does not aggregate the commission history."""
     paying_types = _dim(t, "paying_agent_types")
     agents = semi(t.cms_t_spolupracovnik, paying_types,
                   F.col("cspolty_cspolty_id") == F.col("cspolty_id")).select("spoluprac_id")
     rewards = current(t.cms_t_odmena, "platny").where(F.col("suma_netto") != 0)
     rewards = semi(rewards, agents, F.col("spolupracovnik") == F.col("spoluprac_id"))
     cases = current(t.cms_t_proviz_pripad, "platny")
+    if needed is not None:
+        cases = semi(cases, needed.select(F.col(needed.columns[0]).alias("_need")),
+                     F.col("podklad_id") == F.col("_need"))
     j = cases.join(rewards, rewards.prprip_narok_id == cases.prprip_id, "left")
     j = rates.with_rate(j, "origin_currency_id", "date_from", "_r_orig")
     j = rates.with_rate(j, "agent_currency_id", "date_from", "_r_agent")
@@ -212,7 +226,10 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
         F.col("sum_home_currency").alias("tr_home"), "datum_od")
     j = j.join(splits, F.col("transa_transa_id") == F.col("transa_id"), "inner")
     j = semi(j, t.pay_t_cis_trans_stav.select("trastav_id"), F.col("trastav_trastav_id") == F.col("trastav_id"))
-    j = j.join(commission_by_split(t, rates), F.col("podklad_id") == F.col("traroz_id"), "left")
+    # commission only for the splits of the window's transactions
+    window_splits = semi(splits.select("traroz_id", "transa_transa_id"), tx.select(F.col("transa_id").alias("_tx")),
+                         F.col("transa_transa_id") == F.col("_tx")).select("traroz_id")
+    j = j.join(commission_by_split(t, rates, window_splits), F.col("podklad_id") == F.col("traroz_id"), "left")
     gm = current(t.inc_t_group_change_member, "platny").select(
         "member_policy_id", "member_policyh_id", "group_policyh_id")
     j = j.join(gm, (F.col("member_policy_id") == F.col("zh_zml_id"))
@@ -297,9 +314,13 @@ def premium_level2(level1: DataFrame) -> DataFrame:
     return _keep_nonzero(g.drop("to_date_max", "period_from_max", "period_to_max"))
 
 
-def coinsurance_shares(t: Tables) -> DataFrame:
-    """P-14: per policy the co-insurers' share (partner not an owner) and the own share."""
+def coinsurance_shares(t: Tables, needed: DataFrame | None = None) -> DataFrame:
+    """P-14: per policy the co-insurers' share (partner not an owner) and the own share
+    (``needed``: restrict to these policy ids before aggregating)."""
     pc = current(t.pol_d_policy_coinsurance)
+    if needed is not None:
+        pc = semi(pc, needed.select(F.col(needed.columns[0]).alias("_need")),
+                  F.col("policy_policy_id") == F.col("_need"))
     owners = current(t.par_d_owner_is).select(F.col("partner_partner_id").alias("o_partner"), "owner_id")
     j = pc.join(owners, F.col("partner_partner_id") == F.col("o_partner"), "left")
     return j.groupBy(F.col("policy_policy_id").alias("cs_policy_id")).agg(
@@ -307,12 +328,16 @@ def coinsurance_shares(t: Tables) -> DataFrame:
         sum_when_null(F.col("ratio"), F.col("owner_id"), False).cast(D4).alias("owner_coins_perc"))
 
 
-def certificates(t: Tables, policy_id: int | None) -> DataFrame:
+def certificates(t: Tables, policy_id: int | None, needed: DataFrame | None = None) -> DataFrame:
     """P-15: certificate / sticker parameters pivoted to five columns per policy;
-    option description preferred to the raw value, '' when absent."""
+    option description preferred to the raw value, '' when absent
+    (``needed``: restrict to these policy ids before aggregating)."""
     c = current(t.pol_d_cover)
     if policy_id is not None:
         c = c.where(F.col("policy_policy_id") == F.lit(policy_id))
+    if needed is not None:
+        c = semi(c, needed.select(F.col(needed.columns[0]).alias("_need")),
+                 F.col("policy_policy_id") == F.col("_need"))
     c = semi(c, _dim(t, "certificate_status"), F.col("polst_polst_id") == F.col("polst_id"))
     c = semi(c, t.prd_d_element.select("elm_id"), F.col("elm_elm_id") == F.col("elm_id"))
     pp = t.pol_d_cover_parameter.select("cover_cover_id", "elmprm_elmprm_id", F.col("value").alias("pp_value"))
@@ -371,10 +396,12 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
                   optional_nonempty_eq("pr_code", p.product, ci))
     # policy-keyed lookups
     hist = t.inc_v_policy_history.select(*[F.col(x).alias("h_" + x) for x in t.inc_v_policy_history.columns])
-    j = (j.join(certificates(t, p.certificate_policy_id), col("policy_id") == col("elm_policy_id"), "left")
+    # per-policy aggregates only for the report's policies (not the whole history)
+    needed = prem.select("pm_policy_id")
+    j = (j.join(certificates(t, p.certificate_policy_id, needed), col("policy_id") == col("elm_policy_id"), "left")
          .join(hist, col("policy_id") == col("h_policy_id"), "left")
-         .join(coinsurance_shares(t), col("policy_id") == col("cs_policy_id"), "left")
-         .join(covers(t), col("policy_id") == col("cov_policy_id"), "left"))
+         .join(coinsurance_shares(t, needed), col("policy_id") == col("cs_policy_id"), "left")
+         .join(covers(t, needed), col("policy_id") == col("cov_policy_id"), "left"))
     # originating version's change type
     j = (j.join(orig_change, col("pm_policyh_orig_id") == col("oc_id"), "left")
          .join(zt2, col("oc_zme") == col("zt2_id"), "left")
