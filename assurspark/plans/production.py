@@ -396,12 +396,14 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
                   optional_nonempty_eq("pr_code", p.product, ci))
     # policy-keyed lookups
     hist = t.inc_v_policy_history.select(*[F.col(x).alias("h_" + x) for x in t.inc_v_policy_history.columns])
-    # per-policy aggregates only for the report's policies (not the whole history)
-    needed = prem.select("pm_policy_id")
-    j = (j.join(certificates(t, p.certificate_policy_id, needed), col("policy_id") == col("elm_policy_id"), "left")
+    # per-policy totals are one aggregate per table, computed concurrently with the
+    # movements (keying them on the report's policies would make them wait for
+    # the premium aggregation); the commission above is the large per-split input
+    # and is restricted to the window
+    j = (j.join(certificates(t, p.certificate_policy_id), col("policy_id") == col("elm_policy_id"), "left")
          .join(hist, col("policy_id") == col("h_policy_id"), "left")
-         .join(coinsurance_shares(t, needed), col("policy_id") == col("cs_policy_id"), "left")
-         .join(covers(t, needed), col("policy_id") == col("cov_policy_id"), "left"))
+         .join(coinsurance_shares(t), col("policy_id") == col("cs_policy_id"), "left")
+         .join(covers(t), col("policy_id") == col("cov_policy_id"), "left"))
     # originating version's change type
     j = (j.join(orig_change, col("pm_policyh_orig_id") == col("oc_id"), "left")
          .join(zt2, col("oc_zme") == col("zt2_id"), "left")
