@@ -5,7 +5,6 @@ import decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from assurspark.operators import aggregates as A
 from assurspark.operators import currency as CU
