@@ -115,3 +115,17 @@ def test_rate_at_date_property(spark, rates, facts):
             cands = [(d, r) for (cc, d), r in uniq.items() if cc == c and d <= at]
             exp = decimal.Decimal(max(cands)[1]) / 100 if cands else None
         assert got[i] == exp, (c, at)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(days, st.integers(1, 999)), max_size=12), st.lists(days, max_size=15))
+def test_constant_currency_rate_equals_column_path(spark, rates, facts):
+    uniq = {d: r for d, r in rates}
+    ex = spark.createDataFrame([(49, d, decimal.Decimal(r) / 100) for d, r in uniq.items()],
+                               "ccurr_ccurr_id long, effective_date timestamp_ntz, "
+                               "foreign_exchange_middle decimal(19,8)")
+    df = spark.createDataFrame([(i, 49, at) for i, at in enumerate(facts)], "id int, ccy long, at timestamp_ntz")
+    rt = CU.RateTable(ex)
+    by_col = {r.id: r.x for r in rt.with_rate(df, "ccy", "at", "x").collect()}
+    by_const = {r.id: r.x for r in rt.with_rate(df, 49, "at", "x").collect()}
+    assert by_col == by_const
