@@ -163,6 +163,24 @@ def commission_by_split(t: Tables, rates: RateTable, needed: DataFrame | None =
                  .alias("broker_commission")))
 
 
+def window_policies(t: Tables, p: DailyProductionParams) -> DataFrame:
+    """Superset of the policies a production report can show: the (group or own)
+    contracts of the accounts that have a transaction in the scanned window.
+    Built from narrow columns early in the plan, so the per-policy totals keyed
+    on it run concurrently with the premium pipeline."""
+    extra = 0 if p.fix_period_end else 1
+    tx = current(t.pay_t_transakcia, "platny").where(F.col("predpis") == 1)
+    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to, extra_days=extra))
+    tx = prune_months(tx, "pay_t_transakcia", p.date_from,
+                      None if p.date_to is None else p.date_to + _dt.timedelta(days=extra))
+    acc = current(t.pay_t_ucet, "platny").select("ucet_id", "id_riad_obj")
+    links = semi(current(t.inc_t_zml_vazby, "platny"), _rzml_link_ids(t),
+                 F.col("vztah_vztah_id") == F.col("vztah_id")).select("zml_zml_id", "ku_zmluve_id")
+    j = semi(acc, tx.select(F.col("id_riad_ciel").alias("_acct")), F.col("ucet_id") == F.col("_acct"))
+    j = j.join(links, F.col("id_riad_obj") == F.col("zml_zml_id"), "left")
+    return j.select(F.coalesce("ku_zmluve_id", "id_riad_obj").alias("window_policy_id"))
+
+
 def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) -> DataFrame:
     """P-10: one row per valid prescribed transaction split, with signed amounts,
     versions, commission, periods and in-period flags."""
@@ -396,14 +414,14 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
                   optional_nonempty_eq("pr_code", p.product, ci))
     # policy-keyed lookups
     hist = t.inc_v_policy_history.select(*[F.col(x).alias("h_" + x) for x in t.inc_v_policy_history.columns])
-    # per-policy totals are one aggregate per table, computed concurrently with the
-    # movements (keying them on the report's policies would make them wait for
-    # the premium aggregation); the commission above is the large per-split input
-    # and is restricted to the window
-    j = (j.join(certificates(t, p.certificate_policy_id), col("policy_id") == col("elm_policy_id"), "left")
+    # per-policy totals only for the policies of the window's accounts (a key set
+    # built early from narrow columns, so these aggregates run concurrently with
+    # the premium pipeline instead of over the whole policy history)
+    needed = window_policies(t, p)
+    j = (j.join(certificates(t, p.certificate_policy_id, needed), col("policy_id") == col("elm_policy_id"), "left")
          .join(hist, col("policy_id") == col("h_policy_id"), "left")
-         .join(coinsurance_shares(t), col("policy_id") == col("cs_policy_id"), "left")
-         .join(covers(t), col("policy_id") == col("cov_policy_id"), "left"))
+         .join(coinsurance_shares(t, needed), col("policy_id") == col("cs_policy_id"), "left")
+         .join(covers(t, needed), col("policy_id") == col("cov_policy_id"), "left"))
     # originating version's change type
     j = (j.join(orig_change, col("pm_policyh_orig_id") == col("oc_id"), "left")
          .join(zt2, col("oc_zme") == col("zt2_id"), "left")
