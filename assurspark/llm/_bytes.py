@@ -88,6 +88,14 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         return mixed(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def rolling_hash(prefix: np.ndarray, width: int) -> np.ndarray:
+    """span_hash of every ``width`` neighbouring bytes."""
+    n = len(prefix) - width
+    with np.errstate(over="ignore"):
+        h = (prefix[width:] - prefix[:n]) * _powers(_PINV, len(prefix))[:n]
+        return mixed(h + np.uint64(width * 0xD6E8FEB86659FD93 % (1 << 64)))
+
+
 def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
     edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))

@@ -6,13 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import contamination_sql, op6_decontamination
 from .language_id import op7_language_id
+from .lm_scoring import op3_lm_scoring
+from .ngram_join import op1_ngram_join
 from .quality_classifier import op4_quality_classifier
 from .quality_rules import op8_quality_rules
 from .source_mixing import op9_source_mixing
+from .suffix_dedup import op10_suffix_dedup
+from .token_files import op2_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_classifier, op7_language_id, op8_quality_rules, op9_source_mixing)
+    f.__name__: f for f in (
+        op1_ngram_join, op2_token_files, op3_lm_scoring, op4_quality_classifier, op6_decontamination, op7_language_id,
+        op8_quality_rules, op9_source_mixing, op10_suffix_dedup)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_decontamination": contamination_sql(),
+}
