@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Characters that separate words where an operator says "words": space and \t..\r.
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,7 +55,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     there, and a lost executor costs a re-read instead of a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
+    # the shuffle files of this job are of no use once the table is written
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,11 @@
 """Language-model scoring by prediction by partial matching (PPM).
 
-A trie of byte contexts (orders 4 to 0) is counted over the training texts.
-The probability of a byte is read from the longest context that the trie knows;
-a byte not seen there costs an escape (as likely as the number of different
-bytes seen in the context), and the shorter context is asked with the symbols
-of the longer one excluded; below order 0 all remaining byte values are equally
-likely.  A text's score is the log10 probability of its bytes and of its end.
+A trie of byte contexts (orders 5 to 0) is counted over the training texts.
+The probability of a byte is read from the longest context that the trie knows.
+Each symbol seen there gives half a count to the escape, which also has the
+counts of nodes that were not kept; a byte not in the context costs an escape,
+and the shorter context is asked with the symbols of the longer one excluded.
+Below order 0 all remaining byte values are equally likely.  A text's score is the log10 probability of its bytes and of its end.
 
 The counts of all training positions are gathered by a shuffle.  What is sent
 to the tasks is bounded: a node stays in the trie if it holds at least one in
@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from ._bytes import PIECE, SEP, SPACE, mixed, owner, pieces, prefix_hash, span_hash, spans
 from ._shared import cut, id_remainder, ship, table
 
-ORDER = 4
+ORDER = 5
 NODES, WORDS = 1 << 20, 1 << 20
+DISCOUNT = 0.5
 HELD_OUT_MOD, HELD_OUT = 7, 2
 #: Rows a task gathers before it hands its counts on.
 FLUSH = 1 << 21
@@ -136,7 +137,12 @@ class Trie:
             edge = np.append(first, len(key))
             upto = np.concatenate([[0], np.cumsum(n)])
             level = {"key": key, "n": n, "context": context, "total": np.diff(upto[edge]), "kinds": np.diff(edge)}
+            level["lost"] = np.zeros(len(context))
             if k:
+                # the context's occurrences that its kept symbols do not cover
+                at, known = self._find(self.levels[-1]["key"], context)
+                if known.any():
+                    level["lost"] = np.where(known, np.maximum(self.levels[-1]["n"][at] - level["total"], 0), 0)
                 # counts that the context's symbols have one order lower: excluded there
                 low = self.levels[-1]
                 at = np.searchsorted(low["key"], key & np.uint64((1 << (8 * k)) - 1))
@@ -161,15 +167,15 @@ class Trie:
             own = g[live] & np.uint64((1 << (8 * (k + 1))) - 1)
             c, known = self._find(level["context"], own >> np.uint64(8))
             total = np.where(known, level["total"][c] - excluded[live], 0.0) if len(level["context"]) else np.zeros(len(live))
+            lost = np.where(known, level["lost"][c], 0.0) if len(level["context"]) else np.zeros(len(live))
             new = np.where(known, level["kinds"][c] - kinds[live], 0.0) if len(level["context"]) else np.zeros(len(live))
             s, seen = self._find(level["key"], own)
             seen &= known
-            whole = total + new
-            some = whole > 0
-            hit = seen & some
-            out[live[hit]] += np.log10(level["n"][s[hit]] / whole[hit])
-            miss = ~hit & some
-            out[live[miss]] += np.log10(new[miss] / whole[miss])
+            whole = total + lost
+            hit = seen & (whole > 0)
+            out[live[hit]] += np.log10((level["n"][s[hit]] - DISCOUNT) / whole[hit])
+            miss = ~hit & (whole > 0)
+            out[live[miss]] += np.log10((lost[miss] + DISCOUNT * new[miss]) / whole[miss])
             if k:
                 excluded[live] = np.where(known, level["excluded"][c], 0.0) if len(level["context"]) else 0.0
             kinds[live] = np.where(known, level["kinds"][c], 0.0) if len(level["context"]) else 0.0
@@ -308,11 +314,11 @@ def adaptive_code_length(text: bytes, order: int = ORDER) -> float:
             seen = {s: c for s, c in tables[k].get(contexts[k], {}).items() if s not in excluded}
             if not seen:
                 continue
-            whole = sum(seen.values()) + len(seen)
+            whole = sum(seen.values())
             if symbol in seen:
-                total += np.log10(seen[symbol] / whole)
+                total += np.log10((seen[symbol] - DISCOUNT) / whole)
                 break
-            total += np.log10(len(seen) / whole)
+            total += np.log10(DISCOUNT * len(seen) / whole)
             excluded |= set(seen)
         else:
             total -= np.log10(256.0 - len(excluded))

@@ -103,8 +103,8 @@ def _sign(depth: int):
                 flat = pa.array(keys.view(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * TREES + 1, TREES, dtype=np.int32)), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, n), pa.array(text, mask=blank),
-                     pa.array(n_words), lists], ["doc_id", "text_class", "n_words", "keys"])
+                    [ids.slice(i, n), batch.column("doc").slice(i, n), pa.array(text, mask=blank),
+                     pa.array(n_words), lists], ["doc_id", "doc", "text_class", "n_words", "keys"])
 
     return run
 
@@ -229,8 +229,8 @@ def _verify(similarity: float):
 
 
 def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, tile: int = TILE) -> DataFrame:
-    """Near duplicates of (doc_id, text): a row per row with doc_id, text_class
-    (texts with the same words; null for an empty text), class_id (smallest
+    """Near duplicates of (doc_id, text): a row per row with doc_id, doc (hash of
+    id and text), group (one value per class; null for an empty text), class_id (smallest
     doc_id of all documents connected by links), copy_of (smallest doc_id with
     the same words), n_links (other documents at ``similarity`` or more) and
     n_linked_texts (other classes).
@@ -243,8 +243,8 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     spark = docs.sparkSession
     ship(spark)
     depth = matched_depth(similarity, recall=recall)
-    signed = cut(docs.select("doc_id", "text").mapInArrow(
-        _sign(depth), "doc_id long, text_class long, n_words long, keys array<long>"), "signed")
+    signed = cut(docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), "text").mapInArrow(
+        _sign(depth), "doc_id long, doc long, text_class long, n_words long, keys array<long>"), "signed")
     classes = cut(signed.where("text_class is not null").groupBy("text_class").agg(
         F.min("doc_id").alias("copy_of"), F.count("*").alias("size"), F.max("n_words").alias("n_words"),
         F.first("keys").alias("keys")), "classes")
@@ -284,14 +284,15 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     # what every class knows; documents of one class (a third of all rows, perhaps) are joined to its row
     known = (classes.select("text_class", "copy_of", "size")
              .join(counts, "text_class", "left")
-             .join(linked.join(smallest, "root").select(F.col("node").alias("text_class"), "class_id"), "text_class", "left")
+             .join(linked.join(smallest, "root").select(F.col("node").alias("text_class"), "root", "class_id"), "text_class", "left")
              .select("text_class", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"),
+                     F.coalesce("root", "text_class").alias("group"),
                      (F.col("size") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"),
                      F.coalesce("n_texts", F.lit(0)).alias("n_linked_texts")))
-    return signed.select("doc_id", "text_class", "n_words").join(known, "text_class", "left").select(
-        "doc_id", "text_class", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_of", "doc_id").alias("copy_of"),
+    return signed.select("doc_id", "doc", "text_class").join(known, "text_class", "left").select(
+        "doc_id", "doc", "group", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_of", "doc_id").alias("copy_of"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_linked_texts", F.lit(0)).alias("n_linked_texts"))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents")).drop("text_class")
+    return ngram_join(table(spark, sf_dir, "documents")).drop("doc", "group")

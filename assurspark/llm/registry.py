@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import contamination_sql, op6_decontamination
 from .language_id import op7_language_id
+from .line_dedup import op5_line_dedup
 from .lm_scoring import op3_lm_scoring
 from .ngram_join import op1_ngram_join
 from .quality_classifier import op4_quality_classifier
@@ -18,8 +19,8 @@ from .token_files import op2_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_ngram_join, op2_token_files, op3_lm_scoring, op4_quality_classifier, op6_decontamination, op7_language_id,
-        op8_quality_rules, op9_source_mixing, op10_suffix_dedup)
+        op1_ngram_join, op2_token_files, op3_lm_scoring, op4_quality_classifier, op5_line_dedup,
+        op6_decontamination, op7_language_id, op8_quality_rules, op9_source_mixing, op10_suffix_dedup)
 }
 
 ORACLES: dict[str, str] = {

@@ -111,10 +111,20 @@ def mix_sources(docs: DataFrame, share: float = 1.5, limit: float = 2.0,
     repeated rows are separate documents; an empty table gives no rows; if all
     sizes are 0 every target is 0; clashing extra columns are not read.
     """
-    # key: what random numbers depend on; id: tells repeated rows apart, written once
-    sized = docs.select("doc_id", "source", F.xxhash64(F.lit(SEED), "doc_id", "text").alias("key"),
-                        word_count(F.col("text")).alias("size"))
-    rows = cut(sized.withColumn("id", F.monotonically_increasing_id()), "sized")
+    rows = cut(docs.select("doc_id", *unit_columns(F.col("doc_id"), F.col("text"), F.col("source"))), "sized")
+    copies = mix_rows(rows.select("id", "key", "source", "size"), share, limit, cycle)
+    return rows.select("id", "doc_id").join(copies, "id").select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def unit_columns(doc_id: Column, text: Column, source: Column) -> list[Column]:
+    """id (tells rows apart once they are written), key (what random numbers depend on), source, size."""
+    return [F.monotonically_increasing_id().alias("id"), F.xxhash64(F.lit(SEED), doc_id, text).alias("key"),
+            source.alias("source"), word_count(text).alias("size")]
+
+
+def mix_rows(rows: DataFrame, share: float = 1.5, limit: float = 2.0, cycle: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
+    """(id, size, source_size, target, copies) for written rows of (id, key, source, size)."""
     targets = cut(source_targets(rows.select("source", "size"), share, limit, cycle), "targets")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # leaves: size classes of a source (12 % wide), cut by hash into leaves of about FAN_IN documents
@@ -127,7 +137,7 @@ def mix_sources(docs: DataFrame, share: float = 1.5, limit: float = 2.0,
         F.col("t.source").alias("of"), F.col("class").alias("of_class"), "leaves", "offset", expected.alias("x"), "source_size", "target")
     placed = rows.withColumn("class", size_class).join(
         per_class, F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("of_class"))
-    ).select("id", "key", "doc_id", "source", "size", "x", "source_size", "target",
+    ).select("id", "key", "source", "size", "x", "source_size", "target",
              (F.col("offset") + F.pmod(F.col("key"), F.col("leaves"))).alias("at"))
     placed = cut(placed, "placed")
     units = placed.select("source", "at", "size", "key", "id", (F.col("x") - F.floor("x")).alias("p")).where(
@@ -151,8 +161,7 @@ def mix_sources(docs: DataFrame, share: float = 1.5, limit: float = 2.0,
     whole = F.when(F.col("x") - F.floor("x") >= 1 - 1e-12, F.floor("x") + 1).otherwise(F.floor("x"))
     copies = (whole + F.coalesce("extra", F.lit(0))).cast("long")
     return (placed.join(won, "id", "left").withColumn("copies", copies)
-            .select("doc_id", "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken")))
+            .select("id", "size", "source_size", "target", "copies"))
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
