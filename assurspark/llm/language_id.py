@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,7 +145,7 @@ def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
     sample = (rows.join(F.broadcast(cuts), "lang").where(draw < F.col("below"))  # one row per language
               .select(F.xxhash64("doc_id", "text").alias("key"), "text", "lang"))
 
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = sorted((k, t or "", g) for b in batches for k, t, g in zip(
             b.column("key").to_pylist(), b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True))
         grams = [gram_counts(t) for _, t, _ in got]
@@ -164,7 +163,7 @@ def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
             [pa.array(np.append(at, -1)),
              pa.array([*w[at].tolist(), [fit_temperature(logits, y[asked])]], pa.list_(pa.float64()))], ["gram", "w"])
 
-    fitted = sample.coalesce(1).mapInArrow(train, "gram long, w array<double>").collect()  # at most DIM + 1 rows
+    fitted = sample.repartition(1).mapInArrow(train, "gram long, w array<double>").collect()  # at most DIM + 1 rows
     w = np.zeros((DIM, len(langs)))
     t = 1.0
     for r in fitted:

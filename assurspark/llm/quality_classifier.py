@@ -23,6 +23,7 @@ from .quality_rules import features, labelled, text_statistics
 FIT_ROWS, PAIRS = 6000, 40_000
 RIDGE = 1e-3
 ACCEPT = 0.7        # score from which a document is predicted good
+N_FEATURES = 17
 LEVELS = 1000       # resolution of the quantiles among which the threshold is chosen
 
 
@@ -93,11 +94,11 @@ def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
 
     got = labelled(docs, labels, "quality", fit_rows, train).mapInArrow(
         fit_rows_of, "label int, x array<double>").toPandas()
-    x = np.array(got["x"].tolist(), float).reshape(len(got), -1)
+    x = np.array(got["x"].tolist(), float).reshape(len(got), N_FEATURES)
     good = got["label"].to_numpy() == 1
     order = np.lexsort(x.T[::-1]) if len(x) else np.zeros(0, int)
-    weights = fit_bradley_terry(x[order], good[order]) if len(x) else np.zeros(17)
-    model = spark.sparkContext.broadcast(weights)  # 17 numbers
+    weights = fit_bradley_terry(x[order], good[order]) if len(x) else np.zeros(N_FEATURES)
+    model = spark.sparkContext.broadcast(weights)  # N_FEATURES numbers
 
     def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
