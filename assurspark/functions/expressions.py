@@ -88,12 +88,12 @@ def _check_like(p: str) -> str:
 def product_pattern(c: str | Column, p: str | None, ci: bool = False) -> Column | None:
     """F-13: ``c LIKE coalesce(p, c) OR p = ''``.
 
-    ``''`` = any row; ``None`` = ``c LIKE c`` (true for every non-null code);
+    ``''`` = any row; ``None`` = every non-null code (what ``c LIKE c`` means);
     else a LIKE match where ``_`` and ``%`` are wildcards (``ci``: case-insensitive)."""
     if p == "":
         return None
     if p is None:
-        return F.like(col(c), col(c))
+        return col(c).isNotNull()
     p = _check_like(p)
     return F.upper(col(c)).like(p.upper()) if ci else col(c).like(p)
 

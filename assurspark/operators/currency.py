@@ -1,8 +1,8 @@
 """Exchange rates: latest rate per currency (P-04) and rate-at-date lookups (F-01, J-09).
 
 Rates are home-currency units per foreign unit.  The rate table is a
-dimension bounded by (#currencies x #rate dates); facts are never shuffled to
-meet it -- it is broadcast after a size check and probed by hash.
+dimension bounded by (#currencies x #rate dates); while it is under the byte
+threshold Spark broadcasts it and the facts keep their partitioning.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .joins import broadcast_small
-
 # fixed values: currency ids of the home currency and of the reporting
 # currency used by the production report's "...GHS" columns
 HOME_CCY_ID = 43
@@ -42,17 +40,17 @@ def _month_index(c: Column) -> Column:
 
 def rate_intervals(exchange: DataFrame) -> DataFrame:
     """Rates as half-open validity intervals ``[valid_from, valid_to)`` per currency
-    (``valid_to`` NULL on the latest rate).
+    (``valid_to`` NULL on the latest rate).  Of several rates of a currency on
+    one date the greatest counts.
 
     The window is partitioned by currency, so one task holds one currency's
     rate history: bounded by the calendar (a rate a day is ~365 rows a year),
     not by the facts being converted, which never pass through this window."""
-    w = Window.partitionBy("ccurr_ccurr_id").orderBy("effective_date")
-    return (exchange.where(F.col("ccurr_ccurr_id").isNotNull() & F.col("effective_date").isNotNull())
-            .select(F.col("ccurr_ccurr_id").alias("r_ccy"),
-                    F.col("effective_date").alias("r_from"),
-                    F.lead("effective_date").over(w).alias("r_to"),
-                    F.col("foreign_exchange_middle").alias("r_rate")))
+    w = Window.partitionBy("r_ccy").orderBy("r_from")
+    days = (exchange.where(F.col("ccurr_ccurr_id").isNotNull() & F.col("effective_date").isNotNull())
+            .groupBy(F.col("ccurr_ccurr_id").alias("r_ccy"), F.col("effective_date").alias("r_from"))
+            .agg(F.max("foreign_exchange_middle").alias("r_rate")))
+    return days.select("r_ccy", "r_from", F.lead("r_from").over(w).alias("r_to"), "r_rate")
 
 
 class RateTable:
@@ -61,20 +59,21 @@ class RateTable:
     Closed intervals are exploded over the calendar months they touch, so the
     equi key (currency, month) narrows each probe to about one month of rate
     rows; the open-ended latest rate of each currency is a second,
-    one-row-per-currency lookup.  Both sides are small and broadcast after a
-    size check, so the facts keep their partitioning (no shuffle)."""
+    one-row-per-currency lookup.
+
+    ``owner``: rates of one system owner only, where the rate list has an
+    ``OWNER_COLUMN``; without the column all rates belong to one owner."""
 
-    def __init__(self, exchange: DataFrame, home_ccy: int = HOME_CCY_ID, size_check=None):
-        iv = rate_intervals(exchange)
+    OWNER_COLUMN = "sysown_sysown_id"
+
+    def __init__(self, exchange: DataFrame, home_ccy: int = HOME_CCY_ID, owner: int | None = None):
+        if owner is not None and self.OWNER_COLUMN in exchange.columns:
+            exchange = exchange.where(F.col(self.OWNER_COLUMN) == F.lit(owner))
+        self.intervals = rate_intervals(exchange)
         self.home_ccy = home_ccy
-        builders = {
-            "rates_closed": lambda: iv.where(F.col("r_to").isNotNull()).withColumn(
-                "r_month", F.explode(F.sequence(_month_index(F.col("r_from")), _month_index(F.col("r_to"))))),
-            "rates_open": lambda: iv.where(F.col("r_to").isNull()).select("r_ccy", "r_from", "r_rate"),
-        }
-        checked = (size_check or (lambda b: broadcast_small({k: f() for k, f in b.items()})))(builders)
-        self.closed = checked["rates_closed"]
-        self.open = checked["rates_open"]
+        self.closed = self.intervals.where(F.col("r_to").isNotNull()).withColumn(
+            "r_month", F.explode(F.sequence(_month_index(F.col("r_from")), _month_index(F.col("r_to")))))
+        self.open = self.intervals.where(F.col("r_to").isNull()).select("r_ccy", "r_from", "r_rate")
 
     def with_rate(self, df: DataFrame, ccy: str | Column, at: str | Column, out: str) -> DataFrame:
         """Add column ``out`` = rate of currency ``ccy`` valid at ``at`` (greatest
@@ -100,24 +99,25 @@ class RateTable:
                 .drop("_rk_ccy", "_rk_at", "_rk_m", "_c_ccy", "_c_m", "_c_from", "_c_to", "_c_rate",
                       "_o_ccy", "_o_from", "_o_rate"))
 
-
     def _with_rate_of(self, df: DataFrame, ccy: int, at: str | Column, out: str) -> DataFrame:
-        """Rate of one fixed currency: closed intervals joined on the month key only;
-        the currency's open-ended latest rate (one row) comes from a scalar
-        subquery evaluated once, so no join without an equality key is planned."""
+        """Rate of one fixed currency, without a join: its rate history (a row per
+        rate date, bounded by the calendar) is one scalar subquery, an array per
+        month, so the facts keep their partitioning whatever their months."""
         if ccy == self.home_ccy:
             return df.withColumn(out, F.lit(1).cast("decimal(19,8)"))
         at_c = (F.col(at) if isinstance(at, str) else at).cast(T.TimestampNTZType())
-        base = df.withColumn("_rk_at", at_c).withColumn("_rk_m", _month_index(F.col("_rk_at")))
-        c = self.closed.where(F.col("r_ccy") == F.lit(ccy)).select(
-            F.col("r_month").alias("_c_m"), F.col("r_from").alias("_c_from"),
-            F.col("r_to").alias("_c_to"), F.col("r_rate").alias("_c_rate"))
-        j = base.join(c, (F.col("_rk_m") == F.col("_c_m")) & (F.col("_rk_at") >= F.col("_c_from"))
-                      & (F.col("_rk_at") < F.col("_c_to")), "left")
-        tail = self.open.where(F.col("r_ccy") == F.lit(ccy))
-        last = tail.agg(F.struct(F.max("r_from").alias("start"), F.max("r_rate").alias("rate"))).scalar()
-        rate = F.coalesce(F.col("_c_rate"), F.when(F.col("_rk_at") >= last["start"], last["rate"]))
-        return j.withColumn(out, rate).drop("_rk_at", "_rk_m", "_c_m", "_c_from", "_c_to", "_c_rate")
+        one = self.intervals.where(F.col("r_ccy") == F.lit(ccy))
+        entry = F.struct(F.col("r_from").alias("start"), F.col("r_to").alias("end"), F.col("r_rate").alias("rate"))
+        months = (self.closed.where(F.col("r_ccy") == F.lit(ccy)).groupBy("r_month").agg(F.collect_list(entry).alias("e")))
+        by_month = months.agg(F.map_from_entries(F.collect_list(F.struct("r_month", "e")))).scalar()
+        last = (one.where(F.col("r_to").isNull())
+                .agg(F.max(F.struct(F.col("r_from").alias("start"), F.col("r_rate").alias("rate")))).scalar())
+        # columns of their own: a higher-order function may not hold a subquery
+        j = df.withColumn("_rk_days", by_month[_month_index(at_c)]).withColumn("_rk_last", last)
+        hits = F.filter("_rk_days", lambda x: (x["start"] <= at_c) & (at_c < x["end"]))
+        rate = F.coalesce(F.get(hits, F.lit(0))["rate"],
+                          F.when(at_c >= F.col("_rk_last.start"), F.col("_rk_last.rate")))
+        return j.withColumn(out, rate).drop("_rk_days", "_rk_last")
 
 
 def converted(amount: str | Column, from_ccy: str | Column, to_ccy: str | Column | int,

@@ -1,57 +1,17 @@
 """Join operators the reports need beyond a plain ``DataFrame.join``.
 
-Sizing rule used throughout: a side gets a broadcast hint only after its row
-count was checked (``broadcast_small`` for a report's code lists in one job,
-``broadcast_if_small`` for a single frame); everything else is left to the
-planner's size estimate and to AQE, which converts sort-merge joins to
-broadcast joins at run time when a shuffled side turns out small.  Keys that
-hold a large share of a big side are split by ``salted_join``; AQE's skew-join
-split covers the remaining shuffled joins.
+No side gets a broadcast hint: the byte threshold of the session and AQE decide
+from measured sizes.  The one exception is the hot-key list of ``salted_join``,
+whose size is bounded by its definition.  Keys that hold a large share of a big
+side are split by ``salted_join``; AQE's skew-join split covers the remaining
+shuffled joins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for a side to be broadcast explicitly.  Code lists are
-# far below it; a side above it is joined by shuffle (or by AQE's runtime
-# broadcast if it shrinks after filtering).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` -- it stops reading as soon
-    as the bound is exceeded, so it stays cheap on a large input and the
-    answer is exact on a small one.  Above the bound the frame is returned
-    unchanged and the join shuffles."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def broadcast_small(frames: Mapping[str, DataFrame],
-                    max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:
-    """``broadcast_if_small`` for several candidate sides with a single Spark job.
-
-    Every frame contributes one tag column (no data columns, so scans read
-    only what their filters need) to one union; a grouped count with partial
-    aggregation gives the exact row count of each frame in a single shuffle
-    stage, and only those counts (one row per frame) reach the driver."""
-    names = list(frames)
-    if not names:
-        return {}
-    tagged = [frames[n].select(F.lit(i).alias("_tag")) for i, n in enumerate(names)]
-    counts = {r["_tag"]: r["n"] for r in reduce(DataFrame.unionAll, tagged)
-              .groupBy("_tag").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {n: (F.broadcast(frames[n]) if counts.get(i, 0) <= max_rows else frames[n])
-            for i, n in enumerate(names)}
-
-
 def or_equi_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key: str,
                  how: str = "inner", key_alias: str = "_or_key") -> DataFrame:
     """J-07: ``left JOIN right ON right.k = left.a OR right.k = left.b`` without a
@@ -91,7 +51,7 @@ ROWS_PER_SPLIT_CONF = "assurspark.skew.rowsPerSplit"
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
                 hot_rows: int | None = None, rows_per_split: int | None = None,
                 extra: Column | None = None, hot_source: DataFrame | None = None,
-                hot_key: str | None = None, hot_weight: str | None = None) -> DataFrame:
+                hot_key: str | None = None) -> DataFrame:
     """``big JOIN small ON big_key = small_key`` that splits hot keys.
 
     A key holding a large share of ``big`` (a group policy with a third of the
@@ -105,12 +65,10 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     what makes its broadcast safe.  ``how``: ``inner`` or ``left``;
     ``extra``: an additional (e.g. range) condition over columns of both sides.
     ``hot_source`` / ``hot_key``: count the keys on this frame instead of on
-    ``big`` -- a narrow superset of ``big``'s rows (e.g. the base table before
-    the report's filters and joins), so the big side is not computed twice; a
-    key hot in ``big`` is hot in any superset, a key hot only in the superset
-    is salted needlessly but still joined exactly.  ``hot_weight``: a column
-    of ``hot_source`` holding pre-aggregated row counts to sum instead of
-    counting rows (counts computed once and re-keyed through a mapping).
+    ``big`` -- a narrow superset of ``big``'s rows (e.g. the window's rows of
+    the base table), so the big side is not computed twice; a key hot in
+    ``big`` is hot in any superset, a key hot only in the superset is salted
+    needlessly but still joined exactly.
     A negative ``assurspark.skew.hotRows`` switches the salting off."""
     conf = big.sparkSession.conf
     hot_rows = hot_rows or int(conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
@@ -119,8 +77,7 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
         cond = big[big_key] == small[small_key]
         return big.join(small, cond if extra is None else cond & extra, how)
     src = big if hot_source is None else hot_source
-    n = F.count(F.lit(1)) if hot_weight is None else F.sum(hot_weight)
-    hot = (src.groupBy(F.col(hot_key or big_key).alias("_hot_k")).agg(n.alias("_hot_n"))
+    hot = (src.groupBy(F.col(hot_key or big_key).alias("_hot_k")).agg(F.count(F.lit(1)).alias("_hot_n"))
            .where(F.col("_hot_n") >= hot_rows)
            .select("_hot_k", F.ceil(F.col("_hot_n") / rows_per_split).cast("int").alias("_hot_s")))
     hot = F.broadcast(hot)

@@ -1,7 +1,7 @@
 """Claims reports R-01 (reported), R-02 (outstanding), R-03 (settled) and their stages.
 
 Plan shape (all three): a claim-level base is built from the claim table and
-small code lists (broadcast after a size check), then enriched by left joins.
+small code lists (broadcast under the byte threshold), then enriched by left joins.
 The joins are ordered by key -- first every policy-keyed join, then every
 claim-keyed join -- so the wide row is shuffled once per key and consecutive
 sort-merge joins on the same key reuse the partitioning.  Per-claim detail
@@ -24,7 +24,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import latest_per_key, span_per_key
 from ..operators.currency import latest_rates
-from ..operators.joins import or_equi_join, salted_join
+from ..operators.joins import or_equi_join, semi
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
 from .params import CASE_INSENSITIVE, ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams
@@ -72,7 +72,7 @@ def _rate_by_code(t: Tables) -> DataFrame:
 
 
 def claim_dims(t: Tables, culture_id: int, settled: bool = False) -> dict[str, DataFrame]:
-    """The code lists a claims report broadcasts, size-checked together (one job)."""
+    """The code lists of a claims report, built once."""
     b = {f"units:{culture_id}": lambda: _org_units(t, culture_id),
          f"claim_status:{culture_id}": lambda: _claim_status(t, culture_id),
          "rate_by_code": lambda: _rate_by_code(t)}
@@ -91,7 +91,7 @@ def claim_dims(t: Tables, culture_id: int, settled: bool = False) -> dict[str, D
 
 
 def org_units(t: Tables, culture_id: int) -> DataFrame:
-    """P-02: organisation units with their level, one culture (size-checked broadcast)."""
+    """P-02: organisation units with their level, one culture."""
     return claim_dims(t, culture_id)[f"units:{culture_id}"]
 
 
@@ -119,7 +119,7 @@ def claim_core(t: Tables, culture_id: int, notified_from=None, notified_to=None)
         "notification_date", F.col("occurence_date").alias("LOSS_DATE"), "settlement_date",
         "registration_date", "claim_status_code", "claim_status", "loss_street",
         "loss_house_number1", "loss_house_number2", "loss_city", "loss_postal_code", "loss_place",
-        "LOSS_DESCRIPTION", F.col("payment_identifier").alias("Voucher_No"),
+        "LOSS_DESCRIPTION", F.col("payment_identifier").alias("Voucher_No"), "adjuster",
         "u_parent", "u_code", "u_abbrev", "u_name", "u_level_no", "u_level_name")
 
 
@@ -127,7 +127,7 @@ _CORE_COLS = ["orgunit_admin_id", "claim_id", "claim_number", "policy_policy_id"
               "notification_date", "LOSS_DATE", "settlement_date", "registration_date",
               "claim_status_code", "claim_status", "loss_street", "loss_house_number1",
               "loss_house_number2", "loss_city", "loss_postal_code", "loss_place",
-              "LOSS_DESCRIPTION", "Voucher_No"]
+              "LOSS_DESCRIPTION", "Voucher_No", "adjuster"]
 
 
 def department_arm(t: Tables, culture_id: int, core: DataFrame) -> DataFrame:
@@ -190,31 +190,48 @@ def both_arms(t: Tables, culture_id: int, core: DataFrame, arm1_filter=None, arm
     return out.drop("_is_dept")
 
 
-def claim_officer(t: Tables) -> DataFrame:
-    """P-03: claim -> adjuster partner (valid, inner) -> physical / legal person (valid, left)."""
-    clm = current(t.clm_d_claim).select("claim_id", "adjuster")
+def officer_names(t: Tables) -> DataFrame:
+    """P-03 per staff member: valid partner -> physical / legal person (valid, left).
+    The claims reports join it on the adjuster their claim rows carry."""
     p = current(t.par_d_partner).select("partner_id")
     pp = current(t.par_d_physical_person).select(
         F.col("partner_root_id").alias("pp_id"), F.col("first_name").alias("phys_person_firstname"),
         F.col("surname").alias("phys_person_surname"))
     lp = current(t.par_d_legal_person).select(
         F.col("partner_root_id").alias("lp_id"), F.col("name").alias("legal_person_name"))
-    return (clm.join(p, clm.adjuster == p.partner_id, "inner")
-            .join(pp, F.col("partner_id") == F.col("pp_id"), "left")
+    return (p.join(pp, F.col("partner_id") == F.col("pp_id"), "left")
             .join(lp, F.col("partner_id") == F.col("lp_id"), "left")
-            .select(F.col("claim_id").alias("off_claim_id"), "phys_person_firstname",
+            .select(F.col("partner_id").alias("off_partner_id"), "phys_person_firstname",
                     "phys_person_surname", "legal_person_name"))
 
 
+def claim_officer(t: Tables) -> DataFrame:
+    """P-03 as a table of its own: valid claim -> names of its adjuster."""
+    clm = current(t.clm_d_claim).select("claim_id", "adjuster")
+    return clm.join(officer_names(t), F.col("adjuster") == F.col("off_partner_id"), "inner").select(
+        "claim_id", "phys_person_firstname", "phys_person_surname", "legal_person_name")
+
+
+def window_claims(t: Tables, p: ClaimsReportedParams) -> DataFrame:
+    """Ids of the claims notified in the report's period: a narrow key set, read
+    from the period's month partitions."""
+    clm = prune_months(current(t.clm_d_claim), "clm_d_claim", p.date_from, p.date_to)
+    return clm.where(between_or_fallback("notification_date", p.date_from, p.date_to, "occurence_date")).select(
+        F.col("claim_id").alias("window_claim_id"))
+
+
 def latest_rate_by_code(t: Tables) -> DataFrame:
-    """P-04 keyed by currency code (broadcast: bounded by the currency list)."""
+    """P-04 keyed by currency code."""
     return t.dims({"rate_by_code": lambda: _rate_by_code(t)})["rate_by_code"]
 
 
-def latest_correspondence(t: Tables, culture_id: int) -> DataFrame:
+def latest_correspondence(t: Tables, culture_id: int, claims: DataFrame | None = None) -> DataFrame:
     """P-05: per claim the latest-received correspondence (receive desc nulls last,
-    then create desc as tie-breaker)."""
+    then create desc as tie-breaker).  ``claims``: one-column frame of the claim
+    ids the caller looks up; letters of other claims are dropped first."""
     co = localised(t.clm_dx_correspondence, culture_id)
+    if claims is not None:
+        co = semi(co, claims, F.col("claim_id") == F.col(claims.columns[0]))
     top = latest_per_key(co, ["claim_id"], ["corresp_receive_date", "corresp_create_date"])
     return top.select(F.col("claim_id").alias("co_claim_id"), "corresp_receive_date",
                       "corresp_create_date")
@@ -284,10 +301,10 @@ def policy_row(t: Tables, culture_id: int, pol: DataFrame, with_booking: bool =
 
 
 def _policy_side(t: Tables, culture_id: int, base: DataFrame, pol: DataFrame) -> DataFrame:
-    """The claims joined once to their policy-level row (inner)."""
+    """The claims joined once to their policy-level row (inner); a policy with a
+    large share of the claims is split by AQE's skew join."""
     row = policy_row(t, culture_id, pol)
-    return salted_join(base, row, "policy_policy_id", "pol_policy_id", "inner",
-                       hot_source=t.clm_d_claim.select("policy_policy_id"))
+    return base.join(row, F.col("policy_policy_id") == F.col("pol_policy_id"), "inner")
 
 
 def _group(t: Tables, culture_id: int) -> DataFrame:
@@ -343,8 +360,8 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
         base = where_all(branch_arm(core), optional_eq("branch_code", p.branch, ci), period)
 
     j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product, ci))
-    j = _claim_side(t, p.culture_id, j, latest_correspondence(t, p.culture_id))
-    j = j.join(claim_officer(t), F.col("claim_id") == F.col("off_claim_id"), "left")
+    j = _claim_side(t, p.culture_id, j, latest_correspondence(t, p.culture_id, window_claims(t, p)))
+    j = j.join(officer_names(t), F.col("adjuster") == F.col("off_partner_id"), "left")
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
 
     na = F.lit(p.placeholder)
@@ -408,7 +425,7 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     core = claim_core(t, p.culture_id)
     state = (open_at("claim_status_code", "settlement_date", p.as_at, OPEN_STATUS_CODES)
              & before_next_day("registration_date", p.as_at))
-    core = core.where(state)
+    core = core.where(state & ~F.col("claim_status_code").isin(*CLOSED_STATUS_CODES))
     ci = p.string_compare == CASE_INSENSITIVE
     dept_arm_on = (p.department is not None) if p.fix_arms else True
     if dept_arm_on and p.department is None:
@@ -430,11 +447,10 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     # which equals the payout's claim id whenever there is one, so the row is
     # not re-shuffled on a second key
     j = j.join(payind, (F.col("claim_id") == F.col("pi_claim_id")) & F.col("po_claim_id").isNotNull(), "left")
-    j = j.join(claim_officer(t), F.col("claim_id") == F.col("off_claim_id"), "left")
+    j = j.join(officer_names(t), F.col("adjuster") == F.col("off_partner_id"), "left")
     j = (j.join(_recoverable(t, FAC_PREFIX, "r1"), F.col("claim_id") == F.col("r1_claim_id"), "left")
          .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
-    j = j.where(~F.col("claim_status_code").isin(*CLOSED_STATUS_CODES))
 
     rate1 = F.coalesce(F.col("xRate"), F.lit(1))
     now = ts_lit(p.run_ts) if p.run_ts is not None else F.current_timestamp().cast(T.TimestampNTZType())
@@ -502,10 +518,13 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
 
 
 # -------------------------------------------------------------------- R-03
-def payment_due_dates(t: Tables) -> DataFrame:
+def payment_due_dates(t: Tables, heads: DataFrame | None = None) -> DataFrame:
     """P-08: head transaction -> due date of the related transaction (valid relation
-    of type PR/PL)."""
+    of type PR/PL).  ``heads``: one-column frame of the head transactions the
+    caller looks up; other relations are dropped before the transactions are met."""
     tv = current(t.pay_t_trans_vztahy, "platny")
+    if heads is not None:
+        tv = semi(tv, heads, F.col("transa_transa_hlav_id") == F.col(heads.columns[0]))
     typ = t.dims({"due_relation": lambda: t.pay_t_cis_typ_vztahu
                   .where(F.col("kod") == DUE_DATE_RELATION).select("typvzt_id")})["due_relation"]
     tx = t.pay_t_transakcia.select(F.col("transa_id").alias("t2_id"), "datum_splatnost")
@@ -544,9 +563,10 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
                                .alias(f"{alias}_name"))
 
     cm = dims["currency_codes"]
-    j = (v.join(vst, v.cvypst_cvypst_id == vst.cvypst_id, "inner")
+    # the window's transactions cut the payouts before these meet anything else
+    j = (v.join(tx, F.col("id_riad_zdroj") == F.col("vypla_id"), "inner")
+         .join(vst, v.cvypst_cvypst_id == vst.cvypst_id, "inner")
          .join(pm, F.col("plafor_plafor_id") == F.col("plafor_id"), "inner")
-         .join(tx, F.col("id_riad_zdroj") == F.col("vypla_id"), "inner")
          .join(cc, F.col("plnadr_plnadr_id") == F.col("plnadr_id"), "left")
          .join(pun, F.col("punakl_punakl_id") == F.col("punakl_id"), "left"))
     j = or_equi_join(j, cp, ["cc_pupar", "pun_pupar"], "pupar_id", "inner")
@@ -554,10 +574,10 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
          .join(names("parr"), F.col("revident") == F.col("parr_id"), "left")
          .join(names("parl"), F.col("likvidator") == F.col("parl_id"), "left")
          .join(cm, F.col("cmenak_cmenak_id") == F.col("cmenak_id"), "left")
-         .join(payment_due_dates(t), F.col("transa_id") == F.col("due_head_id"), "left"))
-    # The reference also left-joins transaction types and states whose columns
-    # are never read; under the report's final DISTINCT they cannot change the
-    # result, so they are not planned.
+         .join(payment_due_dates(t, tx.select(F.col("transa_id").alias("window_tx"))),
+               F.col("transa_id") == F.col("due_head_id"), "left"))
+    # The lookups of transaction types and states have no output column; both keys
+    # are unique (sources.contract.UNIQUE_KEYS), so they are not planned.
     return j.select(
         F.col("pudal_koren_id").alias("claim_root_id"), F.col("vypla_id").alias("payout_id"),
         F.col("por_cislo").alias("payout_order"), "approval_date",
@@ -627,8 +647,7 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     prow = (policy_row(t, c, policies(t, c, p.product, ci), with_booking=False, with_group=False)
             .join(polh, F.col("pol_policy_id") == F.col("h_policy_id"), "inner")
             .join(polhgr, F.col("pol_policy_id") == F.col("hg_policy_id"), "left"))
-    j = (salted_join(j, prow, "policy_policy_id", "pol_policy_id", "inner",
-                     hot_source=t.clm_d_claim.select("policy_policy_id"))
+    j = (j.join(prow, F.col("policy_policy_id") == F.col("pol_policy_id"), "inner")
          .join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left"))
 
     exp = "is_expense"

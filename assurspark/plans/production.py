@@ -5,8 +5,8 @@ versions and commission) are reduced by two grouped aggregates -- both with
 map-side partial aggregation, so a group policy holding a large share of the
 rows is combined before the shuffle -- and only the reduced rows meet the
 policy-version interval join and the dimension lookups.  Exchange rates are
-looked up by broadcast hash join on (currency, month) plus a range residual,
-so the facts are never shuffled to meet them.
+joined on (currency, month) plus a range residual, and broadcast while the rate
+list is under the byte threshold.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ TS = T.TimestampNTZType()
 
 # ------------------------------------------------------------------ stages
 def _code_lists(t: Tables, c: int) -> dict:
-    """Builders of every code list the production report broadcasts."""
+    """Builders of every code list of the production report."""
     def sel(df: DataFrame, cols: dict[str, str]) -> DataFrame:
         return df.select(*[F.col(k).alias(v) for k, v in cols.items()])
     return {
@@ -111,30 +111,47 @@ def _rzml_link_ids(t: Tables) -> DataFrame:
     return _dim(t, "rzml_link")
 
 
-def covers(t: Tables, needed: DataFrame | None = None) -> DataFrame:
-    """P-09: cover totals per policy, members counted under their group policy
-    (valid member relation of type RZML), six sums with NULL -> 0.
+_COVER_SUMS = ("sum_insured", "premium_annual", "premium_modal", "rate_annual_tariff",
+               "premium_annual_discount", "premium_annual_loading")
 
-    ``needed``: one-column frame of the policy ids the caller will look up;
-    rows of other policies are dropped before the aggregation (exact: the
-    totals of a needed policy are unchanged)."""
+
+def cover_rows(t: Tables) -> DataFrame:
+    """Cover premiums keyed by the policy they count under: a member's group
+    policy (valid member relation of type RZML), else the policy itself."""
     pp = semi(current(t.pol_d_policy_policy), _rzml_relation_ids(t),
               F.col("crel_crel_id") == F.col("crel_id"))
     ppr = t.inc_v_policy_premium
     j = ppr.join(pp.select("policy_policy_id", "policy_policy2_id"),
                  ppr.policy_id == pp.policy_policy_id, "left")
-    keyed = j.select(F.coalesce("policy_policy2_id", "policy_id").alias("cov_policy_id"),
-                     "sum_insured", "premium_annual", "premium_modal", "rate_annual_tariff",
-                     "premium_annual_discount", "premium_annual_loading")
-    if needed is not None:
-        keyed = semi(keyed, needed.select(F.col(needed.columns[0]).alias("_need")),
-                     F.col("cov_policy_id") == F.col("_need"))
-    s = sums_nulls_as_zero(keyed, ["cov_policy_id"],
-                           ["sum_insured", "premium_annual", "premium_modal", "rate_annual_tariff",
-                            "premium_annual_discount", "premium_annual_loading"])
+    return j.select(F.coalesce("policy_policy2_id", "policy_id").alias("cov_policy_id"), *_COVER_SUMS)
+
+
+def covers(t: Tables) -> DataFrame:
+    """P-09: cover totals per policy, six sums with NULL -> 0."""
+    s = sums_nulls_as_zero(cover_rows(t), ["cov_policy_id"], list(_COVER_SUMS))
     return s.select("cov_policy_id", *[F.col(c).cast(D4).alias("cov_" + c) for c in s.columns[1:]])
 
 
+def paying_rewards(t: Tables) -> DataFrame:
+    """F-30: valid non-zero rewards of agents whose type creates pay-outs."""
+    agents = semi(t.cms_t_spolupracovnik, _dim(t, "paying_agent_types"),
+                  F.col("cspolty_cspolty_id") == F.col("cspolty_id")).select("spoluprac_id")
+    rewards = current(t.cms_t_odmena, "platny").where(F.col("suma_netto") != 0)
+    return semi(rewards, agents, F.col("spolupracovnik") == F.col("spoluprac_id"))
+
+
+def known_transactions(t: Tables, tx: DataFrame) -> DataFrame:
+    """J-10: transactions whose creating and changing transaction both exist."""
+    com = t.com_t_transaction.select("trans_id")
+    tx = semi(tx, com, F.col("vznik_id") == F.col("trans_id"))
+    return semi(tx, com, F.col("zmena_id") == F.col("trans_id"))
+
+
+def underwriting_year(renewal: str, inception: str) -> Column:
+    """E-01: year of the renewal, else of the inception."""
+    return F.year(F.coalesce(renewal, inception))
+
+
 def commission_by_split(t: Tables, rates: RateTable, needed: DataFrame | None = None) -> DataFrame:
     """P-13: per premium split, the net commission of agents whose type creates
     pay-outs -- in original currency and converted to the agent's currency at the
@@ -143,11 +160,7 @@ def commission_by_split(t: Tables, rates: RateTable, needed: DataFrame | None =
     ``needed``: one-column frame of the split ids the caller will look up
     (the splits of the report's window); other cases are dropped first, so a
     one-month report does not aggregate the commission history."""
-    paying_types = _dim(t, "paying_agent_types")
-    agents = semi(t.cms_t_spolupracovnik, paying_types,
-                  F.col("cspolty_cspolty_id") == F.col("cspolty_id")).select("spoluprac_id")
-    rewards = current(t.cms_t_odmena, "platny").where(F.col("suma_netto") != 0)
-    rewards = semi(rewards, agents, F.col("spolupracovnik") == F.col("spoluprac_id"))
+    rewards = paying_rewards(t)
     cases = current(t.cms_t_proviz_pripad, "platny")
     if needed is not None:
         cases = semi(cases, needed.select(F.col(needed.columns[0]).alias("_need")),
@@ -163,16 +176,22 @@ def commission_by_split(t: Tables, rates: RateTable, needed: DataFrame | None =
                  .alias("broker_commission")))
 
 
+def window_transactions(t: Tables, p: DailyProductionParams) -> DataFrame:
+    """Valid prescribed transactions of the scanned window, read from the
+    window's month partitions."""
+    extra = 0 if p.fix_period_end else 1
+    tx = current(t.pay_t_transakcia, "platny").where(F.col("predpis") == 1)
+    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to, extra_days=extra))
+    return prune_months(tx, "pay_t_transakcia", p.date_from,
+                        None if p.date_to is None else p.date_to + _dt.timedelta(days=extra))
+
+
 def window_policies(t: Tables, p: DailyProductionParams) -> DataFrame:
     """Superset of the policies a production report can show: the (group or own)
     contracts of the accounts that have a transaction in the scanned window.
     Built from narrow columns early in the plan, so the per-policy totals keyed
     on it run concurrently with the premium pipeline."""
-    extra = 0 if p.fix_period_end else 1
-    tx = current(t.pay_t_transakcia, "platny").where(F.col("predpis") == 1)
-    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to, extra_days=extra))
-    tx = prune_months(tx, "pay_t_transakcia", p.date_from,
-                      None if p.date_to is None else p.date_to + _dt.timedelta(days=extra))
+    tx = window_transactions(t, p)
     acc = current(t.pay_t_ucet, "platny").select("ucet_id", "id_riad_obj")
     links = semi(current(t.inc_t_zml_vazby, "platny"), _rzml_link_ids(t),
                  F.col("vztah_vztah_id") == F.col("vztah_id")).select("zml_zml_id", "ku_zmluve_id")
@@ -184,17 +203,13 @@ def window_policies(t: Tables, p: DailyProductionParams) -> DataFrame:
 def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) -> DataFrame:
     """P-10: one row per valid prescribed transaction split, with signed amounts,
     versions, commission, periods and in-period flags."""
-    tx = current(t.pay_t_transakcia, "platny").where(F.col("predpis") == 1)
-    extra = 0 if p.fix_period_end else 1
-    tx = tx.where(date_part_between("datum_vytvorenia", p.date_from, p.date_to, extra_days=extra))
-    tx = prune_months(tx, "pay_t_transakcia", p.date_from,
-                      None if p.date_to is None else p.date_to + _dt.timedelta(days=extra))
-    com = t.com_t_transaction.select("trans_id")
-    tx = semi(tx, com, F.col("vznik_id") == F.col("trans_id"))
-    tx = semi(tx, com, F.col("zmena_id") == F.col("trans_id"))
+    window = window_transactions(t, p)
+    accounts = window.select(F.col("id_riad_ciel").alias("_acct"))   # narrow: the window's account keys
+    tx = known_transactions(t, window)
     acc = current(t.pay_t_ucet, "platny")
     otype = _dim(t, "contract_object_type")
     acc = semi(acc, otype, F.col("id_tab_obj") == F.col("objtyp_id"))
+    acc = semi(acc, accounts, F.col("ucet_id") == F.col("_acct"))
     contracts = current(t.inc_t_zmluvy, "platny")
     groups = semi(t.inc_t_zml_vazby, _rzml_link_ids(t), F.col("vztah_vztah_id") == F.col("vztah_id"))
     contracts = null_aware_anti(contracts, "zml_id", groups, "ku_zmluve_id",
@@ -207,17 +222,12 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     zv = semi(current(t.inc_t_zml_vazby, "platny"), _rzml_link_ids(t),
               F.col("vztah_vztah_id") == F.col("vztah_id")).select("zml_zml_id", "ku_zmluve_id")
     # one row per account: the account, its contract and the contract's group link
-    # (all one-to-one), joined to the transactions once; an account / contract with
-    # a large share of the transactions is split by salting
+    # (all one-to-one), joined to the window's transactions once; an account with a
+    # large share of them is split by salting, counted on the window's keys
     account = (acc.select("ucet_id", "id_riad_obj")
                .join(z, F.col("id_riad_obj") == F.col("zml_id"), "inner")
                .join(zv, F.col("zml_zml_id") == F.col("zml_id"), "left"))
-    # transactions per account, counted once on the narrow key column; the
-    # per-contract counts for the version join below are re-keyed from them
-    per_account = t.pay_t_transakcia.groupBy(F.col("id_riad_ciel").alias("_acct")) \
-                                    .agg(F.count(F.lit(1)).alias("_n"))
-    j = salted_join(tx, account, "id_riad_ciel", "ucet_id", "inner",
-                    hot_source=per_account, hot_key="_acct", hot_weight="_n")
+    j = salted_join(tx, account, "id_riad_ciel", "ucet_id", "inner", hot_source=accounts, hot_key="_acct")
 
     hist = t.inc_t_zmluvy_h
     zh = hist.select(F.col("zmlh_id"), F.col("zml_id").alias("zh_zml_id"),
@@ -230,12 +240,8 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
         F.col("datum_od").alias("zh2_from"), F.col("datum_do").alias("zh2_to"),
         F.col("renewal_date").alias("zh2_renewal"), F.col("datum_zaciatku").alias("zh2_start"),
         F.col("aktualny_koniec").alias("zh2_cur_end"), F.col("datum_konca").alias("zh2_end"))
-    per_contract = per_account.join(t.pay_t_ucet.select("ucet_id", "id_riad_obj"),
-                                    F.col("_acct") == F.col("ucet_id"), "inner")
-    j = salted_join(j, zh2, "zml_id", "zh2_zml_id", "left",
-                    extra=(F.col("datum_splatnost") >= F.col("zh2_from"))
-                    & (F.col("datum_splatnost") <= F.col("zh2_to")),
-                    hot_source=per_contract, hot_key="id_riad_obj", hot_weight="_n")
+    # a contract's own versions; a contract with many transactions is split by AQE's skew join
+    j = interval_join(j, zh2, [("zml_id", "zh2_zml_id")], "datum_splatnost", "zh2_from", "zh2_to", "left")
     # The change-type lookups of both versions are left joins on code-list keys
     # whose columns are not used downstream, so they cannot change the rows.
 
@@ -245,7 +251,7 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     j = j.join(splits, F.col("transa_transa_id") == F.col("transa_id"), "inner")
     j = semi(j, t.pay_t_cis_trans_stav.select("trastav_id"), F.col("trastav_trastav_id") == F.col("trastav_id"))
     # commission only for the splits of the window's transactions
-    window_splits = semi(splits.select("traroz_id", "transa_transa_id"), tx.select(F.col("transa_id").alias("_tx")),
+    window_splits = semi(splits.select("traroz_id", "transa_transa_id"), window.select(F.col("transa_id").alias("_tx")),
                          F.col("transa_transa_id") == F.col("_tx")).select("traroz_id")
     j = j.join(commission_by_split(t, rates, window_splits), F.col("podklad_id") == F.col("traroz_id"), "left")
     gm = current(t.inc_t_group_change_member, "platny").select(
@@ -332,30 +338,30 @@ def premium_level2(level1: DataFrame) -> DataFrame:
     return _keep_nonzero(g.drop("to_date_max", "period_from_max", "period_to_max"))
 
 
-def coinsurance_shares(t: Tables, needed: DataFrame | None = None) -> DataFrame:
-    """P-14: per policy the co-insurers' share (partner not an owner) and the own share
-    (``needed``: restrict to these policy ids before aggregating)."""
+def coinsurance_rows(t: Tables) -> DataFrame:
+    """Valid co-insurance ratios of a policy with the owner behind the partner, if any."""
     pc = current(t.pol_d_policy_coinsurance)
-    if needed is not None:
-        pc = semi(pc, needed.select(F.col(needed.columns[0]).alias("_need")),
-                  F.col("policy_policy_id") == F.col("_need"))
     owners = current(t.par_d_owner_is).select(F.col("partner_partner_id").alias("o_partner"), "owner_id")
-    j = pc.join(owners, F.col("partner_partner_id") == F.col("o_partner"), "left")
-    return j.groupBy(F.col("policy_policy_id").alias("cs_policy_id")).agg(
-        sum_when_null(F.col("ratio"), F.col("owner_id"), True).cast(D4).alias("coins_coins_perc"),
-        sum_when_null(F.col("ratio"), F.col("owner_id"), False).cast(D4).alias("owner_coins_perc"))
+    return pc.join(owners, F.col("partner_partner_id") == F.col("o_partner"), "left").select(
+        F.col("policy_policy_id").alias("cs_policy_id"), "ratio", "owner_id")
+
 
+def _coinsurance_aggs() -> list[Column]:
+    return [sum_when_null(F.col("ratio"), F.col("owner_id"), True).cast(D4).alias("coins_coins_perc"),
+            sum_when_null(F.col("ratio"), F.col("owner_id"), False).cast(D4).alias("owner_coins_perc")]
 
-def certificates(t: Tables, policy_id: int | None, needed: DataFrame | None = None) -> DataFrame:
-    """P-15: certificate / sticker parameters pivoted to five columns per policy;
-    option description preferred to the raw value, '' when absent
-    (``needed``: restrict to these policy ids before aggregating)."""
+
+def coinsurance_shares(t: Tables) -> DataFrame:
+    """P-14: per policy the co-insurers' share (partner not an owner) and the own share."""
+    return coinsurance_rows(t).groupBy("cs_policy_id").agg(*_coinsurance_aggs())
+
+
+def certificate_rows(t: Tables, policy_id: int | None) -> DataFrame:
+    """Certificate / sticker parameters of valid covers: code and the shown text
+    (option description preferred to the raw value)."""
     c = current(t.pol_d_cover)
     if policy_id is not None:
         c = c.where(F.col("policy_policy_id") == F.lit(policy_id))
-    if needed is not None:
-        c = semi(c, needed.select(F.col(needed.columns[0]).alias("_need")),
-                 F.col("policy_policy_id") == F.col("_need"))
     c = semi(c, _dim(t, "certificate_status"), F.col("polst_polst_id") == F.col("polst_id"))
     c = semi(c, t.prd_d_element.select("elm_id"), F.col("elm_elm_id") == F.col("elm_id"))
     pp = t.pol_d_cover_parameter.select("cover_cover_id", "elmprm_elmprm_id", F.col("value").alias("pp_value"))
@@ -369,8 +375,64 @@ def certificates(t: Tables, policy_id: int | None, needed: DataFrame | None = No
          .join(opt, (F.col("param_root_id") == F.col("param_id")) & (F.col("o_value") == F.col("pp_value")),
                "left"))
     shown = F.when(F.col("o_value").isNotNull(), F.col("o_desc")).otherwise(F.col("pp_value"))
-    return j.groupBy(F.col("policy_policy_id").alias("elm_policy_id")).agg(
-        *[max_when("p_code", pat, shown, F.lit("")).alias(name) for name, pat in CERTIFICATE_CODES.items()])
+    return j.select(F.col("policy_policy_id").alias("elm_policy_id"), "p_code", shown.alias("shown"))
+
+
+def _certificate_aggs() -> list[Column]:
+    return [max_when("p_code", pat, F.col("shown"), F.lit("")).alias(name) for name, pat in CERTIFICATE_CODES.items()]
+
+
+def certificates(t: Tables, policy_id: int | None) -> DataFrame:
+    """P-15: certificate / sticker parameters pivoted to five columns per policy, '' when absent."""
+    return certificate_rows(t, policy_id).groupBy("elm_policy_id").agg(*_certificate_aggs())
+
+
+def policy_totals(t: Tables, certificate_policy_id: int | None, policies: DataFrame) -> DataFrame:
+    """P-09, P-14 and P-15 of the given policies with one key filter and one
+    aggregate: the three kinds of rows are stacked, so each column is NULL for a
+    policy without rows of its kind, as after three left joins."""
+    kinds = [(cover_rows(t), "cov_policy_id"), (coinsurance_rows(t), "cs_policy_id"),
+             (certificate_rows(t, certificate_policy_id), "elm_policy_id")]
+    stacked = None
+    for kind, (rows, key) in enumerate(kinds):
+        own = rows.withColumnRenamed(key, "tot_policy_id").withColumn("_kind", F.lit(kind))
+        stacked = own if stacked is None else stacked.unionByName(own, allowMissingColumns=True)
+    stacked = semi(stacked, policies.select(F.col(policies.columns[0]).alias("_need")),
+                   F.col("tot_policy_id") == F.col("_need"))
+
+    def of(kind: int, value: Column) -> Column:
+        return F.when(F.col("_kind") == kind, value)
+
+    cov = [F.sum(of(0, F.coalesce(F.col(c), F.lit(0)))).cast(D4).alias("cov_" + c) for c in _COVER_SUMS]
+    sign = F.when(F.col("owner_id").isNull(), F.lit(1)).otherwise(F.lit(0))
+    coins = [F.sum(of(1, F.col("ratio") * sign)).cast(D4).alias("coins_coins_perc")]
+    cert = [F.max(of(2, F.when(F.col("p_code").like(pat), F.col("shown")).otherwise(F.lit("")))).alias(name)
+            for name, pat in CERTIFICATE_CODES.items()]
+    return stacked.groupBy("tot_policy_id").agg(*cov, *coins, *cert)
+
+
+# ------------------------------------------------------------- named rules
+def endorsement_type(status: Column, change: Column, to_date: Column, renewal: Column, inception: Column) -> Column:
+    """E-19: class of a version change, from its status, change type and dates."""
+    return (F.when(status.like("S%"), F.lit("CANCELLATION"))
+            .when(status.like("Z%") & (to_date.cast(TS) == renewal) & change.isin(*RENEWAL_CHANGES), F.lit("RENEWAL"))
+            .when(status.like("Z%") & (to_date == F.to_date(inception)) & change.isin(*NEW_POLICY_CHANGES),
+                  F.lit("NEW POLICY"))
+            .otherwise(F.lit("ENDORSEMENT")))
+
+
+def transaction_type(coinsurance_code: Column) -> Column:
+    """E-20: direct, co-insured or facultative inward business."""
+    return (F.when(coinsurance_code.isNull(), F.lit("Direct business"))
+            .when(coinsurance_code.like("LEAD%"), F.lit("Direct with Co. Insurance"))
+            .when(coinsurance_code == "FOLW", F.lit("Co. Insurance"))
+            .when(coinsurance_code == "FACIN", F.lit("FAC Inward")))
+
+
+def approval_status(status_code: Column) -> Column:
+    """E-21: the policy status in words."""
+    return (F.when(status_code.like("Z%"), F.lit("Approved")).when(status_code.like("Sns"), F.lit("Refused"))
+            .when(status_code.like("C%"), F.lit("Proposal")).otherwise(F.lit("Approved")))
 
 
 # ------------------------------------------------------------------- R-04
@@ -378,9 +440,10 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
     """R-04: one row per policy version change with gross/net premium, commission,
     co-insurance share, endorsement classification and certificate numbers."""
     c = p.culture_id
-    dims = t.dims(_code_lists(t, c))          # one size-check job for every code list
-    rates = RateTable(t.pay_d_exchange, size_check=t.dims)
+    dims = t.dims(_code_lists(t, c))
+    rates = RateTable(t.pay_d_exchange, owner=p.sysown_id)
     prem = premium_level2(premium_level1(premium_movements(t, p, rates)))
+    prem = prem.where(F.col("created_in_period") == 1)     # the sums are filtered by level 2 itself
     prem = prem.select(*[F.col(x).alias("pm_" + x) for x in prem.columns])
 
     pol = current(t.pol_d_policy_h).where(F.col("effective") == 1)
@@ -417,11 +480,9 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
     # per-policy totals only for the policies of the window's accounts (a key set
     # built early from narrow columns, so these aggregates run concurrently with
     # the premium pipeline instead of over the whole policy history)
-    needed = window_policies(t, p)
-    j = (j.join(certificates(t, p.certificate_policy_id, needed), col("policy_id") == col("elm_policy_id"), "left")
-         .join(hist, col("policy_id") == col("h_policy_id"), "left")
-         .join(coinsurance_shares(t, needed), col("policy_id") == col("cs_policy_id"), "left")
-         .join(covers(t, needed), col("policy_id") == col("cov_policy_id"), "left"))
+    totals = policy_totals(t, p.certificate_policy_id, window_policies(t, p))
+    j = (j.join(hist, col("policy_id") == col("h_policy_id"), "left")
+         .join(totals, col("policy_id") == col("tot_policy_id"), "left"))
     # originating version's change type
     j = (j.join(orig_change, col("pm_policyh_orig_id") == col("oc_id"), "left")
          .join(zt2, col("oc_zme") == col("zt2_id"), "left")
@@ -450,9 +511,7 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
          .join(premh, col("ph_id") == col("_ver_id"), "left"))
     j = where_all(j, contains_pattern("par_ma_code", p.marketer, ci))
 
-    # filters on the aggregated premium and the basis date
-    j = j.where(((col("pm_premium_gross") != 0) | (col("pm_broker_commission") != 0))
-                & (col("pm_created_in_period") == 1))
+    # filter on the basis date
     lo = ts_lit(p.date_from if p.date_from is not None else LOW_DATE)
     hi = ts_lit(p.date_to if p.date_to is not None else _HIGH)
     if p.basic_date == "A":
@@ -479,22 +538,6 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
 
     status = F.coalesce("e_policy_status_code", "ps_code")
     change = F.coalesce("e_change_type_code", "ccht_code")
-    to_date = col("pm_to_date")
-    endorsement_type = (
-        F.when(status.like("S%"), F.lit("CANCELLATION"))
-        .when(status.like("Z%") & (to_date.cast(TS) == col("date_renewal")) & change.isin(*RENEWAL_CHANGES),
-              F.lit("RENEWAL"))
-        .when(status.like("Z%") & (to_date == F.to_date("date_inception")) & change.isin(*NEW_POLICY_CHANGES),
-              F.lit("NEW POLICY"))
-        .otherwise(F.lit("ENDORSEMENT")))
-    trans_type = (F.when(col("ct_code").isNull(), F.lit("Direct business"))
-                  .when(col("ct_code").like("LEAD%"), F.lit("Direct with Co. Insurance"))
-                  .when(col("ct_code") == "FOLW", F.lit("Co. Insurance"))
-                  .when(col("ct_code") == "FACIN", F.lit("FAC Inward")))
-    approval_status = (F.when(like("ps_code", "Z%"), F.lit("Approved"))
-                       .when(like("ps_code", "Sns"), F.lit("Refused"))
-                       .when(like("ps_code", "C%"), F.lit("Proposal"))
-                       .otherwise(F.lit("Approved")))
     gross_home = F.coalesce("pm_premium_gross_home", "cov_premium_modal")
     net_home = F.coalesce("pm_premium_net_home", "cov_premium_modal")
     coins = F.coalesce(col("coins_coins_perc").cast("double") / 100, F.lit(0.0))
@@ -512,7 +555,7 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
         col("par_ph_firstname").alias("assured_partner_firstname"),
         col("par_ph_middlename").alias("assured_partner_middlename"),
         col("par_ph_surname").alias("assured_partner_surname"),
-        F.year(F.coalesce("date_renewal", "date_inception")).alias("UW_Year"),
+        underwriting_year("date_renewal", "date_inception").alias("UW_Year"),
         col("h_appr_user_desc").alias("policy_issuance"), col("pm_policy_conclusion").alias("policy_conclusion"),
         F.when(col("pm_policy_approval") == ts_lit(_HIGH), col("h_appr_timestamp"))
         .otherwise(col("pm_policy_approval")).alias("policy_approval"),
@@ -531,7 +574,7 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
         F.coalesce("e_change_type_desc", "c2_popis", "ccht_desc").alias("change_type_desc"),
         gross_home.alias("gross_premium"),
         F.coalesce("e_change_type_desc", "ccht_desc").alias("change_type_name"),
-        endorsement_type.alias("endorsement_type"),
+        endorsement_type(status, change, col("pm_to_date"), col("date_renewal"), col("date_inception")).alias("endorsement_type"),
         F.coalesce("ph_sum_insured", "cov_sum_insured").cast(D4).alias("sum_insured_orig"),
         col("cov_premium_annual").alias("annual_gross_premium_orig"), col("policy_currency"),
         to_home(F.coalesce("ph_sum_insured", "cov_sum_insured")).alias("sum_insured"),
@@ -549,10 +592,10 @@ def daily_production(t: Tables, p: DailyProductionParams) -> DataFrame:
         .alias("broker_commision_perc"),
         F.coalesce(col("coins_coins_perc"), F.lit(0).cast(D4)).alias("coins_perc"),
         pct(gross_home).alias("coins_share_gross_premium"), pct(net_home).alias("coins_share_net_premium"),
-        trans_type.alias("trans_type"),
+        transaction_type(col("ct_code")).alias("trans_type"),
         col("par_ma_partner_id").alias("marketer_partner_id"), col("par_ma_code").alias("marketer_code"),
         col("par_ma_firstname").alias("marketer_firstname"), col("par_ma_middlename").alias("marketer_middlename"),
-        col("par_ma_surname").alias("marketer_surname"), approval_status.alias("approval_status"),
+        col("par_ma_surname").alias("marketer_surname"), approval_status(col("ps_code")).alias("approval_status"),
         status.alias("policy_status_code"),
         F.coalesce("e_policy_status_name", "ps_name").alias("policy_status_name"),
         F.coalesce("e_policy_status_desc", "ps_desc").alias("policy_status_desc"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import os
-import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings that matter at scale: AQE re-plans joins from runtime sizes
 # (broadcast conversion, partition coalescing, skew splitting), and the
 # auto-broadcast threshold is the size check behind every implicit broadcast.
@@ -37,35 +40,25 @@ CLUSTER_CONF = {
     # runtime bloom filters that prune scans of full-history tables -- e.g. the
     # due-date lookup over all transactions -- before they are shuffled
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(256 * 1024 * 1024),
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": str(1024 * 1024 * 1024),
 }
 
 
 def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
-    """Apply report settings to an existing session (runtime-settable ones);
-    ``cluster=True`` adds the large-scale partition sizing."""
+    """Apply report settings to an existing session; ``cluster=True`` adds the
+    large-scale partition sizing.  A setting that the cluster has fixed is
+    logged and left as it is."""
     conf = dict(REPORT_CONF, **(CLUSTER_CONF if cluster else {}))
     for k, v in conf.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # some confs are static on managed clusters
-            pass
-    ensure_checkpoint_dir(spark)
+        except AnalysisException as e:
+            if "CANNOT_MODIFY" not in str(e.getCondition() or e):
+                raise
+            log.warning("%s is fixed on this cluster: %s", k, e)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; set a local one only if unset."""
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="assurspark-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
-
-
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "assurspark", memory: str = "8g",
                   extra: dict[str, str] | None = None) -> SparkSession:

@@ -56,12 +56,11 @@ class Tables:
         return self[name]
 
     def dims(self, builders: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-        """Small dimension frames, each broadcast only if a size check proved it
-        small.  All frames not seen before are checked with one Spark job; the
-        decisions are memoised per key for this set of tables."""
-        from ..operators.joins import broadcast_small
-        missing = {k: b() for k, b in builders.items() if k not in self._dims}
-        self._dims.update(broadcast_small(missing))
+        """Dimension frames, built once per key for this set of tables.  Whether
+        one is broadcast is left to the byte threshold and AQE."""
+        for k, b in builders.items():
+            if k not in self._dims:
+                self._dims[k] = b()
         return {k: self._dims[k] for k in builders}
 
     def with_overrides(self, frames: Mapping[str, DataFrame]) -> "Tables":

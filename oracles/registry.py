@@ -89,6 +89,18 @@ register("claims_settled_open_end",
          lambda t: claims.claims_settled(t, _r03o),
          lambda: claims_sql.claims_settled(branch="N4", date_from=_r03o.date_from, date_to=None))
 
+_r02ci = ClaimsOutstandingParams(branch="r1", department="n6 ", product="ma%", as_at=D(1999, 3, 15),
+                                 run_ts=D(2002, 1, 1), fix_arms=True, string_compare="ci")
+register("claims_outstanding_case_insensitive",
+         lambda t: claims.claims_outstanding(t, _r02ci),
+         lambda: claims_sql.claims_outstanding(branch="R1", department="N6", product="MA%", as_at=_r02ci.as_at,
+                                               run_ts=_r02ci.run_ts, fix_arms=True, echo=("r1",)))
+_r03ci = ClaimsSettledParams(branch="n4 ", product="%", date_from=D(1996, 1, 1), date_to=D(1999, 12, 31), string_compare="ci")
+register("claims_settled_case_insensitive",
+         lambda t: claims.claims_settled(t, _r03ci),
+         lambda: claims_sql.claims_settled(branch="N4", product="%", date_from=_r03ci.date_from, date_to=_r03ci.date_to,
+                                           echo=("n4 ",)))
+
 # -------------------------------------------------------- daily production
 from assurspark.plans import production  # noqa: E402
 from assurspark.plans.params import DailyProductionParams  # noqa: E402
@@ -109,6 +121,14 @@ _prod("daily_production_i", basic_date="I", class_code="MO", date_from=D(1996, 6
 _prod("daily_production_fixed", basic_date="C", branch="DP3", date_from=D(1996, 1, 1), date_to=D(1998, 12, 31),
       certificate_policy_id=None, fix_group_exclusion=True, fix_commission_nulls=True, fix_period_end=True)
 
+_prod("daily_production_unknown_basis", basic_date="X", date_from=D(1996, 1, 1), date_to=D(1998, 12, 31))
+_prod("daily_production_certificates", basic_date="C", branch="DP7", date_from=D(1995, 1, 1), date_to=D(2000, 12, 31),
+      certificate_policy_id=None)
+_production_ci = DailyProductionParams(basic_date="C", branch="dp3 ", class_code="mo", string_compare="ci",
+                                       date_from=D(1996, 1, 1), date_to=D(1998, 12, 31))
+register("daily_production_case_insensitive", lambda t: production.daily_production(t, _production_ci),
+         lambda: production_sql.daily_production(branch="DP3", class_code="MO", date_from=D(1996, 1, 1), date_to=D(1998, 12, 31)))
+
 # ------------------------------------------------- operator-level queries
 from .operator_queries import Q as _OPS  # noqa: E402
 

@@ -121,21 +121,6 @@ def test_latest_rates_keeps_ties(spark):
     assert got == [("EUR", 5.0), ("USD", 2.0), ("USD", 3.0)]
 
 
-# ------------------------------------------------------------------ sizing
-def test_broadcast_small_checks_size(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(100).withColumnRenamed("id", "k")
-    checked = J.broadcast_small({"s": small, "b": big}, max_rows=50)
-    facts = spark.range(1000).withColumnRenamed("id", "k")
-    with_conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(facts.join(checked["s"], "k"))
-        assert "BroadcastHashJoin" not in plan(facts.join(checked["b"], "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
-
-
 # ------------------------------------------------------------- expressions
 def test_optional_filters(spark):
     df = spark.createDataFrame([("MA03",), ("MAX3",), ("FI01",), (None,)], "c string")
