@@ -29,6 +29,8 @@ from ._shared import components, cut, ship, table
 SHINGLE, SIMILARITY = 5, 0.8
 TREES, MAX_DEPTH, RECALL = 16, 8, 0.9995
 TILE = 384
+#: Classes that may hold more than one in so many of all rows, and are broadcast.
+BROADCAST_CLASSES = 20_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -281,17 +283,31 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     linked = components(found.select(F.col("text_class").alias("a"), F.col("root").alias("b")))
     named = linked.join(classes.select(F.col("text_class").alias("node"), "copy_of"), "node")
     smallest = named.groupBy("root").agg(F.min("copy_of").alias("class_id"))
-    # what every class knows; documents of one class (a third of all rows, perhaps) are joined to its row
-    known = (classes.select("text_class", "copy_of", "size")
-             .join(counts, "text_class", "left")
-             .join(linked.join(smallest, "root").select(F.col("node").alias("text_class"), "root", "class_id"), "text_class", "left")
-             .select("text_class", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"),
-                     F.coalesce("root", "text_class").alias("group"),
-                     (F.col("size") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"),
-                     F.coalesce("n_texts", F.lit(0)).alias("n_linked_texts")))
-    return signed.select("doc_id", "doc", "text_class").join(known, "text_class", "left").select(
-        "doc_id", "doc", "group", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_of", "doc_id").alias("copy_of"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_linked_texts", F.lit(0)).alias("n_linked_texts"))
+    # what every class knows
+    known = cut(classes.select("text_class", "copy_of", "size")
+                .join(counts, "text_class", "left")
+                .join(linked.join(smallest, "root").select(F.col("node").alias("text_class"), "root", "class_id"), "text_class", "left")
+                .select("text_class", "size", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"),
+                        F.coalesce("root", "text_class").alias("group"),
+                        (F.col("size") - 1 + F.coalesce("n_docs", F.lit(0))).alias("n_links"),
+                        F.coalesce("n_texts", F.lit(0)).alias("n_linked_texts")), "known")
+    # A class of many copies (a third of all rows, perhaps) is told its row by
+    # broadcast: at most BROADCAST_CLASSES classes hold so large a share.
+    rows = signed.select("doc_id", "doc", "text_class")
+    total = signed.agg(F.count("*")).first()[0]
+    large = F.col("size") > total // BROADCAST_CLASSES
+    found = [c for c in known.columns if c not in ("text_class", "size")]
+    hot = known.where(large).select(F.col("text_class").alias("hot_class"), *[F.col(c).alias("hot_" + c) for c in found])
+    told = rows.join(F.broadcast(hot), F.col("text_class") == F.col("hot_class"), "left")
+    # rows of large classes, and empty texts, take no part in the shuffled join
+    settled = F.col("hot_class").isNotNull() | F.col("text_class").isNull()
+    first = told.where(settled).select("doc_id", "doc", *[F.col("hot_" + c).alias(c) for c in found])
+    second = told.where(~settled).select("doc_id", "doc", "text_class").join(
+        known.where(~large), "text_class").select("doc_id", "doc", *found)
+    return first.union(second).select(
+        "doc_id", "doc", "group", F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("copy_of", "doc_id").alias("copy_of"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("n_linked_texts", F.lit(0)).alias("n_linked_texts"))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
