@@ -74,7 +74,8 @@ def rarest_terms(index: DataFrame, terms: DataFrame, window: int = WINDOW) -> Da
 def phrase_matches(index: DataFrame, terms: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc, item, first, last): the document words [first, last] that equal a
     run of at least ``window`` item words (a shorter item: all its words)."""
-    lead = rarest_terms(index, terms, window)
+    # written first: its size is known before the postings are planned to meet it
+    lead = cut(rarest_terms(index, terms, window), "lead")
     aligned = (index.join(lead, "term").select("doc", "item", (F.col("pos") - F.col("at")).alias("shift")).distinct())
     asked = aligned.join(terms, "item").select(
         "doc", "item", "n", "shift", (F.col("shift") + F.col("at")).alias("pos"), "term").where("pos >= 0")
