@@ -87,7 +87,7 @@ def line_classes(rows, size=10, similarity=0.8):
     lines = []
     for r, (doc_id, text) in enumerate(rows):
         for k, raw in enumerate((text or "").split("\n")):
-            line = raw.translate(str.maketrans("\t\r\x0b\x0c", "    ")).strip(" ").lower()
+            line = raw.strip(" \t\r\x0b\x0c").lower()
             if line:
                 s = frozenset(line[i:i + size] for i in range(len(line) - size + 1)) if len(line) >= size else frozenset([line])
                 lines.append((doc_id, r, k, s))
