@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 SEP = 255
-PIECE = 1 << 20  # bytes worked on at once (one longer text makes a longer piece)
+PIECE = 1 << 19  # bytes worked on at once (one longer text makes a longer piece)
 
 _TAB = np.zeros(256, bool)
 _TAB[[32, 9, 10, 11, 12, 13, SEP]] = True

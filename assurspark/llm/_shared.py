@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 #: Characters that separate words where an operator says "words": space and \t..\r.
 WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per Spark application."""
+    """Send this package to the Python workers, once per Spark application, and
+    keep the Arrow batches of whole texts small."""
+    if int(spark.conf.get(BATCH)) > BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_assurspark_shipped", False):
         return

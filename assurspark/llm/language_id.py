@@ -174,8 +174,8 @@ def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> dict:
     return {"langs": langs, "w": w, "idf": idf, "t": t}
 
 
-def predict_languages(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` with lang_pred and score of every whole text.
+def predict_languages(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",), column: str = "text") -> DataFrame:
+    """The columns ``keep`` with lang_pred and score of every whole text (of ``column``).
 
     A null text or one without a letter is ``und`` with score 0; repeated rows
     get the same result; other columns are not read.  With no language to learn
@@ -188,7 +188,7 @@ def predict_languages(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("do
         langs, w, idf, t = (sent.value[k] for k in ("langs", "w", "idf", "t"))
         for batch in batches:
             pred, score = [], []
-            for text in batch.column("text"):
+            for text in batch.column(column):
                 at, count, letters = gram_counts(text.as_py())
                 if not letters or not langs:
                     pred.append(UNKNOWN)
@@ -202,7 +202,7 @@ def predict_languages(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("do
                 [*[batch.column(k) for k in keep], pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 [*keep, "lang_pred", "score"])
 
-    plain = docs.select(*keep, "text") if "text" not in keep else docs.select(*keep)
+    plain = docs.select(*keep, column) if column not in keep else docs.select(*keep)
     kinds = {f.name: f.dataType.simpleString() for f in plain.schema}
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keep], "lang_pred string", "score double"])
     return plain.mapInArrow(rows, schema)
