@@ -38,7 +38,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship(spark)
     model = fit_languages(docs.where(id_remainder(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang"))
     plain, at = _plain(docs)
-    judged = predict_languages(plain.withColumn("text", F.col(at["text"])), model, tuple(plain.columns))
+    judged = predict_languages(plain, model, tuple(plain.columns), at["text"])
     kept = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
     return kept.select(*plain.columns).toDF(*docs.columns)
 
