@@ -15,6 +15,7 @@ trained on serialised ids and stored beside the shards.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,21 +32,38 @@ END_ID = 2
 #: Documents (lowest id hash) and bytes of each one's ids that the dictionary is trained on, at most.
 DICT_DOCS, DICT_SLICE, DICT_BYTES = 2000, 4096, 64 * 1024
 LEVEL = 3
-#: Documents of a shard, about.
-SHARD_DOCS = 16_384
-#: Distinct units a task remembers; further ones are encoded each time.
-MEMORY = 400_000
+#: Documents of a shard, about (more for a large corpus: a shard is one file).
+SHARD_DOCS = 4096
+#: Distinct units and pieces a task remembers; further ones are worked out each time.
+UNITS, PIECES = 250_000, 350_000
 
+_BLANK = "\u0120"  # how byte-level vocabularies write the blank
 _SPACED = re.compile(r"\s ")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+class _Memory(dict):
+    """A dictionary that works a missing value out, and keeps it while there is room."""
+
+    def __init__(self, make, room: int) -> None:
+        super().__init__()
+        self.make, self.room = make, room
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) < self.room:
+            self[key] = value
+        return value
+
+
 class Encoder:
     """Ids of whole texts, with each blank-separated unit encoded once.
 
     Byte-level pre-tokenisation starts a new piece at every single blank that
     follows a character other than white space, so the text's ids are its
-    units' ids in a row; texts with white space before a blank are encoded whole.
+    units' ids in a row; texts with white space before a blank are encoded
+    whole.  A unit of letters is one piece, and so is a stop or comma after it;
+    the tokenizer's own pre-tokeniser cuts all other units.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,24 +71,23 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.special = [s for s in special if s]
-
-    def _unit(self, unit: str) -> bytes:
-        out = []
-        for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(unit):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
-                if len(self.pieces) < MEMORY:
-                    self.pieces[piece] = ids
-            out.append(ids)
-        ids = b"".join(out)
-        if len(self.units) < MEMORY:
-            self.units[unit] = ids
-        return ids
+        self.pieces = _Memory(self._piece, PIECES)
+        self.units = _Memory(self._unit, UNITS)      # units without the blank before them
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+
+    def _piece(self, piece: str) -> bytes:
+        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+
+    def _cut(self, unit: str) -> bytes:
+        return b"".join([self.pieces[p] for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(unit)])
+
+    def _unit(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():
+                return self.pieces[_BLANK + word]
+            if word[-1:] in (".", ",") and word[:-1].isalpha():
+                return self.pieces[_BLANK + word[:-1]] + self.pieces[word[-1]]
+        return self._cut(" " + word)
 
     def ids(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
@@ -78,10 +95,8 @@ class Encoder:
             return b""
         if _SPACED.search(text) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        known, unit = self.units, self._unit
         first, *rest = text.split(" ")
-        found = [known.get(" " + w) or unit(" " + w) for w in rest]
-        return (known.get(first) or unit(first) if first else b"") + b"".join(found)
+        return (self._cut(first) if first else b"") + b"".join(map(self.units.__getitem__, rest))
 
 
 def encoder(path: str) -> Encoder:
@@ -99,7 +114,9 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     (a sample: it only changes how small the frames get)."""
     import zstandard
 
-    pick = docs.where(F.length("text") > 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICT_DOCS)
+    key = F.xxhash64("doc_id", "text")
+    chosen = docs.where(F.length("text") > 0).select(key.alias("key")).orderBy(F.xxhash64("key"), "key").limit(DICT_DOCS)
+    pick = docs.join(F.broadcast(chosen.distinct()), key == F.col("key"), "left_semi").limit(DICT_DOCS)  # DICT_DOCS keys
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,6 +136,13 @@ def _dictionary(raw: bytes):
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
+def compressor(raw: bytes):
+    """Frames without checksum and dictionary id: the head of the shard and its index have them."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw), write_checksum=False, write_dict_id=False)
+
+
 def _dictionary_hash(raw: bytes) -> int:
     import xxhash
 
@@ -130,24 +154,15 @@ class ShardWriter:
     so that a task that is run again replaces whole files only."""
 
     def __init__(self, folder: str, name: str, dictionary: bytes) -> None:
-        import uuid
-
-        import zstandard
-
         self.fs, root = open_shared(folder)
         self.final, self.work = f"{root}/{name}.tok", f"{root}/.{name}-{uuid.uuid4().hex}"
         self.out = self.fs.open_output_stream(self.work)
         self.out.write(MAGIC + _dictionary_hash(dictionary).to_bytes(8, "little"))
-        # no content size, checksum or dictionary id in a frame: the index and the head of the shard have them
-        self.compressor = zstandard.ZstdCompressor(
-            level=LEVEL, dict_data=_dictionary(dictionary),
-            write_content_size=True, write_checksum=False, write_dict_id=False)
         self.at, self.rows = 16, []
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        frame = self.compressor.compress(ids)
+    def add(self, doc_id: int | None, frame: bytes, n_ids: int) -> None:
         self.out.write(frame)
-        self.rows.append((doc_id is None, doc_id or 0, self.at, len(frame), len(ids) // 4))
+        self.rows.append((doc_id is None, doc_id or 0, self.at, len(frame), n_ids))
         self.at += len(frame)
 
     def close(self) -> tuple[int, int]:
@@ -214,40 +229,36 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, shard_docs: int =
     sent = spark.sparkContext.broadcast((dictionary, bounds))  # a number per shard, and 64 KB
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         raw, limits = sent.value
-        fast = zstandard.ZstdCompressor(level=1, dict_data=_dictionary(raw), write_checksum=False, write_dict_id=False)
+        frames = compressor(raw)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             ids = [encoder(tokenizer).ids(t or "") + end for t in batch.column("text").to_pylist()]
-            key = batch.column("doc_id").to_numpy(zero_copy_only=False)
             null = np.asarray(batch.column("doc_id").is_null())
-            shard = np.where(null, 0, np.searchsorted(limits, np.where(null, 0, key).astype(np.int64), "left"))
+            key = batch.column("doc_id").fill_null(0).to_numpy()
+            shard = np.where(null, 0, np.searchsorted(limits, key, "left"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), batch.column("doc_id"), pa.array([fast.compress(x) for x in ids], pa.binary())],
-                ["shard", "doc_id", "frame"])
+                [pa.array(shard, pa.int32()), batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                 pa.array([frames.compress(x) for x in ids], pa.binary())], ["shard", "doc_id", "n_ids", "frame"])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         raw, _ = sent.value
-        undo = zstandard.ZstdDecompressor(dict_data=_dictionary(raw))
         now, writer, done = None, None, []
         for batch in batches:
-            for shard, doc_id, frame in zip(*(batch.column(k).to_pylist() for k in ("shard", "doc_id", "frame")), strict=True):
+            for shard, doc_id, n_ids, frame in zip(*(batch.column(k).to_pylist() for k in ("shard", "doc_id", "n_ids", "frame")),
+                                                   strict=True):
                 if shard != now:
                     if writer is not None:
                         done.append((now, *writer.close()))
                     now, writer = shard, ShardWriter(folder, f"shard-{shard:06d}", raw)
-                writer.add(doc_id, undo.decompress(frame))
+                writer.add(doc_id, frame, n_ids)
         if writer is not None:
             done.append((now, *writer.close()))
         yield pa.RecordBatch.from_pylist(
             [{"shard": s, "n_docs": d, "n_tokens": t} for s, d, t in done],
             pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
-    frames = docs.select("doc_id", "text").mapInArrow(encode, "shard int, doc_id long, frame binary")
+    frames = docs.select("doc_id", "text").mapInArrow(encode, "shard int, doc_id long, n_ids long, frame binary")
     dealt = frames.repartition(min(shards, 4096), "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "frame")
     written = dealt.mapInArrow(store, "shard int, n_docs long, n_tokens long")
     return spark.createDataFrame(written.collect(), written.schema)  # one row per shard
