@@ -2,16 +2,18 @@
 
 A trie of byte contexts (orders 5 to 0) is counted over the training texts.
 The probability of a byte is read from the longest context that the trie knows.
-Each symbol seen there gives half a count to the escape, which also has the
-counts of nodes that were not kept; a byte not in the context costs an escape,
-and the shorter context is asked with the symbols of the longer one excluded.
+Each symbol seen there gives half a count to the escape; a byte not in the
+context costs an escape, and the shorter context is asked with the symbols of
+the longer one excluded.
 Below order 0 all remaining byte values are equally likely.  A text's score is the log10 probability of its bytes and of its end.
 
-The counts of all training positions are gathered by a shuffle.  What is sent
-to the tasks is bounded: a node stays in the trie if it holds at least one in
-``NODES`` of all positions, so a level has at most ``NODES`` nodes whatever the
-size of the corpus.  The word counts of the base score work alike: words above
-one in ``WORDS`` of all tokens are sent to the tasks, the rest are joined.
+The counts of all training positions are gathered by a shuffle, and no node of
+the trie is left out of the scores.  What is sent to the tasks is bounded: the
+code lengths of at most ``NODES`` of the most frequent grams.  A text's other
+grams, rare or never seen, leave the task once per row; their code lengths come
+from the full trie, cut into parts by the end of the context, and are joined.
+The word counts of the base score work alike: words above one in ``WORDS`` of
+all tokens are sent to the tasks, the rest are joined.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ DISCOUNT = 0.5
 HELD_OUT_MOD, HELD_OUT = 7, 2
 #: Rows a task gathers before it hands its counts on.
 FLUSH = 1 << 21
+#: Context bytes that a part of the trie shares; the orders below are small (at most 256^3 nodes) and sent whole.
+SHARED = 3
+#: Classes an octave by which the frequent grams are chosen, and the share of positions left to the others if ``NODES`` allows.
+OCTAVE, REST = 16, 0.005
 #: Slots of a task's table of known code lengths.
 SLOTS_LOG2 = 20
 
@@ -184,10 +190,21 @@ class Trie:
         return out
 
 
+class Settled:
+    """Code lengths of the frequent grams; NaN for all others."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.keys, self.values = keys, values
+
+    def log10(self, g: np.ndarray) -> np.ndarray:
+        at, known = Trie._find(self.keys, g)
+        return np.where(known, self.values[at], np.nan) if len(self.keys) else np.full(len(g), np.nan)
+
+
 class Scorer:
     """Code lengths with a table of those already worked out."""
 
-    def __init__(self, trie: Trie) -> None:
+    def __init__(self, trie: Trie | Settled) -> None:
         self.trie = trie
         self.keys = np.full(1 << SLOTS_LOG2, 0xFFFFFFFFFFFFFFFF, np.uint64)
         self.values = np.zeros(1 << SLOTS_LOG2)
@@ -229,6 +246,72 @@ def build_trie(counts: DataFrame, order: int = ORDER, nodes: int = NODES) -> lis
     return out
 
 
+def frequent_lengths(contexts: DataFrame, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent grams, at most ``nodes``, sorted, and their code lengths: a gram that
+    was seen is read from its longest context, whose total needs all of the context's symbols."""
+    size = F.floor(F.log2("n") * OCTAVE)
+    sizes = sorted(contexts.groupBy(size.alias("size")).agg(F.count("*"), F.sum("n")).collect(), reverse=True)
+    left = sum(r[2] for r in sizes)
+    least, held, few = None, 0, REST * left
+    for own, grams_of, positions in sizes:
+        held += grams_of
+        if held > nodes or left <= few:
+            break
+        least, left = own, left - positions
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    totals = contexts.groupBy(F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("total"))
+    value = F.log10((F.col("n") - DISCOUNT) / F.col("total"))
+    got = (contexts.where(size >= least).withColumn("context", F.shiftright("key", 8)).join(totals, "context")
+           .select("key", value.alias("value")).toArrow())  # as it comes: pandas would hold it twice more
+    key, value = got.column("key").to_numpy().view(np.uint64), got.column("value").to_numpy()
+    at = np.argsort(key)
+    return key[at], value[at]
+
+
+def joined_lengths(contexts: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, value): the code length of every gram of ``wanted`` under all counts.
+
+    Contexts that end alike go to one part, so a part holds whole contexts of
+    the orders from ``SHARED`` on; a part is read in runs of such endings.
+    """
+    spark = contexts.sparkSession
+    shared = min(SHARED, order)
+    low = spark.sparkContext.broadcast(build_trie(contexts, shared - 1, 1 << 62) if shared else [])
+    ending = np.uint64((1 << (8 * shared)) - 1)
+
+    def part(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        seen, wanted = n > 0, key[n == 0]
+        levels = list(low.value)
+        for k in range(shared, order + 1):
+            own, inverse = np.unique(key[seen] & np.uint64((1 << (8 * (k + 1))) - 1), return_inverse=True)
+            levels.append((own, np.bincount(inverse, weights=n[seen], minlength=len(own)).astype(np.int64)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(wanted.view(np.int64)), pa.array(Trie(levels).log10(wanted))], ["gram", "value"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, size = [], [], 0
+        for batch in batches:
+            keys.append(batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64))
+            counts.append(batch.column("n").to_numpy(zero_copy_only=False))
+            size += batch.num_rows
+            if size < FLUSH // 2:
+                continue
+            key, n = np.concatenate(keys), np.concatenate(counts)
+            end = (key >> np.uint64(8)) & ending
+            whole = int(np.flatnonzero(end != end[-1])[-1]) + 1 if (end != end[-1]).any() else 0
+            if whole:
+                yield part(key[:whole], n[:whole])
+            keys, counts, size = [key[whole:]], [n[whole:]], len(key) - whole
+        if size:
+            yield part(np.concatenate(keys), np.concatenate(counts))
+
+    end = F.shiftright("key", 8).bitwiseAND(F.lit(int(ending)))
+    both = contexts.select("key", "n").union(wanted.select("gram", F.lit(0).cast("long"))).withColumn("ending", end)
+    return both.repartition("ending").sortWithinPartitions("ending").select("key", "n").mapInArrow(
+        rows, "gram long, value double")
+
+
 def score_documents(docs: DataFrame, train: DataFrame, order: int = ORDER, nodes: int = NODES,
                     words: int = WORDS) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_tokens, n_known, train_tokens,
@@ -252,15 +335,27 @@ def score_documents(docs: DataFrame, train: DataFrame, order: int = ORDER, nodes
     frequent = counts.where((F.col("kind") == 0) & (F.col("n") >= often)).select("key", "n").toPandas()
     key = frequent["key"].to_numpy().astype(np.int64).view(np.uint64)
     at = np.argsort(key)
+    contexts = counts.where("kind = 2")
     sent = spark.sparkContext.broadcast(
-        (build_trie(counts, order, nodes), key[at], frequent["n"].to_numpy().astype(np.int64)[at]))
+        (frequent_lengths(contexts, nodes), key[at], frequent["n"].to_numpy().astype(np.int64)[at]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, known_words, known_counts = sent.value
-        scorer = Scorer(Trie(levels))
+        settled, known_words, known_counts = sent.value
+        scorer = Scorer(Settled(*settled))
         bits = np.log10(known_counts + 1.0)
         row = TaskContext.get().partitionId() << 40
-        names = ["row", "doc_id", "word", "n", "n_known", "base", "score"]
+        names = ["row", "doc_id", "word", "gram", "n", "n_known", "base", "score"]
+
+        def asked(number: np.ndarray, of: np.ndarray, keys: np.ndarray, column: str) -> pa.RecordBatch:
+            """One row per text and key, with the number of times."""
+            with np.errstate(over="ignore"):
+                _, first, times = np.unique(mixed(keys ^ mixed(of.astype(np.uint64) + np.uint64(1))),
+                                            return_index=True, return_counts=True)
+            m = len(first)
+            have = {"row": pa.array(number[of[first]]), column: pa.array(keys[first].view(np.int64)), "n": pa.array(times)}
+            return pa.RecordBatch.from_arrays(
+                [have.get(c, pa.nulls(m, pa.float64() if c in ("base", "score") else pa.int64())) for c in names], names)
+
         for batch in batches:
             ids = batch.column("doc_id")
             for i, j, raw, starts in pieces(batch.column("text")):
@@ -270,35 +365,43 @@ def score_documents(docs: DataFrame, train: DataFrame, order: int = ORDER, nodes
                 at, known = Trie._find(known_words, word)
                 base = np.bincount(of[known], weights=bits[at[known]], minlength=n) + np.log10(ends + 1.0)
                 n_known = np.bincount(of[known], minlength=n) + (1 if ends else 0)
-                values = np.concatenate([scorer(g) for _, g in grams(data, starts, order)])
+                values, open_at, open_grams = [], [], []
+                for a, g in grams(data, starts, order):
+                    v = scorer(g)
+                    unsettled = np.flatnonzero(np.isnan(v))
+                    v[unsettled] = 0.0
+                    values.append(v)
+                    open_at.append(unsettled + a)
+                    open_grams.append(g[unsettled])
+                values = np.concatenate(values)
                 score = np.add.reduceat(values, starts[:-1])
                 number = row + np.arange(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(number), ids.slice(i, n), pa.nulls(n, pa.int64()), pa.array(np.bincount(of, minlength=n) + 1),
+                    [pa.array(number), ids.slice(i, n), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(np.bincount(of, minlength=n) + 1),
                      pa.array(n_known), pa.array(base), pa.array(score)], names)
-                # the other words, once per row: their counts are joined
-                word, of = word[~known], of[~known]
-                with np.errstate(over="ignore"):
-                    _, first, times = np.unique(mixed(word ^ mixed(of.astype(np.uint64) + np.uint64(1))),
-                                                return_index=True, return_counts=True)
-                m = len(first)
-                if m:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(number[of[first]]), pa.nulls(m, pa.int64()), pa.array(word[first].view(np.int64)), pa.array(times),
-                         pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64())], names)
+                # the other words and grams, once per row: their counts and code lengths are joined
+                if not known.all():
+                    yield asked(number, of[~known], word[~known], "word")
+                at = np.concatenate(open_at)
+                if len(at):
+                    yield asked(number, owner(at, starts), np.concatenate(open_grams), "gram")
                 row += n
 
     scored = cut(docs.select("doc_id", "text").mapInArrow(
-        rows, "row long, doc_id long, word long, n long, n_known long, base double, score double"), "scored")
+        rows, "row long, doc_id long, word long, gram long, n long, n_known long, base double, score double"), "scored")
     rare = counts.where((F.col("kind") == 0) & (F.col("n") < often)).select(F.col("key").alias("word"), F.col("n").alias("c"))
     more = (scored.where("word is not null").select("row", "word", "n").join(rare, "word").groupBy("row")
             .agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("more_base")))
-    texts = scored.where("word is null").join(more, "row", "left")
+    unsettled = scored.where("gram is not null").select("row", "gram", "n")
+    lengths = cut(joined_lengths(contexts, unsettled.select("gram").distinct(), order), "lengths")
+    rest = (unsettled.join(lengths, "gram").groupBy("row").agg(F.sum(F.col("n") * F.col("value")).alias("more_score")))
+    texts = scored.where("word is null AND gram is null").join(more, "row", "left").join(rest, "row", "left")
     per_token = float(np.log10(n_train + distinct + 1.0))
     return texts.select(
         "doc_id", F.col("n").alias("n_tokens"), (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n") * F.lit(per_token)).alias("base_score"), "score")
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n") * F.lit(per_token)).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
 
 
 def adaptive_code_length(text: bytes, order: int = ORDER) -> float:

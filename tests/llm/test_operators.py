@@ -141,6 +141,34 @@ def test_ppm_equals_plain_counting(corpus):
         assert got[i] == pytest.approx(_log10(levels, (t or "").translate(brute.LOWER).encode(), 2), rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [0, 2, 5])
+def test_ppm_uses_every_node_when_few_are_sent(corpus, odd, order):
+    for rows, df in ((corpus[0], corpus[1]), odd):
+        if order == 0:
+            rows = rows[:20]
+        df = df.where(F.col("doc_id").isin([i for i, _ in rows]))
+        texts = {i: (t or "").translate(brute.LOWER).encode() for i, t in rows}
+        held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+        levels = _trie([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2], order)
+        for nodes in (50, 0):
+            got = {r[0]: r[1] for r in rows_of(lm_scoring.score_documents(df, df.where(~held), order=order, nodes=nodes), "doc_id", "score")}
+            short = [i for i in texts if len(texts[i]) < 20_000][-40:]
+            assert any(zlib.crc32(str(i).encode()) % 7 == 2 for i in short)
+            for i in short:
+                assert got[i] == pytest.approx(_log10(levels, texts[i], order), rel=1e-9)
+
+
+def test_ppm_scores_are_alike_whatever_is_sent_and_however_a_part_is_cut(corpus, monkeypatch):
+    _, df, _ = corpus
+    train = df.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+    all_sent = dict(rows_of(lm_scoring.score_documents(df, train), "doc_id", "score"))
+    counts = lm_scoring.gather_counts(train).where("kind = 2")
+    assert len(lm_scoring.frequent_lengths(counts, 500)[0]) <= 500
+    monkeypatch.setattr(lm_scoring, "FLUSH", 64)
+    few_sent = dict(rows_of(lm_scoring.score_documents(df, train, nodes=500), "doc_id", "score"))
+    assert few_sent == {i: pytest.approx(s, rel=1e-9) for i, s in all_sent.items()}
+
+
 def test_ppm_probabilities_sum_to_one_when_pruned(corpus):
     counts = lm_scoring.gather_counts(corpus[1], 3)
     trie = lm_scoring.Trie(lm_scoring.build_trie(counts, 3, nodes=2000))
