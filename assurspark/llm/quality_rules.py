@@ -3,7 +3,7 @@
 Rule statistics of every whole text (words, characters, symbols, repeated lines
 and word windows) feed an isolation forest: trees of random splits, in which an
 unusual document ends on a short path.  The forest is drawn from a bounded,
-documented sample; its score threshold is calibrated from labelled rows.
+documented sample; its score threshold is calibrated from all labelled rows.
 """
 
 from __future__ import annotations
@@ -12,15 +12,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bytes import SEP, SPACE, SYMBOL, mixed, owner, pieces, prefix_hash, span_hash, spans, word_windows
-from ._shared import id_remainder, table
+from ._shared import cut, id_remainder, table
 
 TREES, SUBSAMPLE = 128, 256
-#: Labelled rows that the forest and its threshold are fitted on, at most (those with the lowest id hash).
+#: Labelled rows that the forest is drawn from, at most (those with the lowest id hash).
 FIT_ROWS = 6000
+#: Bins of the score in which the threshold is looked for.
+BINS = 1 << 12
 #: Share of the labelled good rows that the threshold may turn away.
 FALSE_REJECTS = 0.005
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -188,18 +190,55 @@ def _statistics_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
              pa.array(s["n_words"])], ["label", "x", "n_words"])
 
 
+def calibrated(scored: DataFrame, false_rejects: float = FALSE_REJECTS) -> float:
+    """``calibrate`` over all rows of (score, good): the same cut, found from
+    the counts of every score, bin by bin."""
+    per = cut(scored.groupBy("score").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).withColumn(
+        "bin", F.floor(F.col("score") * BINS)), "scores")
+    bins = sorted(tuple(r) for r in per.groupBy("bin").agg(F.sum("good"), F.sum("bad")).collect())
+    n_good, n_bad = (sum(r[k] for r in bins) for k in (1, 2))
+    if not n_good or not n_bad:
+        return float("inf")
+    # good rows up to the lowest cut that turns away no more than it may
+    least = int(np.ceil((n_good - 1) * (1.0 - false_rejects))) + 1
+    before, good, bad = [], 0, 0
+    for k, g, b in bins:
+        if good + g >= least:
+            before.append((k, good, bad))
+        good, bad = good + g, bad + b
+    upto = Window.partitionBy("bin").orderBy("score")
+    known = scored.sparkSession.createDataFrame(before, "bin long, good_before long, bad_before long")
+    cuts = (per.join(F.broadcast(known), "bin")  # at most BINS + 1 rows
+            .select("score", (F.sum("good").over(upto) + F.col("good_before")).alias("good"),
+                    (F.sum("bad").over(upto) + F.col("bad_before")).alias("bad")).where(F.col("good") >= least))
+    balance = F.col("good").cast("decimal(19,0)") * n_bad - F.col("bad").cast("decimal(19,0)") * n_good
+    return float(cuts.orderBy(balance.desc(), "score").first()["score"])
+
+
 def fit_rules(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[dict[str, np.ndarray], float]:
-    """Forest and threshold from at most ``rows`` labelled rows (those whose
-    crc32(doc_id as text) mod 4 is not 2, so that the others can test it)."""
-    sample = labelled(docs, labels, "quality", rows, id_remainder(F.col("doc_id"), 4) != 2)
+    """Forest from at most ``rows`` labelled rows, threshold from the scores of all
+    of them (those whose crc32(doc_id as text) mod 4 is not 2, so that the others
+    can test it)."""
+    train = id_remainder(F.col("doc_id"), 4) != 2
+    sample = labelled(docs, labels, "quality", rows, train)
     got = sample.mapInArrow(_statistics_rows, "label int, x array<double>, n_words long").where(
         F.col("n_words") >= MIN_WORDS).toPandas()
     x = np.array(got["x"].tolist(), float).reshape(len(got), 8)
-    good = got["label"].to_numpy() == 1
-    order = np.lexsort(x.T[::-1])
-    x, good = x[order], good[order]
-    forest = grow_forest(x)
-    return forest, calibrate(anomaly(forest, x), good)
+    forest = grow_forest(x[np.lexsort(x.T[::-1])])
+    # texts are scored where they are read; only their scores meet the labels
+    model = docs.sparkSession.sparkContext.broadcast(forest)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = text_statistics(batch.column("text"))
+            keep = pa.array(s["n_words"] >= MIN_WORDS)
+            score = pa.array(anomaly(model.value, features(s)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(keep), score.filter(keep)], ["doc_id", "score"])
+
+    marks = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
+    scored = docs.where(train).select("doc_id", "text").mapInArrow(scores, "doc_id long, score double").join(marks, "doc_id")
+    return forest, calibrated(scored.select("score", (F.col("label") == 1).alias("good")))
 
 
 def apply_rules(docs: DataFrame, forest: dict[str, np.ndarray], threshold: float) -> DataFrame:

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,6 +244,30 @@ def test_quality_rules_keep_good_rows(spark):
     assert bad.where("NOT kept").count() / bad.count() > 0.3
 
 
+def test_quality_threshold_covers_all_labelled_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    forest, threshold = quality_rules.fit_rules(docs, labels, rows=120)
+    marks = {r[0]: int(r[1]) for r in rows_of(labels.where("quality IS NOT NULL"), "doc_id", "quality")}
+    rows = [(i, t) for i, t in rows_of(docs, "doc_id", "text") if i in marks and zlib.crc32(str(i).encode()) % 4 != 2]
+    s = quality_rules.text_statistics(pa.array([t for _, t in rows]))
+    wordy = s["n_words"] >= 50
+    good = np.array([marks[i] == 1 for i, _ in rows])[wordy]
+    assert len(good) > 200
+    assert threshold == quality_rules.calibrate(quality_rules.anomaly(forest, quality_rules.features(s))[wordy], good)
+
+
+def test_quality_threshold_equals_plain_choice(spark):
+    rng = np.random.default_rng(3)
+    for size, ties in ((3, False), (40, True), (1500, False), (1500, True)):
+        good = np.append(rng.random(size) < 0.6, [True, False])
+        score = np.clip(rng.normal(0.45, 0.03, size + 2) + 0.04 * ~good, 0.0, 1.0)
+        score = np.round(score, 2) if ties else score
+        df = spark.createDataFrame(list(zip(score.tolist(), good.tolist(), strict=True)), "score double, good boolean")
+        assert quality_rules.calibrated(df) == quality_rules.calibrate(score, good)
+    assert quality_rules.calibrated(df.where("good")) == float("inf")
+
+
 # ---- 5
 def test_line_dedup_keeps_one_line_per_component(corpus, odd):
     rows = [r for r in corpus[0] if r[0] is not None and len(r[1] or "") < 4000][:70]
