@@ -240,7 +240,8 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     Words are runs of digits, letters and non-ASCII characters, A-Z as a-z.  A
     null or empty text has no partner; a text without words is only a copy of
     equal texts; a text under five words is one shingle; repeated rows are
-    copies of each other; extra columns are not read.
+    copies of each other; extra columns are not read.  A row with a null doc_id is
+    linked like any other; class_id and copy_of are null if no row of theirs has an id.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -249,7 +250,7 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
         _sign(depth), "doc_id long, doc long, text_class long, n_words long, keys array<long>"), "signed")
     classes = cut(signed.where("text_class is not null").groupBy("text_class").agg(
         F.min("doc_id").alias("copy_of"), F.count("*").alias("size"), F.max("n_words").alias("n_words"),
-        F.first("keys").alias("keys")), "classes")
+        F.first("keys").alias("keys"), F.min("doc").alias("holder")), "classes")
     # nodes of the tries with two or more texts; of equal ones (same members) the first is enough
     leaves = (classes.where("n_words > 0").select("text_class", F.posexplode("keys").alias("tree", "node")))
     nodes = (leaves.groupBy("node").agg(F.count("*").alias("members"), F.min("tree").alias("tree"),
@@ -270,9 +271,10 @@ def ngram_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
              .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
              .select("text_class", F.col("node").alias("block"), F.least("chunk", "other").alias("i"),
                      F.greatest("chunk", "other").alias("j"), "chunk", "tree"))
-    wanted = placed.select("text_class").join(classes.select("text_class", "copy_of", "size", "keys"), "text_class")
-    texts = docs.select(F.col("doc_id").alias("copy_of"), "text").join(
-        wanted.select("copy_of", F.col("text_class").alias("asked")), "copy_of")
+    wanted = placed.select("text_class").join(classes.select("text_class", "holder", "size", "keys"), "text_class")
+    # by the hash of id and text: an id may be null, or have several texts
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("holder"), "text").join(
+        wanted.select("holder", F.col("text_class").alias("asked")), "holder")
     sets = texts.select("asked", "text").mapInArrow(_shingles_of, "text_class long, shingles array<long>").dropDuplicates(["text_class"])
     loaded = cut(sets.join(wanted.select("text_class", "size", "keys"), "text_class"), "sets")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

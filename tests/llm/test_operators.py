@@ -47,6 +47,18 @@ def test_ngram_join_tiles_and_repeated_rows(spark):
     assert twice.count() == 161
 
 
+def test_ngram_join_links_null_and_repeated_ids(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = " ".join([*base[:59], "x"])
+    rows = [(None, near), (1, " ".join(base)), (2, "other words stand here alone"), (None, "z " + near), (7, "far " * 9), (7, near + " y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["text"]: r for r in ngram_join.ngram_join(df).join(
+        df.select(F.xxhash64("doc_id", "text").alias("doc"), "text"), "doc").collect()}
+    assert [got[t]["n_links"] for _, t in rows] == [3, 3, 0, 3, 0, 3]
+    assert [got[t]["class_id"] for _, t in rows] == [1, 1, 2, 1, 7, 1]
+    assert len({got[t]["group"] for _, t in rows}) == 3
+
+
 def test_matched_depth_shortens_to_the_recall():
     assert ngram_join.matched_depth(0.8, 16, 8, 0.9995) == 4
     assert ngram_join.matched_depth(0.95, 16, 8, 0.9995) == 8
