@@ -576,8 +576,9 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
          .join(cm, F.col("cmenak_cmenak_id") == F.col("cmenak_id"), "left")
          .join(payment_due_dates(t, tx.select(F.col("transa_id").alias("window_tx"))),
                F.col("transa_id") == F.col("due_head_id"), "left"))
-    # The lookups of transaction types and states have no output column; both keys
-    # are unique (sources.contract.UNIQUE_KEYS), so they are not planned.
+    # The lookups of transaction types and states have no output column and are not
+    # planned.  That assumes, unchecked, at most one type with the code PREVYP (the
+    # reference's join has no other condition) and one current state per key.
     return j.select(
         F.col("pudal_koren_id").alias("claim_root_id"), F.col("vypla_id").alias("payout_id"),
         F.col("por_cislo").alias("payout_order"), "approval_date",
