@@ -169,3 +169,119 @@ def repeats(rows, length=100):
         spans = int((np.diff(np.concatenate([[0], m.view(np.int8)])) == 1).sum())
         out.append((doc_id, len(b), int(m.sum()), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def window_repeats(rows, window=13):
+    """(doc_id, n_words, n_removed, sha256 of the rest) per row."""
+    words = [WORD.findall(t or "") for _, t in rows]
+
+    def before(a, b):
+        return a is None and b is not None or a is not None and b is not None and a < b
+
+    least = {}
+    for (i, _), w in zip(rows, words, strict=True):
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k:k + window])
+            if key not in least or before(i, least[key]):
+                least[key] = i
+    out = []
+    for (i, _), w in zip(rows, words, strict=True):
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if before(least[tuple(w[k:k + window])], i):
+                gone |= set(range(k, k + window))
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def corpus_words(rows, every=199, length=6, count=5):
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % every == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1:]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= length and n >= count}
+
+
+def edits_to_one(a, b):
+    """Edit distance of one, by the recurrence."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(last[j] + 1, now[-1] + 1, last[j - 1] + (x != y)))
+        last = now
+    return last[-1] == 1
+
+
+def variants(counts, margin=5):
+    """{word: (form, root, n, n_near, form_n)}"""
+    words = sorted(counts)
+    near = {w: [] for w in words}
+    for a, b in itertools.combinations(words, 2):
+        if edits_to_one(a, b):
+            near[a].append(b)
+            near[b].append(a)
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= margin * counts[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), counts[w], len(near[w]), counts[form[w]] if form[w] else None) for w in words}
+
+
+def manifest(rows, every=7):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of (doc_id, source, lang, n_chars, text) rows."""
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def tree(digests):
+        """Top, and per leaf its steps (siblings before, siblings after)."""
+        steps = [[] for _ in digests]
+        below = [[k] for k in range(len(digests))]
+        while len(digests) > 1:
+            nodes, under = [], []
+            for k in range(0, len(digests), 2):
+                run = digests[k:k + 2]
+                for s in range(len(run)):
+                    for x in below[k + s]:
+                        steps[x].append((run[:s], run[s + 1:]))
+                nodes.append(sha("".join(run)))
+                under.append([x for b in below[k:k + 2] for x in b])
+            digests, below = nodes, under
+        return digests[0] if digests else None, steps
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    order = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    for rows_of in groups.values():
+        rows_of.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {x: tree([leaf(r) for r in groups[x]]) for x in order}
+    root, above = tree([trees[x][0] for x in order])
+    out = []
+    for x, up in zip(order, above, strict=True):
+        for row, steps in zip(groups[x], trees[x][1], strict=True):
+            i, source, lang, n, text = row
+            bad = zlib.crc32(("" if i is None else str(i)).encode()) % every == 0 and n is not None
+            folded = leaf((i, source, lang, n + 1, text)) if bad else leaf(row)
+            for left, right in [*steps, *up]:
+                folded = sha("".join([*left, folded, *right]))
+            proof = sha("".join(d for left, right in [*steps, *up] for d in (*left, *right)))
+            out.append((i, leaf(row), trees[x][0], root, proof, folded, folded == root))
+    return out
