@@ -69,6 +69,15 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(written: DataFrame) -> None:
+    """Delete a table that ``cut`` has written, once all that is made of it is written too."""
+    files = written.inputFiles()
+    if files:
+        jvm = written.sparkSession._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(written.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -10,15 +10,16 @@ maximal repeats.  Nothing asks for nodes below WINDOW words, so suffixes are cut
    words has its smallest PREFIX-word hash (its anchor): equal windows have equal
    anchors, so a window whose anchor occurs in one document only is unique.
 2. The suffixes of the other windows are written out as the edges of a path from the
-   root: fingerprints of words 1..PREFIX, of the next, and of the last ones.
+   root: fingerprints of words 1..PREFIX and of the rest.
 3. Prefixes are counted.  One with more suffixes than a group may hold is replaced by the
    longer prefixes below it (variable length); a prefix of WINDOW words needs no
    subtree, only its smallest document.
 4. A task reads its groups sorted, one after the other: neighbours that agree on all edges
    lie below the same deep node.
 
-Occurrences that are equal inside one task are settled there, so a passage that a third
-of all documents hold sends one row per task to the shuffle.
+A text that also stands under a smaller doc_id is a repeat as a whole; its suffixes
+are left out.  Occurrences that are equal inside one task are settled there, so a passage
+that a third of all documents hold sends one row per task to the shuffle.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._bytes import SPACE, owner, pieces, prefix_hash, span_hash, spans, word_windows
-from ._shared import cut, ship, table
+from ._bytes import SPACE, mixed, owner, pieces, prefix_hash, span_hash, spans, word_windows
+from ._shared import cut, free, ship, table
 
 WINDOW = 13             # words of a repeat
 PREFIX = 6              # words of the shortest prefix
@@ -45,12 +46,6 @@ _TAG = (1 << 32) - 1
 OPEN, SETTLED = 0, 1
 
 
-def edge_words(window: int, prefix: int) -> tuple[int, int, int]:
-    """Words of the three edges from the root to a node ``window`` words deep."""
-    middle = (window - prefix) // 2
-    return prefix, middle, window - prefix - middle
-
-
 class Words:
     """Words of a piece of text and their windows."""
 
@@ -64,14 +59,11 @@ class Words:
         none = np.zeros(0, np.int64)
         self.start = np.flatnonzero(self.row[:n - window + 1] == self.row[window - 1:]) if n >= window else none
         if not len(self.start):
-            self.anchor, self.edges, self.grams = none, [none.view(np.uint64)] * 3, none.view(np.uint64)
+            self.anchor, self.edges, self.grams = none, [none.view(np.uint64)] * 2, none.view(np.uint64)
             return
         everywhere = np.zeros(n, np.int64)
-        sizes = edge_words(window, prefix)
-        grams = [word_windows(words, everywhere, k)[0] for k in sizes]
-        self.grams = grams[0]
-        a, b = sizes[0], sizes[0] + sizes[1]
-        self.edges = [grams[0][self.start], grams[1][self.start + a], grams[2][self.start + b]]
+        self.grams, tails = (word_windows(words, everywhere, k)[0] for k in (prefix, window - prefix))
+        self.edges = [self.grams[self.start], tails[self.start + prefix]]
         # anchor of a window: its smallest prefix hash, the leftmost of equal ones
         wide = window - prefix + 1
         order = (self.grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(self.grams), dtype=np.uint64)
@@ -125,8 +117,7 @@ _ANCHORS = "key long, doc long, run long, verdict int"
 
 
 def _anchor_rows(key: np.ndarray, doc: np.ndarray, run: np.ndarray, verdict: int) -> pa.RecordBatch:
-    keys = pa.nulls(len(doc), pa.int64()) if verdict == SETTLED else pa.array(key)
-    return pa.RecordBatch.from_arrays([keys, pa.array(doc), pa.array(run), pa.array(np.full(len(doc), verdict, np.int32))],
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(run), pa.array(np.full(len(doc), verdict, np.int32))],
                                       ["key", "doc", "run", "verdict"])
 
 
@@ -144,8 +135,10 @@ def _anchors(window: int, prefix: int):
         key, doc, run = key[at], doc[at], run[at]
         new = _new(key)
         shared = _several(new, doc)
-        # a key with several documents is settled: one row, without position, tells the other tasks
-        yield _anchor_rows(key[shared], doc[shared], run[shared], SETTLED)
+        # a key with several documents is settled: one row, without position, tells the other
+        # tasks; its rows are dealt out by their text
+        spread = mixed((doc ^ (run & _TAG)).view(np.uint64)).view(np.int64)
+        yield _anchor_rows(spread[shared], doc[shared], run[shared], SETTLED)
         yield _anchor_rows(key[~shared], doc[~shared], run[~shared], OPEN)
         lead = shared & new
         yield _anchor_rows(key[lead], doc[lead], np.full(int(lead.sum()), -1, np.int64), OPEN)
@@ -165,18 +158,25 @@ def _anchors(window: int, prefix: int):
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, doc, run: those of keys with several documents, in any task."""
+    """Rows sorted by key, doc, run: the settled ones, and those of keys with several
+    documents, in any task."""
     rest: tuple[np.ndarray, ...] | None = None
 
+    def out(doc: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(run)], ["doc", "run"])
+
     def done(key: np.ndarray, doc: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
         new = _new(key)
         group = np.cumsum(new) - 1
         shared = _several(new, doc) | (np.bincount(group, weights=run < 0) > 0)[group]
         shared &= run >= 0
-        return pa.RecordBatch.from_arrays([pa.array(doc[shared]), pa.array(run[shared])], ["doc", "run"])
+        return out(doc[shared], run[shared])
 
     for batch in batches:
         own = tuple(batch.column(k).to_numpy() for k in ("key", "doc", "run"))
+        still = batch.column("verdict").to_numpy() == OPEN
+        yield out(own[1][~still], own[2][~still])
+        own = tuple(x[still] for x in own)
         if rest is not None:
             own = tuple(np.concatenate(x) for x in zip(rest, own, strict=True))
         if len(own[0]):
@@ -189,14 +189,14 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 # ------------------------------------------------------------------ 2: suffixes below the other prefixes
-_SUFFIXES = "e1 long, e2 long, e3 long, doc long, run long, verdict int"
+_SUFFIXES = "e1 long, e2 long, doc long, run long, verdict int"
 
 
-def _suffix_rows(e1: np.ndarray, e2: np.ndarray, e3: np.ndarray, doc: np.ndarray, run: np.ndarray, verdict: int) -> pa.RecordBatch:
+def _suffix_rows(e1: np.ndarray, e2: np.ndarray, doc: np.ndarray, run: np.ndarray, verdict: int) -> pa.RecordBatch:
     n = len(doc)
-    edges = [pa.nulls(n, pa.int64()) if verdict == SETTLED else pa.array(e) for e in (e1, e2, e3)]
+    edges = [pa.nulls(n, pa.int64()) if verdict == SETTLED else pa.array(e) for e in (e1, e2)]
     return pa.RecordBatch.from_arrays([*edges, pa.array(doc), pa.array(run), pa.array(np.full(n, verdict, np.int32))],
-                                      ["e1", "e2", "e3", "doc", "run", "verdict"])
+                                      ["e1", "e2", "doc", "run", "verdict"])
 
 
 def _repeats(new: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -206,13 +206,13 @@ def _repeats(new: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _suffixes(window: int, prefix: int):
-    def settle(e1: np.ndarray, e2: np.ndarray, e3: np.ndarray, doc: np.ndarray, run: np.ndarray) -> Iterator[pa.RecordBatch]:
-        at = np.lexsort((run, doc, e3, e2, e1))
-        e1, e2, e3, doc, run = e1[at], e2[at], e3[at], doc[at], run[at]
-        again = _repeats(_new(e1, e2, e3), doc)
-        yield _suffix_rows(e1[again], e2[again], e3[again], doc[again], run[again], SETTLED)
+    def settle(e1: np.ndarray, e2: np.ndarray, doc: np.ndarray, run: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = np.lexsort((run, doc, e2, e1))
+        e1, e2, doc, run = e1[at], e2[at], doc[at], run[at]
+        again = _repeats(_new(e1, e2), doc)
+        yield _suffix_rows(e1[again], e2[again], doc[again], run[again], SETTLED)
         first = ~again
-        yield _suffix_rows(e1[first], e2[first], e3[first], doc[first], run[first], OPEN)
+        yield _suffix_rows(e1[first], e2[first], doc[first], run[first], OPEN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(settle)
@@ -224,8 +224,9 @@ def _suffixes(window: int, prefix: int):
                 w = Words(data, starts, window, prefix)
                 own = flat[edge[i]:edge[j]]
                 row = np.repeat(np.arange(j - i), np.diff(edge[i:j + 1]))
+                at = w.first[row] + (own >> 32)
                 shared = np.zeros(len(w.row) + 1, bool)
-                shared[w.first[row] + (own >> 32)] = True
+                shared[at[at < w.first[row + 1]]] = True    # texts of one doc_id may have equal tags
                 take = np.flatnonzero(shared[w.anchor])
                 at = w.row[w.start[take]]
                 yield from held.add(*(e[take].view(np.int64) for e in w.edges), doc[i + at],
@@ -237,23 +238,18 @@ def _suffixes(window: int, prefix: int):
 
 # ------------------------------------------------------------------ 3 and 4: groups and their subtrees
 def grouped(suffixes: DataFrame, group: int = GROUP, part: int = GROUP_PART) -> DataFrame:
-    """Adds ``grp``, a fingerprint of the shortest prefix (one, two or three edges) with
-    at most max(group, rows / part) suffixes.  So at most ``part`` prefixes of a
-    length are too large: that bounds the two lists that are broadcast."""
+    """Adds ``grp``, a fingerprint of the shorter prefix, or of the longer one where
+    more than max(group, rows / part) suffixes have the shorter one.  So at most
+    ``part`` prefixes are too large: that bounds the list that is broadcast."""
     rows = suffixes.count()
     most = max(group, rows // part)
     # a coarse count first: a prefix that is too large is in a bucket that is too large
     buckets = 4 * rows // most + 1
-    full = (suffixes.groupBy(F.pmod("e1", F.lit(buckets)).alias("bucket")).count().where(F.col("count") > most).select("bucket"))
-    one = (suffixes.join(F.broadcast(full), F.pmod("e1", F.lit(buckets)) == F.col("bucket"), "left_semi")
-           .groupBy("e1").count().where(F.col("count") > most).select("e1", F.lit(True).alias("long1")))
-    long1 = F.broadcast(one)
-    two = (suffixes.join(long1, "e1", "left_semi").groupBy("e1", "e2").count().where(F.col("count") > most)
-           .select("e1", "e2", F.lit(True).alias("long2")))
-    long2 = F.broadcast(two)
-    return (suffixes.join(long1, "e1", "left").join(long2, ["e1", "e2"], "left")
-            .withColumn("grp", F.when(F.col("long2"), F.xxhash64("e1", "e2", "e3")).when(F.col("long1"), F.xxhash64("e1", "e2"))
-                        .otherwise(F.xxhash64("e1"))).drop("long1", "long2"))
+    full = suffixes.groupBy(F.pmod("e1", F.lit(buckets)).alias("bucket")).count().where(F.col("count") > most).select("bucket")
+    large = (suffixes.join(F.broadcast(full), F.pmod("e1", F.lit(buckets)) == F.col("bucket"), "left_semi")
+             .groupBy("e1").count().where(F.col("count") > most).select("e1", F.lit(True).alias("large")))
+    return (suffixes.join(F.broadcast(large), "e1", "left")
+            .withColumn("grp", F.when(F.col("large"), F.xxhash64("e1", "e2")).otherwise(F.xxhash64("e1"))).drop("large"))
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,15 +258,15 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     node: tuple[int, ...] | None = None
     least = 0
     for batch in batches:
-        e1, e2, e3, doc, run = (batch.column(k).to_numpy() for k in ("e1", "e2", "e3", "doc", "run"))
+        e1, e2, doc, run = (batch.column(k).to_numpy() for k in ("e1", "e2", "doc", "run"))
         if not len(doc):
             continue
-        new = _new(e1, e2, e3)
+        new = _new(e1, e2)
         lead = doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        if node == (e1[0], e2[0], e3[0]):         # the last node goes on
+        if node == (e1[0], e2[0]):         # the last node goes on
             head = int(np.argmax(new[1:])) + 1 if new[1:].any() else len(doc)
             lead[:head] = least
-        node, least = (e1[-1], e2[-1], e3[-1]), int(lead[-1])
+        node, least = (e1[-1], e2[-1]), int(lead[-1])
         again = doc > lead
         yield pa.RecordBatch.from_arrays([pa.array(doc[again]), pa.array(run[again])], ["doc", "run"])
 
@@ -280,7 +276,7 @@ def _apply(window: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            marks = batch.column("marks")
+            marks, whole = batch.column("marks"), batch.column("whole").to_numpy(zero_copy_only=False)
             edge, flat = marks.offsets.to_numpy(), marks.values.to_numpy(zero_copy_only=False)
             for i, j, data, starts in pieces(batch.column("text"), PIECE):
                 begin, end = spans(~SPACE[data])
@@ -292,6 +288,8 @@ def _apply(window: int, with_text: bool):
                 np.add.at(change, hit, 1)
                 np.add.at(change, hit + window, -1)
                 gone = np.cumsum(change)[:len(begin)] > 0
+                for r in np.flatnonzero(whole[i:j] & (np.diff(first) >= window)):
+                    gone[first[r]:first[r + 1]] = True
                 runs = gone & ~np.concatenate([[False], gone[:-1]])
                 raw = data.tobytes()
                 for r in range(j - i):
@@ -314,7 +312,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
 
     A word is removed if a window of ``window`` words that covers it also starts in a
     document with a smaller doc_id.  A null text has no words; a null doc_id is
-    smaller than any other; rows with one doc_id do not remove each other's words;
+    smaller than any other; rows with one doc_id do not remove each other's words (their
+    texts are told apart by 32 bits of a hash);
     texts of fewer words stay whole; very long texts are read whole; an empty table
     gives no rows; other columns are not read.
     """
@@ -328,19 +327,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     def with_marks(marks: DataFrame, how: str) -> DataFrame:
         lists = (marks.groupBy("doc", F.col("run").bitwiseAND(F.lit(_TAG)).alias("tag"))
                  .agg(F.sort_array(F.collect_set("run")).alias("marks")))  # a set: rows that occur twice send the same marks
-        return texts.join(lists.hint("merge"), ["doc", "tag"], how).select(
-            "doc", "tag", "text", F.coalesce("marks", F.array().cast("array<long>")).alias("marks"))
-
-    anchors = cut(texts.mapInArrow(_anchors(window, prefix), _ANCHORS), "anchors")
-    found = (anchors.where(F.col("verdict") == OPEN).select("key", "doc", "run").repartition(n, "key")
-             .sortWithinPartitions("key", "doc", "run").mapInArrow(_shared_anchors, "doc long, run long"))
-    shared = cut(found.union(anchors.where(F.col("verdict") == SETTLED).select("doc", "run")), "shared")
-    suffixes = cut(with_marks(shared, "inner").mapInArrow(_suffixes(window, prefix), _SUFFIXES), "suffixes")
+        return texts.join(lists.hint("merge"), ["doc", "tag"], how).withColumn(
+            "marks", F.coalesce("marks", F.array().cast("array<long>")))
+
+    # texts that a smaller doc_id has too
+    same = cut(texts.select("doc", "tag", F.unhex(F.sha2("text", 256)).alias("sha")), "same")
+    least = same.groupBy("sha").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("sha", "least")
+    copies = cut(same.join(least, "sha").where("doc > least").select("doc", "tag").distinct(), "copies")
+
+    anchors = texts.mapInArrow(_anchors(window, prefix), _ANCHORS)
+    shared = cut(anchors.repartition(n, "key").sortWithinPartitions("key", "doc", "run")
+                 .mapInArrow(_shared_anchors, "doc long, run long"), "shared")
+    own = shared.withColumn("tag", F.col("run").bitwiseAND(F.lit(_TAG))).join(copies, ["doc", "tag"], "left_anti").select("doc", "run")
+    suffixes = cut(with_marks(own, "inner").select("doc", "tag", "text", "marks").mapInArrow(_suffixes(window, prefix), _SUFFIXES), "suffixes")
+    free(shared)
     still = grouped(suffixes.where(F.col("verdict") == OPEN).drop("verdict"))
-    deep = (still.repartition(n, "grp").sortWithinPartitions("grp", "e1", "e2", "e3", "doc", "run")
-            .select("e1", "e2", "e3", "doc", "run").mapInArrow(_subtrees, "doc long, run long"))
+    deep = (still.repartition(n, "grp").sortWithinPartitions("grp", "e1", "e2", "doc", "run")
+            .select("e1", "e2", "doc", "run").mapInArrow(_subtrees, "doc long, run long"))
     repeats = cut(deep.union(suffixes.where(F.col("verdict") == SETTLED).select("doc", "run")), "repeats")
-    out = with_marks(repeats, "left").mapInArrow(
+    free(suffixes)
+    marked = with_marks(repeats, "left").join(copies.withColumn("whole", F.lit(True)).hint("merge"), ["doc", "tag"], "left").select(
+        "doc", "text", "marks", F.coalesce("whole", F.lit(False)).alias("whole"))
+    out = marked.mapInArrow(
         _apply(window, with_text), "doc long, n_words long, n_removed long, n_repeats long, kept_sha256 string, kept string")
     return out.withColumn("doc_id", F.when(F.col("doc") != _NULL_ID, F.col("doc"))).select("doc_id", *out.columns[1:])
 
