@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import mixed, pieces, prefix_hash, rolling_hash, span_hash
-from ._shared import cut, ship, table
+from ._shared import cut, free, ship, table
 
 LENGTH = 100
 TRIGGER = 24            # bytes under the rolling hash
@@ -312,9 +312,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     rows = cut(texts.mapInArrow(_phrases(length, trigger), _VERDICTS), "phrases")
     for step in (_blocks(length, block), _strings(length), None):
         settled = cut(_first_occurrences(rows), "settled")
-        found += [x.where(F.col("verdict") == REPEAT).select("doc_id", "run") for x in (rows, settled)]
+        # the repeats stay, all else goes once the next step is written
+        found.append(cut(rows.where(F.col("verdict") == REPEAT).union(settled.where(F.col("verdict") == REPEAT))
+                         .select("doc_id", "run"), "found"))
+        free(rows)
         if step is not None:
             rows = cut(with_runs(settled.where(F.col("verdict") == OPEN), "inner").mapInArrow(step, _VERDICTS), "rows")
+        free(settled)
     repeats = found[0]
     for x in found[1:]:
         repeats = repeats.union(x)
