@@ -70,7 +70,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pieces = _Memory(self._piece, PIECES)
         self.units = _Memory(self._unit, UNITS)      # units without the blank before them
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]

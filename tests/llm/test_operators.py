@@ -70,7 +70,6 @@ def test_token_files_round_trip(spark, corpus, odd):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(token_files.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     for rows, df in both(corpus, odd):
         want = brute.token_rows(rows, tokenizer)
         folder = shared_dir(spark) + "/t"

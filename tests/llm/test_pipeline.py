@@ -91,7 +91,6 @@ def test_token_stage(spark, inputs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(token_files.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     for docs in inputs:
         got = STAGES["token_files"](spark, docs, FOLDER).collect()
         want = brute.token_rows(pairs(docs), tokenizer)
