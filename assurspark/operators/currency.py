@@ -17,6 +17,8 @@ from pyspark.sql.window import Window
 HOME_CCY_ID = 43
 GHS_CCY_ID = 49
 
+AMOUNT, RATE, CONVERTED = T.DecimalType(22, 4), T.DecimalType(15, 8), T.DecimalType(38, 6)
+
 
 def latest_rates(exchange: DataFrame, currencies: DataFrame) -> DataFrame:
     """P-04: rate rows whose effective date is the greatest of their currency
@@ -124,11 +126,14 @@ def converted(amount: str | Column, from_ccy: str | Column, to_ccy: str | Column
               rate_from: str | Column, rate_to: str | Column) -> Column:
     """F-01 / G-01: ``amount`` in currency ``from_ccy`` expressed in ``to_ccy``:
     unchanged when the currencies are equal, else ``amount * rate_from / rate_to``
-    (NULL if a rate is missing).  Computed in double and returned as
-    DECIMAL(38,6)."""
+    (NULL if a rate is missing), as DECIMAL(38,6).
+
+    Computed in decimals: amounts of DECIMAL(22,4) (below 10^18) and rates of
+    DECIMAL(15,8) (below 10^7) have an exact product of 38 digits; the quotient is
+    rounded once, half up, at the sixth decimal.  Larger amounts or rates
+    raise an overflow error in ANSI mode."""
     def c(x):
         return F.col(x) if isinstance(x, str) else (F.lit(x) if isinstance(x, int) else x)
-    a = c(amount)
-    val = (a.cast("double") * c(rate_from).cast("double") / c(rate_to).cast("double"))
-    return (F.when(c(from_ccy) == c(to_ccy), a.cast("double")).otherwise(val)
-            .cast(T.DecimalType(38, 6)))
+    a = c(amount).cast(AMOUNT)
+    val = a * c(rate_from).cast(RATE) / c(rate_to).cast(RATE)
+    return (F.when(c(from_ccy) == c(to_ccy), a.cast(CONVERTED)).otherwise(val.cast(CONVERTED)))

@@ -113,16 +113,18 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]
     few long or open-ended ones get the bucket -1, and every fact probes both
     its month and -1: one equi join on (keys, bucket) + range residual, each
     match found exactly once, candidates per probe bounded by about one
-    month of intervals plus the key's long ones.  Left joins (and
-    ``bucket_months=None``) use the plain equi + range join: a left join
-    would need a second pass over the facts to add the unmatched ones, and it
-    is used where the key's intervals are one contract's own versions."""
+    month of intervals plus the key's long ones.  Left joins gather the
+    intervals instead (``_left_interval_join``): one row per (key, month) and one
+    per key, so the facts are read once and no unmatched ones have to be added.
+    ``bucket_months=None`` uses the plain equi + range join."""
     p = F.col(point) if isinstance(point, str) else point
     if how not in ("inner", "left"):
         raise ValueError("interval_join supports inner and left")
     upper = (p <= right[end]) if inclusive_end else (p < right[end])
     rng = (p >= right[start]) & upper
-    if bucket_months is None or how == "left":
+    if bucket_months is not None and how == "left":
+        return _left_interval_join(left, right, keys, p, start, end, inclusive_end, bucket_months)
+    if bucket_months is None:
         cond = None
         for lk, rk in keys:
             e = left[lk] == right[rk]
@@ -143,6 +145,69 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]]
     return probe.join(r, cond, "inner").drop(probe["_iv_b"]).drop(r["_iv_b"])
 
 
+def _left_interval_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], p: Column,
+                        start: str, end: str, inclusive_end: bool, bucket_months: int) -> DataFrame:
+    """The left form of ``interval_join``: intervals of at most ``bucket_months``
+    months are gathered per (key, month they touch), the long ones per key.  Both
+    sides of that are unique, so two left equi joins give every fact the
+    candidates of its month and the long ones; those that hold the point are searched
+    in the row, and a fact without any is kept once with NULLs.
+
+    A row holds one key's intervals of one month (or its long ones): the versions
+    of one contract, which lie behind one another.  Intervals without a bound, or
+    that end before they start, match nothing."""
+    month_span = _month(F.col(end)) - _month(F.col(start))
+    names = [f"_iv_k{i}" for i in range(len(keys))]
+    held = right.where(F.col(start) <= F.col(end)).select(
+        *[F.col(rk).alias(n) for (_, rk), n in zip(keys, names)],
+        (month_span <= bucket_months).alias("_iv_short"),
+        F.struct(F.col(start).alias("start"), F.col(end).alias("end"),
+                 F.struct(*[F.col(c) for c in right.columns]).alias("row")).alias("_iv"))
+    months = F.explode(F.sequence(_month(F.col("_iv.start")), _month(F.col("_iv.end"))))
+    short = (held.where("_iv_short").withColumn("_iv_m", months).groupBy(*names, "_iv_m")
+             .agg(F.collect_list("_iv").alias("_iv_of_month")))
+    long = held.where(~F.col("_iv_short")).groupBy(*names).agg(F.collect_list("_iv").alias("_iv_long"))
+    probe = left.withColumn("_iv_p", p).withColumn("_iv_pm", _month(F.col("_iv_p")))
+    for side, bucketed in ((short, True), (long, False)):
+        cond = (probe["_iv_pm"] == side["_iv_m"]) if bucketed else F.lit(True)
+        for (lk, _), n in zip(keys, names):
+            cond = cond & (probe[lk] == side[n])
+        probe = probe.join(side, cond, "left").drop(*[side[n] for n in names])
+    none = F.array().cast(short.schema["_iv_of_month"].dataType)
+    at = F.col("_iv_p")
+    hits = F.filter(F.concat(F.coalesce("_iv_of_month", none), F.coalesce("_iv_long", none)),
+                    lambda v: (v["start"] <= at) & ((at <= v["end"]) if inclusive_end else (at < v["end"])))
+    return probe.select(*[probe[c] for c in left.columns], F.explode_outer(hits).alias("_iv_hit")).select(
+        *left.columns, *[F.col("_iv_hit.row")[c].alias(c) for c in right.columns])
+
+
+# parts that the rows without a key are dealt to
+NULL_SPLITS = 1024
+
+
+def left_join_present(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]],
+                      splits: int = NULL_SPLITS) -> DataFrame:
+    """J-02 / J-05: ``left LEFT JOIN right`` on equal keys, where many left rows have no key.
+
+    A left join would send all rows with a NULL key to one task.  Here the join
+    has one more equi key: 0 for rows with a key and on the right, a hash of the
+    row for rows without, which match nothing in either form.  So these rows
+    are dealt to ``splits`` parts and every other row keeps its partition.  The
+    right's 0 is computed from its key, or Catalyst would fold the condition into
+    a filter of the left side."""
+    some_null = None
+    for lk, _ in keys:
+        is_null = left[lk].isNull()
+        some_null = is_null if some_null is None else some_null | is_null
+    deal = F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(splits)) + 1
+    probe = left.withColumn("_np_part", F.when(some_null, deal).otherwise(F.lit(0)))
+    found = right.withColumn("_np_zero", F.pmod(F.xxhash64(*[right[rk] for _, rk in keys]), F.lit(1)))
+    cond = probe["_np_part"] == found["_np_zero"]
+    for lk, rk in keys:
+        cond = cond & (probe[lk] == found[rk])
+    return probe.join(found, cond, "left").drop("_np_part", "_np_zero")
+
+
 def null_aware_anti(left: DataFrame, left_key: str, values: DataFrame, value_col: str,
                     null_safe: bool = False) -> DataFrame:
     """F-29: ``left_key NOT IN (SELECT value_col FROM values)``.

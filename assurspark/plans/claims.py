@@ -24,7 +24,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import latest_per_key, span_per_key
 from ..operators.currency import latest_rates
-from ..operators.joins import or_equi_join, semi
+from ..operators.joins import left_join_present, or_equi_join, semi
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
 from .params import CASE_INSENSITIVE, ClaimsOutstandingParams, ClaimsReportedParams, ClaimsSettledParams
@@ -361,7 +361,7 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
 
     j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product, ci))
     j = _claim_side(t, p.culture_id, j, latest_correspondence(t, p.culture_id, window_claims(t, p)))
-    j = j.join(officer_names(t), F.col("adjuster") == F.col("off_partner_id"), "left")
+    j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")])
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
 
     na = F.lit(p.placeholder)
@@ -447,9 +447,10 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     # which equals the payout's claim id whenever there is one, so the row is
     # not re-shuffled on a second key
     j = j.join(payind, (F.col("claim_id") == F.col("pi_claim_id")) & F.col("po_claim_id").isNotNull(), "left")
-    j = j.join(officer_names(t), F.col("adjuster") == F.col("off_partner_id"), "left")
     j = (j.join(_recoverable(t, FAC_PREFIX, "r1"), F.col("claim_id") == F.col("r1_claim_id"), "left")
          .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
+    # the last join of the rows that is not on the claim: nothing keyed by it follows
+    j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")])
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
 
     rate1 = F.coalesce(F.col("xRate"), F.lit(1))
@@ -566,14 +567,17 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
     # the window's transactions cut the payouts before these meet anything else
     j = (v.join(tx, F.col("id_riad_zdroj") == F.col("vypla_id"), "inner")
          .join(vst, v.cvypst_cvypst_id == vst.cvypst_id, "inner")
-         .join(pm, F.col("plafor_plafor_id") == F.col("plafor_id"), "inner")
-         .join(cc, F.col("plnadr_plnadr_id") == F.col("plnadr_id"), "left")
-         .join(pun, F.col("punakl_punakl_id") == F.col("punakl_id"), "left"))
+         .join(pm, F.col("plafor_plafor_id") == F.col("plafor_id"), "inner"))
+    # a payout has an addressee or an expense, so many rows have no key
+    j = left_join_present(j, cc, [("plnadr_plnadr_id", "plnadr_id")])
+    j = left_join_present(j, pun, [("punakl_punakl_id", "punakl_id")])
     j = or_equi_join(j, cp, ["cc_pupar", "pun_pupar"], "pupar_id", "inner")
-    j = (j.join(names("para"), F.col("partner_partner_id") == F.col("para_id"), "inner")
-         .join(names("parr"), F.col("revident") == F.col("parr_id"), "left")
-         .join(names("parl"), F.col("likvidator") == F.col("parl_id"), "left")
-         .join(cm, F.col("cmenak_cmenak_id") == F.col("cmenak_id"), "left")
+    j = j.join(names("para"), F.col("partner_partner_id") == F.col("para_id"), "inner")
+    # inspectors and adjusters are few staff members: their names are cut to those ids first
+    staff = (v.select(F.explode(F.array("revident", "likvidator")).alias("staff_id")).where("staff_id IS NOT NULL").distinct())
+    for alias, key in (("parr", "revident"), ("parl", "likvidator")):
+        j = left_join_present(j, semi(names(alias), staff, F.col(f"{alias}_id") == F.col("staff_id")), [(key, f"{alias}_id")])
+    j = (j.join(cm, F.col("cmenak_cmenak_id") == F.col("cmenak_id"), "left")
          .join(payment_due_dates(t, tx.select(F.col("transa_id").alias("window_tx"))),
                F.col("transa_id") == F.col("due_head_id"), "left"))
     # The lookups of transaction types and states have no output column and are not

@@ -23,7 +23,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
 from ..operators.currency import GHS_CCY_ID, HOME_CCY_ID, RateTable, converted, latest_rates
-from ..operators.joins import interval_join, null_aware_anti, salted_join, semi
+from ..operators.joins import interval_join, left_join_present, null_aware_anti, salted_join, semi
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
 from .params import CASE_INSENSITIVE, DailyProductionParams
@@ -233,14 +233,13 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     zh = hist.select(F.col("zmlh_id"), F.col("zml_id").alias("zh_zml_id"),
                      F.col("zmena_id").alias("zh_zmena_id"), F.col("renewal_date").alias("zh_renewal"),
                      F.col("datum_uzatvorenia").alias("zh_concl"))
-    j = j.join(zh, (F.col("zh_zml_id") == F.col("zml_id")) & (F.col("zh_zmena_id") == F.col("vznik_id")),
-               "left")
+    j = left_join_present(j, zh, [("zml_id", "zh_zml_id"), ("vznik_id", "zh_zmena_id")])
     zh2 = hist.where(F.col("ucinny") == 1).select(
         F.col("zmlh_id").alias("zh2_id"), F.col("zml_id").alias("zh2_zml_id"),
         F.col("datum_od").alias("zh2_from"), F.col("datum_do").alias("zh2_to"),
         F.col("renewal_date").alias("zh2_renewal"), F.col("datum_zaciatku").alias("zh2_start"),
         F.col("aktualny_koniec").alias("zh2_cur_end"), F.col("datum_konca").alias("zh2_end"))
-    # a contract's own versions; a contract with many transactions is split by AQE's skew join
+    # a contract's own versions: those of a month, and the long ones, are searched in the row
     j = interval_join(j, zh2, [("zml_id", "zh2_zml_id")], "datum_splatnost", "zh2_from", "zh2_to", "left")
     # The change-type lookups of both versions are left joins on code-list keys
     # whose columns are not used downstream, so they cannot change the rows.

@@ -82,6 +82,60 @@ def test_interval_join_property(spark, ivs, facts, inclusive, bucket):
     assert got == sorted(exp)
 
 
+@SETTINGS
+@given(intervals, st.lists(st.tuples(st.sampled_from([0, 1, 2, 3, 4, None]), st.one_of(days, st.none())), max_size=20), st.booleans(),
+       st.integers(0, 6))
+def test_left_interval_join_property(spark, ivs, facts, inclusive, bucket):
+    """Every fact once per interval that holds its point, or once with NULLs."""
+    v = spark.createDataFrame(
+        [(j, k, s, None if open_ else s + dt.timedelta(days=n)) for j, (k, s, n, open_) in enumerate(ivs)],
+        "vid int, vk long, f timestamp_ntz, t timestamp_ntz")
+    f = spark.createDataFrame([(i, k, at) for i, (k, at) in enumerate(facts)], "id int, fk long, at timestamp_ntz")
+    out = J.interval_join(f, v, [("fk", "vk")], "at", "f", "t", "left", inclusive, bucket_months=bucket)
+    assert out.columns == ["id", "fk", "at", "vid", "vk", "f", "t"]
+    plain = J.interval_join(f, v, [("fk", "vk")], "at", "f", "t", "left", inclusive, bucket_months=None)
+    got, want = (sorted(map(tuple, x.collect()), key=str) for x in (out, plain))
+    assert got == want
+    exp = []
+    for i, (k, at) in enumerate(facts):
+        hits = [j for j, (vk, s, n, open_) in enumerate(ivs) if vk == k and at is not None and not open_ and s <= at
+                and (at <= s + dt.timedelta(days=n) if inclusive else at < s + dt.timedelta(days=n))]
+        exp += [(i, j) for j in hits or [None]]
+    assert sorted(((r[0], r[3]) for r in got), key=str) == sorted(exp, key=str)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([0, 1, 2, None]), st.sampled_from([0, 1, None])), max_size=30),
+       st.lists(st.tuples(st.sampled_from([0, 1, None]), st.sampled_from([0, 1, None])), max_size=8), st.integers(1, 5))
+def test_left_join_present_property(spark, lefts, rights, splits):
+    a = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(lefts)], "id int, x long, y long")
+    b = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(rights)], "rid int, bx long, by long")
+    for keys_ in ([("x", "bx")], [("x", "bx"), ("y", "by")]):
+        got = J.left_join_present(a, b, keys_, splits)
+        cond = [a[l] == b[r] for l, r in keys_]
+        want = a.join(b, cond, "left")
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+amounts = st.integers(-10 ** 19, 10 ** 19)          # ten-thousandths: up to 10^15
+rate_units = st.integers(1, 10 ** 12)               # 10^-8: up to 10^4
+
+
+@SETTINGS
+@given(st.lists(st.tuples(amounts, rate_units, rate_units, st.booleans()), min_size=1, max_size=30))
+def test_conversion_equals_decimal_arithmetic(spark, rows):
+    with decimal.localcontext() as ctx:
+        ctx.prec = 80
+        data = [(i, decimal.Decimal(a).scaleb(-4), decimal.Decimal(f).scaleb(-8), decimal.Decimal(t).scaleb(-8), 43 if same else 41)
+                for i, (a, f, t, same) in enumerate(rows)]
+        df = spark.createDataFrame(data, "id int, a decimal(38,4), f decimal(19,8), t decimal(19,8), c long")
+        got = {r["id"]: r["x"] for r in df.select("id", CU.converted("a", "c", 43, "f", "t").alias("x")).collect()}
+        for i, a, f, t, c in data:
+            exact = a if c == 43 else a * f / t
+            assert got[i] == exact.quantize(decimal.Decimal("0.000001"), decimal.ROUND_HALF_UP)
+
+
 @SETTINGS
 @given(st.lists(st.integers(0, 5), max_size=60), st.lists(keys, max_size=8), st.integers(1, 10),
        st.integers(1, 4), st.sampled_from(["inner", "left"]))
