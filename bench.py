@@ -5,9 +5,9 @@ Runs on ``local[$BENCH_CPUS]`` against ``$BENCH_SF_DIR`` (default
 
 The logical insurance tables are first derived from the driver's parquet and
 stored once as parquet (``prepare_sec``, reported separately; the windowed
-fact tables month-partitioned, ``sources/layout.py``) and registered as
-external tables of the session catalog with their partitions -- the way the
-reports run in production, where those tables exist.  Each report is then
+fact tables month-partitioned, the detail tables bucketed by claim or policy,
+``sources/layout.py``) and registered as external tables of the session catalog
+-- the way the reports run in production, where those tables exist.  Each report is then
 built over the catalog tables and executed to completion with the ``noop``
 sink (full plan, no driver collect); each report is timed $BENCH_REPEATS times
 (default 3, each with a fresh ``Tables``, so every run plans and size-checks
@@ -39,36 +39,33 @@ HEADLINE = [
 ]
 
 
-def prepare(spark, sf_dir: str, out_dir: str) -> None:
+DATABASE = "assur_bench"
+
+
+def prepare(spark, sf_dir: str, out_dir: str, buckets: int) -> None:
+    """Store the logical tables that are not there yet, register the others."""
     derived = Tables.from_driver_data(spark, sf_dir)
-    todo = [n for n in driver_fixtures.logical_names()
-            if not os.path.exists(os.path.join(out_dir, n, "_SUCCESS"))]
-    layout.store(derived, todo, out_dir)
+    names = driver_fixtures.logical_names()
+    todo = [n for n in names if not os.path.exists(os.path.join(out_dir, n, "_SUCCESS"))]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
+    layout.store_tables(derived, todo, DATABASE, out_dir, buckets)
+    layout.register_tables(spark, [n for n in names if n not in todo], DATABASE, out_dir, buckets)
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     out_dir = os.environ.get("BENCH_TABLES_DIR") or tempfile.mkdtemp(prefix="run-bench-tables-")
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8")),
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8"))
+    spark = local_session(cpus, shuffle_partitions=partitions,
                           memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                           extra={"spark.sql.warehouse.dir": os.path.join(out_dir, "_warehouse")})
     t0 = time.perf_counter()
-    prepare(spark, sf_dir, out_dir)
+    prepare(spark, sf_dir, out_dir, partitions)
     prepare_sec = round(time.perf_counter() - t0, 3)
 
-    # register the stored tables in the session catalog (external tables; month
-    # partitions recovered into the catalog), as reports read them in production
-    db = "assur_bench"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name in driver_fixtures.logical_names():
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-        spark.catalog.createTable(f"{db}.{name}", path=os.path.join(out_dir, name), source="parquet")
-        if name in layout.MONTH_PARTITIONED:
-            spark.catalog.recoverPartitions(f"{db}.{name}")
-
     def run(name: str) -> None:
-        t = Tables.from_catalog(spark, db)
+        t = Tables.from_catalog(spark, DATABASE)
         QUERIES[name].build(t).write.format("noop").mode("overwrite").save()
 
     run("claims_outstanding")  # warm-up: JIT, codegen caches, parquet footers
