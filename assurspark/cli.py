@@ -38,6 +38,7 @@ def _common(p: argparse.ArgumentParser) -> None:
     p.add_argument("--explain", action="store_true", help="print the formatted physical plan, do not run")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "append"])
+    p.add_argument("--check-keys", action="store_true", help="check the declared keys of the input tables first")
     p.add_argument("--cluster", action="store_true", help="apply the large-scale partition sizing")
     p.add_argument("--culture-id", type=int, default=3)
     p.add_argument("--branch")
@@ -95,6 +96,8 @@ def build(spark: SparkSession, a: argparse.Namespace):
     if bool(a.tables) == bool(a.database):
         raise SystemExit("give exactly one of --tables or --database")
     t = Tables.from_parquet_dir(spark, a.tables) if a.tables else Tables.from_catalog(spark, a.database)
+    if a.check_keys:
+        t.check_keys()
     common = dict(culture_id=a.culture_id, branch=a.branch, class_code=a.class_code, product=a.product,
                   string_compare=a.string_compare)
     extra = {"placeholder": a.placeholder} if getattr(a, "placeholder", None) else {}

@@ -186,20 +186,21 @@ NULL_SPLITS = 1024
 
 
 def left_join_present(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]],
-                      splits: int = NULL_SPLITS) -> DataFrame:
+                      spread: list[str] | None = None, splits: int = NULL_SPLITS) -> DataFrame:
     """J-02 / J-05: ``left LEFT JOIN right`` on equal keys, where many left rows have no key.
 
     A left join would send all rows with a NULL key to one task.  Here the join
     has one more equi key: 0 for rows with a key and on the right, a hash of the
     row for rows without, which match nothing in either form.  So these rows
-    are dealt to ``splits`` parts and every other row keeps its partition.  The
+    are dealt to ``splits`` parts and every other row keeps its partition.
+    ``spread``: left columns that tell such rows apart (default: all).  The
     right's 0 is computed from its key, or Catalyst would fold the condition into
     a filter of the left side."""
     some_null = None
     for lk, _ in keys:
         is_null = left[lk].isNull()
         some_null = is_null if some_null is None else some_null | is_null
-    deal = F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(splits)) + 1
+    deal = F.pmod(F.xxhash64(*[left[c] for c in spread or left.columns]), F.lit(splits)) + 1
     probe = left.withColumn("_np_part", F.when(some_null, deal).otherwise(F.lit(0)))
     found = right.withColumn("_np_zero", F.pmod(F.xxhash64(*[right[rk] for _, rk in keys]), F.lit(1)))
     cond = probe["_np_part"] == found["_np_zero"]

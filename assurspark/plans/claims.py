@@ -361,7 +361,7 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
 
     j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product, ci))
     j = _claim_side(t, p.culture_id, j, latest_correspondence(t, p.culture_id, window_claims(t, p)))
-    j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")])
+    j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")], ["claim_id"])
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
 
     na = F.lit(p.placeholder)
@@ -450,7 +450,7 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
     j = (j.join(_recoverable(t, FAC_PREFIX, "r1"), F.col("claim_id") == F.col("r1_claim_id"), "left")
          .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
     # the last join of the rows that is not on the claim: nothing keyed by it follows
-    j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")])
+    j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")], ["claim_id"])
     j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
 
     rate1 = F.coalesce(F.col("xRate"), F.lit(1))
@@ -569,20 +569,18 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
          .join(vst, v.cvypst_cvypst_id == vst.cvypst_id, "inner")
          .join(pm, F.col("plafor_plafor_id") == F.col("plafor_id"), "inner"))
     # a payout has an addressee or an expense, so many rows have no key
-    j = left_join_present(j, cc, [("plnadr_plnadr_id", "plnadr_id")])
-    j = left_join_present(j, pun, [("punakl_punakl_id", "punakl_id")])
+    j = left_join_present(j, cc, [("plnadr_plnadr_id", "plnadr_id")], ["transa_id"])
+    j = left_join_present(j, pun, [("punakl_punakl_id", "punakl_id")], ["transa_id"])
     j = or_equi_join(j, cp, ["cc_pupar", "pun_pupar"], "pupar_id", "inner")
     j = j.join(names("para"), F.col("partner_partner_id") == F.col("para_id"), "inner")
-    # inspectors and adjusters are few staff members: their names are cut to those ids first
-    staff = (v.select(F.explode(F.array("revident", "likvidator")).alias("staff_id")).where("staff_id IS NOT NULL").distinct())
     for alias, key in (("parr", "revident"), ("parl", "likvidator")):
-        j = left_join_present(j, semi(names(alias), staff, F.col(f"{alias}_id") == F.col("staff_id")), [(key, f"{alias}_id")])
+        j = left_join_present(j, names(alias), [(key, f"{alias}_id")], ["transa_id"])
     j = (j.join(cm, F.col("cmenak_cmenak_id") == F.col("cmenak_id"), "left")
          .join(payment_due_dates(t, tx.select(F.col("transa_id").alias("window_tx"))),
                F.col("transa_id") == F.col("due_head_id"), "left"))
     # The lookups of transaction types and states have no output column and are not
-    # planned.  That assumes, unchecked, at most one type with the code PREVYP (the
-    # reference's join has no other condition) and one current state per key.
+    # planned.  That rests on at most one type with the code PREVYP (the reference's
+    # join has no other condition) and one state per key: ``Tables.check_keys`` checks both.
     return j.select(
         F.col("pudal_koren_id").alias("claim_root_id"), F.col("vypla_id").alias("payout_id"),
         F.col("por_cislo").alias("payout_order"), "approval_date",

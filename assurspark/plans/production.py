@@ -233,7 +233,7 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     zh = hist.select(F.col("zmlh_id"), F.col("zml_id").alias("zh_zml_id"),
                      F.col("zmena_id").alias("zh_zmena_id"), F.col("renewal_date").alias("zh_renewal"),
                      F.col("datum_uzatvorenia").alias("zh_concl"))
-    j = left_join_present(j, zh, [("zml_id", "zh_zml_id"), ("vznik_id", "zh_zmena_id")])
+    j = left_join_present(j, zh, [("zml_id", "zh_zml_id"), ("vznik_id", "zh_zmena_id")], ["transa_id"])
     zh2 = hist.where(F.col("ucinny") == 1).select(
         F.col("zmlh_id").alias("zh2_id"), F.col("zml_id").alias("zh2_zml_id"),
         F.col("datum_od").alias("zh2_from"), F.col("datum_do").alias("zh2_to"),

@@ -15,11 +15,11 @@ backings are provided:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contract, driver_fixtures
+from . import contract, driver_fixtures, schemas
 
 
 # (session, source, table) whose contract check passed in this process
@@ -42,7 +42,7 @@ class Tables:
             df = self._loader(key)
             memo = (id(self.spark), self._source, key)
             if self._validate and (self._source is None or memo not in _VALIDATED):
-                expected = contract.schema_of(self.spark, key)
+                expected = contract.schema_of(key)
                 if expected is not None:
                     contract.check(key, df, expected)
                 if self._source is not None:
@@ -63,6 +63,16 @@ class Tables:
                 self._dims[k] = b()
         return {k: self._dims[k] for k in builders}
 
+    def check_keys(self, names: Iterable[str] | None = None) -> None:
+        """Read the tables with declared keys or single rows (all, or ``names``) and raise
+        ``ContractError`` naming everything that is broken.  Opening a table does not do
+        this: it is one job a table, asked for once per load of the data."""
+        declared = sorted({*schemas.UNIQUE_KEYS, *schemas.SINGLE_ROWS})
+        wanted = declared if names is None else [n for n in declared if n in {x.lower() for x in names}]
+        problems = [p for name in wanted for p in contract.key_violations(name, self[name])]
+        if problems:
+            raise contract.ContractError("; ".join(problems))
+
     def with_overrides(self, frames: Mapping[str, DataFrame]) -> "Tables":
         """Same tables, with some replaced (used by unit tests)."""
         base = self

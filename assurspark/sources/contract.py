@@ -1,56 +1,30 @@
-"""Input contract: the schema the reports expect of each logical table.
+"""Input contract: what the reports expect of each logical table (``schemas``).
 
-The schema of every logical table is the output schema of its derivation in
-``driver_fixtures`` -- obtained by analysing that SQL over *empty* driver
-tables, so no data is read and the contract cannot drift from the tables the
-tests and the oracle use.  ``check`` compares a loaded table with it: every
-contract column must be present (names compared case-insensitively) with a
-type Spark can use in its place; extra columns are allowed and ignored.
+``check`` compares a loaded table's columns with the declared ones: every one must be
+present (names compared case-insensitively) with a type Spark can use in its
+place; extra columns are allowed and ignored.  ``key_violations`` reads a table:
+one job counts the rows per declared key (a partial aggregate, so a value on many
+rows is reduced before the shuffle) and the rows of each code that is looked up
+as one value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import driver_fixtures
-
-# fixed values: schemas of the driver's TPC-H-like test tables (TESTDATA.md)
-DRIVER_SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
-                "l_linestatus string, l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-}
+from . import schemas
 
 
 class ContractError(ValueError):
     pass
 
 
-_CACHE: dict[tuple[int, str], T.StructType] = {}
-
-
-def schema_of(spark: SparkSession, name: str) -> T.StructType | None:
-    """Expected schema of one logical table (None for a name outside the
-    contract); derived once per session, without reading data."""
-    defs = driver_fixtures.definitions(driver_fixtures.SPARK)
-    if name not in defs:
-        return None
-    key = (id(spark), name)
-    if key not in _CACHE:
-        sql = defs[name]
-        args = {t: spark.createDataFrame([], DRIVER_SCHEMAS[t])
-                for t in driver_fixtures.referenced_driver_tables(sql)}
-        _CACHE[key] = spark.sql(sql, **args).schema
-    return _CACHE[key]
+def schema_of(name: str) -> T.StructType | None:
+    """Declared schema of one logical table (None for a name outside the contract)."""
+    columns = schemas.COLUMNS.get(name)
+    return None if columns is None else T.StructType.fromDDL(columns)
 
 
 def _compatible(expected: T.DataType, actual: T.DataType) -> bool:
@@ -80,3 +54,23 @@ def check(name: str, df: DataFrame, expected: T.StructType) -> DataFrame:
     if problems:
         raise ContractError(f"table {name}: " + "; ".join(problems))
     return df
+
+
+def key_violations(name: str, df: DataFrame) -> list[str]:
+    """What ``df`` breaks of the keys and single rows declared for ``name``, in words."""
+    found = []
+    keys = schemas.UNIQUE_KEYS.get(name)
+    if keys:
+        rows = df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+        example = F.max(F.struct("_n", *keys)).alias("worst")
+        got = rows.where("_n > 1").agg(F.count("*").alias("keys"), example).first()
+        if got["keys"]:
+            shown = ", ".join(f"{k} = {got['worst'][k]}" for k in keys)
+            found.append(f"table {name}: {got['keys']} values of ({', '.join(keys)}) on several rows, "
+                         f"{shown} on {got['worst']['_n']}")
+    single = schemas.SINGLE_ROWS.get(name)
+    if single:
+        n = df.where(single).count()
+        if n > 1:
+            found.append(f"table {name}: {n} rows where {single}, at most one is expected")
+    return found

@@ -111,7 +111,7 @@ def test_left_join_present_property(spark, lefts, rights, splits):
     a = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(lefts)], "id int, x long, y long")
     b = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(rights)], "rid int, bx long, by long")
     for keys_ in ([("x", "bx")], [("x", "bx"), ("y", "by")]):
-        got = J.left_join_present(a, b, keys_, splits)
+        got = J.left_join_present(a, b, keys_, splits=splits)
         cond = [a[l] == b[r] for l, r in keys_]
         want = a.join(b, cond, "left")
         assert got.columns == want.columns
