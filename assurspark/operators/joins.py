@@ -230,6 +230,13 @@ def null_aware_anti(left: DataFrame, left_key: str, values: DataFrame, value_col
     return out.where((stats["nulls"] == 0) & (F.col(left_key).isNotNull() | (stats["rows"] == 0)))
 
 
+def single_value(rows: DataFrame, column: str) -> Column:
+    """F-31: ``(SELECT column FROM rows)`` as a value.  Spark runs it once, before the
+    rows that are compared with it are read; two rows fail the query, as in SQL,
+    and none give NULL, which equals nothing."""
+    return rows.select(column).scalar()
+
+
 def semi(left: DataFrame, right: DataFrame, on: Column | str | list, ) -> DataFrame:
     """J-10 / F-30: existence filter (``left_semi``) -- used where the reference joins
     a table only to require a match and the right key is the table's key."""

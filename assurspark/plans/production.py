@@ -23,7 +23,7 @@ from ..functions.expressions import (
 )
 from ..operators.aggregates import max_when, sum_when_null, sums_nulls_as_zero
 from ..operators.currency import GHS_CCY_ID, HOME_CCY_ID, RateTable, converted, latest_rates
-from ..operators.joins import interval_join, left_join_present, null_aware_anti, salted_join, semi
+from ..operators.joins import interval_join, left_join_present, null_aware_anti, salted_join, semi, single_value
 from ..sources.catalog import Tables
 from ..sources.layout import prune_months
 from .params import CASE_INSENSITIVE, DailyProductionParams
@@ -103,12 +103,24 @@ def _dim(t: Tables, key: str, c: int = FIXED_CULTURE) -> DataFrame:
     return t.dims({key: _code_lists(t, c)[key]})[key]
 
 
-def _rzml_relation_ids(t: Tables) -> DataFrame:
-    return _dim(t, "rzml_relation")
+def _rzml_relation(t: Tables) -> Column:
+    """The one relation type that makes a policy a member of a group."""
+    return single_value(_dim(t, "rzml_relation"), "crel_id")
 
 
-def _rzml_link_ids(t: Tables) -> DataFrame:
-    return _dim(t, "rzml_link")
+def _rzml_link(t: Tables) -> Column:
+    """The one link type between a contract and its group."""
+    return single_value(_dim(t, "rzml_link"), "vztah_id")
+
+
+def member_policies(t: Tables) -> DataFrame:
+    """Valid member -> group relations of the type RZML."""
+    return current(t.pol_d_policy_policy).where(F.col("crel_crel_id") == _rzml_relation(t))
+
+
+def group_links(t: Tables) -> DataFrame:
+    """Contract -> group links of the type RZML, valid or not."""
+    return t.inc_t_zml_vazby.where(F.col("vztah_vztah_id") == _rzml_link(t))
 
 
 _COVER_SUMS = ("sum_insured", "premium_annual", "premium_modal", "rate_annual_tariff",
@@ -118,8 +130,7 @@ _COVER_SUMS = ("sum_insured", "premium_annual", "premium_modal", "rate_annual_ta
 def cover_rows(t: Tables) -> DataFrame:
     """Cover premiums keyed by the policy they count under: a member's group
     policy (valid member relation of type RZML), else the policy itself."""
-    pp = semi(current(t.pol_d_policy_policy), _rzml_relation_ids(t),
-              F.col("crel_crel_id") == F.col("crel_id"))
+    pp = member_policies(t)
     ppr = t.inc_v_policy_premium
     j = ppr.join(pp.select("policy_policy_id", "policy_policy2_id"),
                  ppr.policy_id == pp.policy_policy_id, "left")
@@ -193,8 +204,7 @@ def window_policies(t: Tables, p: DailyProductionParams) -> DataFrame:
     on it run concurrently with the premium pipeline."""
     tx = window_transactions(t, p)
     acc = current(t.pay_t_ucet, "platny").select("ucet_id", "id_riad_obj")
-    links = semi(current(t.inc_t_zml_vazby, "platny"), _rzml_link_ids(t),
-                 F.col("vztah_vztah_id") == F.col("vztah_id")).select("zml_zml_id", "ku_zmluve_id")
+    links = current(group_links(t), "platny").select("zml_zml_id", "ku_zmluve_id")
     j = semi(acc, tx.select(F.col("id_riad_ciel").alias("_acct")), F.col("ucet_id") == F.col("_acct"))
     j = j.join(links, F.col("id_riad_obj") == F.col("zml_zml_id"), "left")
     return j.select(F.coalesce("ku_zmluve_id", "id_riad_obj").alias("window_policy_id"))
@@ -211,16 +221,14 @@ def premium_movements(t: Tables, p: DailyProductionParams, rates: RateTable) ->
     acc = semi(acc, otype, F.col("id_tab_obj") == F.col("objtyp_id"))
     acc = semi(acc, accounts, F.col("ucet_id") == F.col("_acct"))
     contracts = current(t.inc_t_zmluvy, "platny")
-    groups = semi(t.inc_t_zml_vazby, _rzml_link_ids(t), F.col("vztah_vztah_id") == F.col("vztah_id"))
-    contracts = null_aware_anti(contracts, "zml_id", groups, "ku_zmluve_id",
+    contracts = null_aware_anti(contracts, "zml_id", group_links(t), "ku_zmluve_id",
                                 null_safe=p.fix_group_exclusion)
     z = contracts.select("zml_id", F.col("renewal_date").alias("z_renewal"),
                          F.col("datum_zaciatku").alias("z_start"),
                          F.col("aktualny_koniec").alias("z_cur_end"), F.col("datum_konca").alias("z_end"),
                          F.col("datum_uzatvorenia").alias("z_concl"),
                          F.col("date_acceptance").alias("z_accept"))
-    zv = semi(current(t.inc_t_zml_vazby, "platny"), _rzml_link_ids(t),
-              F.col("vztah_vztah_id") == F.col("vztah_id")).select("zml_zml_id", "ku_zmluve_id")
+    zv = current(group_links(t), "platny").select("zml_zml_id", "ku_zmluve_id")
     # one row per account: the account, its contract and the contract's group link
     # (all one-to-one), joined to the window's transactions once; an account with a
     # large share of them is split by salting, counted on the window's keys

@@ -192,3 +192,21 @@ def test_salted_join_splits_hot_keys_and_keeps_rows(spark):
     assert "xxhash64" in plan(salted) and "Generate explode(sequence" in plan(salted)
     hot = (big.groupBy("k").count().where("count >= 500").collect())
     assert [(r.k, r["count"]) for r in hot] == [(7, 1734)]
+
+
+def test_scalar_code_lookup_fails_on_two_rows(spark, tables):
+    """F-31: a code that is looked up as one value must not be on two rows; on none it matches nothing."""
+    from assurspark.plans import production
+
+    links = production.group_links(tables)
+    assert links.count() > 0
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "subquery" in plan.lower()
+    twice = tables.with_overrides({"par_t_cis_vztah": tables.par_t_cis_vztah.union(tables.par_t_cis_vztah)})
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        production.group_links(twice).count()
+    none = tables.with_overrides({"par_t_cis_vztah": tables.par_t_cis_vztah.where("vztah_kod <> 'RZML'")})
+    assert production.group_links(none).count() == 0
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        production.member_policies(tables.with_overrides(
+            {"par_d_cl_relation": tables.par_d_cl_relation.union(tables.par_d_cl_relation)})).count()
