@@ -45,9 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor sees.
-    Where the setting is unset (local tests) a temporary folder is set for it."""
+    Where the setting is unset (local tests) a temporary folder is set for it; on a
+    cluster, whose executors would not share that, this raises."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: it names the folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="run-llm-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
