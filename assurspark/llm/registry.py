@@ -16,7 +16,7 @@ from .quality_classifier import op4_quality_classifier
 from .quality_rules import op8_quality_rules
 from .source_mixing import op9_source_mixing
 from .spelling_variants import op12_spelling_variants
-from .substring_dedup import op11_substring_dedup
+from .substring_dedup import op11_substring_dedup, repeats_sql
 from .suffix_dedup import op10_suffix_dedup
 from .token_files import op2_token_files
 
@@ -29,4 +29,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op6_decontamination": contamination_sql(),
+    "op11_substring_dedup": repeats_sql(),
 }

@@ -355,3 +355,27 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
+def repeats_sql(window: int = WINDOW) -> str:
+    """DuckDB SQL for the query's rows, where ids are distinct and not null."""
+    return f"""WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+place AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - {window - 1}, 0) + 1)) AS spot FROM split),
+windows AS (
+  SELECT doc_id, spot, array_to_string(list_slice(words, spot, spot + {window - 1}), ' ') AS phrase FROM place),
+smallest AS (SELECT phrase, min(doc_id) AS least FROM windows GROUP BY phrase),
+gone AS (
+  SELECT DISTINCT doc_id, spot + k AS spot
+  FROM windows JOIN smallest USING (phrase), range({window}) offsets(k) WHERE doc_id > least),
+word AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS spot FROM split),
+rest AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY spot) AS kept FROM word ANTI JOIN gone USING (doc_id, spot) GROUP BY doc_id),
+removed AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE starts) AS n_repeats
+  FROM (SELECT doc_id, lag(spot) OVER (PARTITION BY doc_id ORDER BY spot) IS DISTINCT FROM spot - 1 AS starts FROM gone) GROUP BY doc_id)
+SELECT split.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_repeats, 0) AS n_repeats, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN rest USING (doc_id) LEFT JOIN removed USING (doc_id)"""
