@@ -266,3 +266,55 @@ def leaves_of(docs: DataFrame, every: int = TAMPER_EVERY) -> DataFrame:
 
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(leaves_of(table(spark, sf_dir, "documents")))
+
+
+def manifest_sql(every: int = TAMPER_EVERY) -> str:
+    """DuckDB SQL for the query's rows, where ids are distinct and not null."""
+    def leaf(n_chars: str) -> str:
+        fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+        return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}) || ':' || {c} END" for c in fields) + ")"
+
+    return f"""WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps),
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS grp, {leaf('n_chars')} AS leaf, {leaf('(n_chars + 1)')} AS other, n_chars,
+         xor(list_reduce(list_concat([4294967295], list_transform(range(strlen(CAST(doc_id AS VARCHAR))),
+           lambda k: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(k + 1 AS INTEGER), 1)) AS BIGINT))),
+           lambda c, b: xor(c // 256, steps[(xor(c, b) % 256) + 1])), 4294967295) AS h
+  FROM documents, crc),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id) - 1 AS pos FROM leaves),
+node AS (
+  SELECT 0 AS lvl, grp, pos, leaf AS digest FROM placed
+  UNION ALL
+  SELECT lvl + 1, grp, pos // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM node) WHERE n > 1 GROUP BY lvl, grp, pos // 2),
+top AS (SELECT grp, max(lvl) AS height FROM node GROUP BY grp),
+subroots AS (
+  SELECT grp, digest AS subroot, height, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos
+  FROM node JOIN top USING (grp) WHERE lvl = height),
+upper_node AS (
+  SELECT 0 AS lvl, pos, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM upper_node) WHERE n > 1 GROUP BY lvl, pos // 2),
+root AS (SELECT lvl AS height, digest AS root FROM upper_node ORDER BY lvl DESC LIMIT 1),
+step AS (
+  SELECT doc_id, p.lvl AS no, (p.pos >> p.lvl) % 2 AS side, sibling.digest
+  FROM (SELECT doc_id, grp, pos, unnest(range(height)) AS lvl FROM placed JOIN top USING (grp)) p
+  LEFT JOIN node sibling ON sibling.grp = p.grp AND sibling.lvl = p.lvl AND sibling.pos = xor(p.pos >> p.lvl, 1)
+  UNION ALL
+  SELECT doc_id, u.height + u.lvl, (u.pos >> u.lvl) % 2, sibling.digest
+  FROM placed JOIN (SELECT grp, s.height, pos, unnest(range(root.height)) AS lvl FROM subroots s, root) u USING (grp)
+  LEFT JOIN upper_node sibling ON sibling.lvl = u.lvl AND sibling.pos = xor(u.pos >> u.lvl, 1)),
+proof AS (SELECT doc_id, sha256(coalesce(string_agg(digest, '' ORDER BY no), '')) AS proof_sha256 FROM step GROUP BY doc_id),
+folded AS (
+  SELECT doc_id, 0 AS no, CASE WHEN h % {every} = 0 AND n_chars IS NOT NULL THEN other ELSE leaf END AS digest FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.no + 1, sha256(CASE WHEN s.side = 1 THEN coalesce(s.digest, '') || f.digest ELSE f.digest || coalesce(s.digest, '') END)
+  FROM folded f JOIN step s ON s.doc_id = f.doc_id AND s.no = f.no)
+SELECT placed.doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       arg_max(folded.digest, folded.no) AS folded_root, arg_max(folded.digest, folded.no) = root AS verified
+FROM placed JOIN subroots USING (grp) JOIN folded ON folded.doc_id = placed.doc_id LEFT JOIN proof ON proof.doc_id = placed.doc_id, root
+GROUP BY placed.doc_id, leaf, subroot, root, proof_sha256"""

@@ -10,7 +10,7 @@ from .decontamination import contamination_sql, op6_decontamination
 from .language_id import op7_language_id
 from .line_dedup import op5_line_dedup
 from .lm_scoring import op3_lm_scoring
-from .merkle_manifest import op13_merkle_manifest
+from .merkle_manifest import manifest_sql, op13_merkle_manifest
 from .ngram_join import op1_ngram_join
 from .quality_classifier import op4_quality_classifier
 from .quality_rules import op8_quality_rules
@@ -30,4 +30,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op6_decontamination": contamination_sql(),
     "op11_substring_dedup": repeats_sql(),
+    "op13_merkle_manifest": manifest_sql(),
 }
