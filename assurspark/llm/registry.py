@@ -15,7 +15,7 @@ from .ngram_join import op1_ngram_join
 from .quality_classifier import op4_quality_classifier
 from .quality_rules import op8_quality_rules
 from .source_mixing import op9_source_mixing
-from .spelling_variants import op12_spelling_variants
+from .spelling_variants import op12_spelling_variants, variants_sql
 from .substring_dedup import op11_substring_dedup, repeats_sql
 from .suffix_dedup import op10_suffix_dedup
 from .token_files import op2_token_files
@@ -30,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op6_decontamination": contamination_sql(),
     "op11_substring_dedup": repeats_sql(),
+    "op12_spelling_variants": variants_sql(),
     "op13_merkle_manifest": manifest_sql(),
 }

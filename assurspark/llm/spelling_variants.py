@@ -231,3 +231,47 @@ def variant_groups(words: DataFrame, margin: int = MARGIN, tile: int = TILE) ->
 
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_groups(corpus_words(table(spark, sf_dir, "documents")))
+
+
+def variants_sql(min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT, margin: int = MARGIN, drop_every: int = DROP_EVERY) -> str:
+    """DuckDB SQL for the query's rows, where ids are not null: near words share a word
+    with one letter left out, at the same place or as the shorter word itself."""
+    return f"""WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps),
+run AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (
+  SELECT run, hex(encode(doc_id || ':' || run)) AS bytes, count(*) AS n FROM run WHERE length(run) >= {min_length} GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295], list_transform(range(length(bytes) // 2),
+           lambda k: CAST('0x' || substr(bytes, CAST(2 * k + 1 AS INTEGER), 2) AS BIGINT))),
+           lambda c, b: xor(c // 256, steps[(xor(c, b) % 256) + 1])), 4294967295) AS h
+  FROM counted, crc),
+heard AS (
+  SELECT CASE WHEN h % {drop_every} = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+              ELSE run END AS word, n FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM heard WHERE length(word) >= {min_length} GROUP BY word HAVING sum(n) >= {min_count}),
+less AS (
+  SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) AS rest
+  FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS place FROM words)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+  UNION
+  SELECT less.word, words.word, words.n FROM less JOIN words ON words.word = less.rest
+  UNION
+  SELECT words.word, less.word, less.n FROM less JOIN words ON words.word = less.rest),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {margin} * words.n THEN near END AS form,
+         CASE WHEN near_n >= {margin} * words.n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, word AS at_word FROM formed
+  UNION ALL
+  SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.at_word WHERE formed.form IS NOT NULL)
+SELECT formed.word, formed.form, way.at_word AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN way USING (word) JOIN formed last ON last.word = way.at_word AND last.form IS NULL"""
