@@ -123,6 +123,15 @@ def unit_columns(doc_id: Column, text: Column, source: Column) -> list[Column]:
             source.alias("source"), word_count(text).alias("size")]
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Adds ``deal``, by which rows are dealt to leaves: the key, so that a row's leaf does not
+    depend on where it is stored; rows that occur several times, which have one key,
+    are told apart by their id, or all of them would fall into one leaf."""
+    again = rows.groupBy("key").count().where("count > 1").select(F.col("key").alias("again"))
+    return rows.join(again, F.col("key") == F.col("again"), "left").withColumn(
+        "deal", F.when(F.col("again").isNotNull(), F.xxhash64("key", "id")).otherwise(F.col("key"))).drop("again")
+
+
 def mix_rows(rows: DataFrame, share: float = 1.5, limit: float = 2.0, cycle: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
     """(id, size, source_size, target, copies) for written rows of (id, key, source, size)."""
     targets = cut(source_targets(rows.select("source", "size"), share, limit, cycle), "targets")
@@ -135,10 +144,10 @@ def mix_rows(rows: DataFrame, share: float = 1.5, limit: float = 2.0, cycle: tup
     classes = classes.withColumn("offset", F.coalesce(F.sum("leaves").over(upto), F.lit(0)).cast("long"))
     per_class = targets.alias("t").join(classes.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source"))).select(
         F.col("t.source").alias("of"), F.col("class").alias("of_class"), "leaves", "offset", expected.alias("x"), "source_size", "target")
-    placed = rows.withColumn("class", size_class).join(
+    placed = _dealt(rows).withColumn("class", size_class).join(
         per_class, F.col("source").eqNullSafe(F.col("of")) & (F.col("class") == F.col("of_class"))
     ).select("id", "key", "source", "size", "x", "source_size", "target",
-             (F.col("offset") + F.pmod(F.col("key"), F.col("leaves"))).alias("at"))
+             (F.col("offset") + F.pmod(F.col("deal"), F.col("leaves"))).alias("at"))
     placed = cut(placed, "placed")
     units = placed.select("source", "at", "size", "key", "id", (F.col("x") - F.floor("x")).alias("p")).where(
         (F.col("p") > 1e-12) & (F.col("p") < 1 - 1e-12))

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from assurspark.llm import merkle_manifest, spelling_variants, substring_dedup
+from assurspark.llm import merkle_manifest, source_mixing, spelling_variants, substring_dedup
+from assurspark.llm._shared import cut
 from assurspark.llm.registry import QUERIES
 
 from . import brute
@@ -167,3 +168,19 @@ def test_sweeps_inside_a_block(fan):
         proofs = merkle_manifest.backward(nodes, fan, "")
         assert all(merkle_manifest.fold(x, p) == nodes[-1][0] for x, p in zip(leaves, proofs, strict=True))
         assert n == 1 or merkle_manifest.fold(merkle_manifest.joined(["other"]), proofs[0]) != nodes[-1][0]
+
+
+# ---- 9
+def test_repeated_rows_are_dealt_to_many_leaves(spark):
+    """100,000 equal rows, and others: no leaf holds many rows, and each source comes near its target."""
+    rows = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one two three").alias("text"), F.lit("a").alias("source"))
+    rows = rows.union(spark.range(300).selectExpr("id AS doc_id", "concat('w ', id) AS text", "'b' AS source"))
+    units = rows.select(*source_mixing.unit_columns(F.col("doc_id"), F.col("text"), F.col("source")))
+    dealt = source_mixing._dealt(cut(units, "units"))
+    leaves = 100_000 // source_mixing.FAN_IN
+    sizes = dealt.groupBy(F.pmod("deal", F.lit(leaves)).alias("leaf")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 3 * source_mixing.FAN_IN
+    assert dealt.where("deal = key").count() == 300           # the others keep the leaf of their key
+    mixed = source_mixing.mix_sources(rows)
+    for r in mixed.groupBy("source_size").agg(F.count("*").alias("n"), F.sum("taken").alias("taken"), F.max("target").alias("target")).collect():
+        assert abs(r["taken"] - r["target"]) <= 0.01 * r["target"] + 10
