@@ -24,6 +24,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str],
     return agg.select(*keys, *[F.col(f"_top.{c}").alias(c) for c in order + values])
 
 
+def value_sets(df: DataFrame, key: str, sets: dict[str, tuple[list[str], Column | None]]) -> DataFrame:
+    """A-10: per key, the distinct value tuples of each named set of columns, as arrays
+    of structs.  ``sets``: name -> (columns, condition on the rows that count, or None).
+
+    One partially aggregated pass on the key.  A report that shows a key and joins its
+    details under DISTINCT joins these sets instead: what a row shows is then
+    distinct by construction, and nothing wide is shuffled to make it so."""
+    def members(columns: list[str], condition: Column | None) -> Column:
+        packed = F.struct(*columns)
+        return F.collect_set(packed if condition is None else F.when(condition, packed))
+    return df.groupBy(key).agg(*[members(*v).alias(name) for name, v in sets.items()])
+
+
 def span_per_key(df: DataFrame, keys: list[str], maxes: dict[str, str],
                  mins: dict[str, str]) -> DataFrame:
     """P-06 / A-02: independent max and min columns per key."""

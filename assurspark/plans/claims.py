@@ -22,7 +22,7 @@ from ..functions.expressions import (
     half_open_days, like, localised, open_at, optional_eq, person_name, product_pattern,
     ts_lit, typed_null, when_flag, where_all,
 )
-from ..operators.aggregates import latest_per_key, span_per_key
+from ..operators.aggregates import latest_per_key, span_per_key, value_sets
 from ..operators.currency import latest_rates
 from ..operators.joins import left_join_present, or_equi_join, semi
 from ..sources.catalog import Tables
@@ -265,9 +265,8 @@ def _recoverable(t: Tables, pattern: str, prefix: str) -> DataFrame:
                     F.col("recoverable").alias(f"{prefix}_recoverable"))
 
 
-def policy_row(t: Tables, culture_id: int, pol: DataFrame, with_booking: bool = True,
-               with_group: bool = True) -> DataFrame:
-    """Everything the claims reports read per policy, pre-joined into one
+def policy_row(t: Tables, culture_id: int, pol: DataFrame) -> DataFrame:
+    """Everything R-01 and R-02 read per policy, pre-joined into one
     policy-level row: the policy (inner), its booking (inner), premium, policy
     partners, paid premium and group policy (left).
 
@@ -281,10 +280,9 @@ def policy_row(t: Tables, culture_id: int, pol: DataFrame, with_booking: bool =
         "product_brand_code", "currency_code", "sysowner", "acc_orgunit_name",
         "acc_orgunit_description")
     key = F.col("pol_policy_id")
-    if with_booking:
-        book = t.pol_dx_policy_booking.select(F.col("policy_id").alias("bk_policy_id"),
-                                              "orgunit_book_code")
-        j = j.join(book, key == F.col("bk_policy_id"), "inner")
+    book = t.pol_dx_policy_booking.select(F.col("policy_id").alias("bk_policy_id"),
+                                          "orgunit_book_code")
+    j = j.join(book, key == F.col("bk_policy_id"), "inner")
     prem = t.clm_dx_premium.select(F.col("policy_policy_id").alias("pr_policy_id"),
                                    "annual_premium", "insured_sum")
     ap = t.clm_dx_policy_partner.select(F.col("policy_id").alias("ap_policy_id"), "assured_pers",
@@ -292,12 +290,10 @@ def policy_row(t: Tables, culture_id: int, pol: DataFrame, with_booking: bool =
     pp = localised(t.clm_dx_pay_premium, culture_id).select(
         F.col("policy_id").alias("pp_policy_id"), F.col("payment_amount").alias("PAYMENT_AMOUNT"),
         "first_premium_date", "last_premium_date")
-    j = (j.join(prem, key == F.col("pr_policy_id"), "left")
-         .join(ap, key == F.col("ap_policy_id"), "left")
-         .join(pp, key == F.col("pp_policy_id"), "left"))
-    if with_group:
-        j = j.join(_group(t, culture_id), key == F.col("gp_policy_id"), "left")
-    return j
+    return (j.join(prem, key == F.col("pr_policy_id"), "left")
+            .join(ap, key == F.col("ap_policy_id"), "left")
+            .join(pp, key == F.col("pp_policy_id"), "left")
+            .join(_group(t, culture_id), key == F.col("gp_policy_id"), "left"))
 
 
 def _policy_side(t: Tables, culture_id: int, base: DataFrame, pol: DataFrame) -> DataFrame:
@@ -594,64 +590,120 @@ def payout_detail(t: Tables, p: ClaimsSettledParams) -> DataFrame:
         "confirm_date")
 
 
+def _window_payments(t: Tables, p: ClaimsSettledParams) -> DataFrame:
+    """The transactions created in the report's period, from its month partitions."""
+    tx = t.pay_t_transakcia.where(half_open_days("datum_vytvorenia", p.date_from, p.date_to, p.fix_open_end))
+    return prune_months(tx, "pay_t_transakcia", p.date_from,
+                        None if p.date_to is None else p.date_to + _dt.timedelta(days=1))
+
+
+def paid_claims(t: Tables, p: ClaimsSettledParams) -> DataFrame:
+    """Ids of the claims with a payout paid in the period: a narrow superset of the
+    report's claims, by which their details are cut before anything is aggregated."""
+    paid = _window_payments(t, p).select(F.col("id_riad_zdroj").alias("paid_id"))
+    v = current(t.ina_t_vyplaty, "platny").select("vypla_id", "pudal_koren_id")
+    return semi(v, paid, F.col("vypla_id") == F.col("paid_id")).select(
+        F.col("pudal_koren_id").alias("paid_claim_id")).distinct()
+
+
+def _claim_sets(t: Tables, c: int, claims: DataFrame) -> DataFrame:
+    """Everything R-03 shows of a claim's details, one row per claim: the details are
+    stacked, cut to ``claims`` (distinct ids) and aggregated once, each to its distinct values."""
+    details = {
+        "payind": (localised(t.clm_dx_payout_ind, c), "claim_id", ["surname_name", "name_abbr", "middle_name"]),
+        "cipd": (localised(t.clm_dx_ind_payout_details, c), "claim_root_id", ["payout_method_descr"]),
+        "ri": (localised(t.clm_dx_reserve, c).where("indemnity = 1"), "claim_id", ["indemnity_reserve_balance"]),
+        "re": (localised(t.clm_dx_reserve, c).where("indemnity = 0"), "claim_id", ["extcost_reserve_balance"]),
+        "coins": (t.clm_dx_pay_coinsurer, "claim_id", ["payout_coins_amount", "payout_coins_currency"]),
+        "ext": (localised(t.clm_dx_ext_cost_by_role, c).where(F.col("role_code") == EXTERNAL_ADJUSTER_ROLE),
+                "claim_id", ["amount_paid_extadj", "ext_payee"]),
+        "notes": (localised(t.clm_dx_note, c), "claim_id", ["note"]),
+        "r1": (t.rei_dx_clm_brdr_sum_recoverable.where(like("contr_type_code", FAC_PREFIX)), "claim_id", ["recoverable"]),
+        "r2": (t.rei_dx_clm_brdr_sum_recoverable.where(like("contr_type_code", TREATY_PREFIX)), "claim_id", ["recoverable"]),
+    }
+    letters = localised(t.clm_dx_correspondence, c).select(
+        F.col("claim_id").alias("set_claim_id"), F.lit("letters").alias("kind"),
+        F.struct("corresp_receive_date", "corresp_create_date").alias("letters"))
+    stack = letters
+    for kind, (df, key, columns) in details.items():
+        rows = df.select(F.col(key).alias("set_claim_id"), F.lit(kind).alias("kind"), F.struct(*columns).alias(kind))
+        stack = stack.unionByName(rows, allowMissingColumns=True)
+    # ``claims`` are distinct; an inner join, since a semi join is pushed into every part of the stack
+    stack = stack.join(claims, F.col("set_claim_id") == F.col(claims.columns[0]), "inner")
+    return stack.groupBy("set_claim_id").agg(
+        *[F.collect_set(kind).alias(kind) for kind in details],
+        # the letter received last, of several the one created last (P-05)
+        F.max("letters").alias("letter"))
+
+
 def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
-    """R-03: claims settled statement, one row per distinct payout line."""
+    """R-03: claims settled statement, one row per distinct payout line.
+
+    DISTINCT is taken where rows can repeat, not over the 93 columns of the report: of the
+    payouts the values it shows, of every detail of a claim or policy its sets of
+    shown values (``aggregates.value_sets``).  The report shows the claim, so rows that
+    differ in one of those differ.  That rests on one valid row per claim and loss
+    notification and one row per policy and culture (``schemas.UNIQUE_KEYS``)."""
     claim_dims(t, p.culture_id, settled=True)
-    pod = payout_detail(t, p)
     c = p.culture_id
+    shown = ["claim_root_id", "approval_date", "inspector_name", "adjuster_name", "addressee", "is_expense",
+             "payout_amount", "WHT_tax", "VAT_tax", "full_amount", "pod_currency", "payout_amount_hc",
+             "ACCOUNT_DEBITED_DATE", "payout_method_descr", "confirm_date"]
+    # the expense flag shows only in where amount, currency and method are printed
+    no_trace = F.coalesce(*[F.col(x).cast(STR) for x in ("payout_amount", "pod_currency", "payout_amount_hc",
+                                                        "payout_method_descr")]).isNull()
+    pod = (payout_detail(t, p).withColumn("is_expense", F.when(no_trace, F.lit(0)).otherwise(F.col("is_expense")))
+           .select(*shown).distinct())
+    paid = paid_claims(t, p)
     clm = current(t.clm_d_claim).select(
         "claim_id", "policy_policy_id", "cclmst_cclmst_id", "orgunit_accounting_id", "losntf_losntf_id",
         "notification_date", "occurence_date", "settlement_date", "registration_date",
         F.col("clmno"), "payment_identifier")
-    payind = localised(t.clm_dx_payout_ind, c).select(
-        F.col("claim_id").alias("pi_claim_id"), "surname_name", "name_abbr", "middle_name")
-    cipd = localised(t.clm_dx_ind_payout_details, c).select(
-        F.col("claim_root_id").alias("cipd_claim_id"), F.col("payout_method_descr").alias("cipd_method"))
     cst = claim_dims(t, c)[f"claim_status:{c}"].withColumnRenamed("claim_status_code", "cst_code")
     units = org_units(t, c)
     losn = current(t.clm_d_loss_notification).select(
         "losntf_id", "address_street", "address_house_number1", "address_house_number2",
         "address_city", "postal_code", "occurence_place_description", "loss_description")
-    # The history view is joined twice on the same key (k rows -> k^2 pairs);
-    # under the final DISTINCT only distinct value pairs matter, so each side is
-    # reduced to distinct values first, which bounds the fan-out.
-    hist = t.inc_v_policy_history.select("policy_id", "entry_user_desc", "appr_user_desc").distinct()
-    polh = hist.select(F.col("policy_id").alias("h_policy_id"),
-                       F.col("entry_user_desc").alias("policy_initiator"),
-                       F.col("appr_user_desc").alias("policy_approval"))
-    polhgr = hist.select(F.col("policy_id").alias("hg_policy_id"),
-                         F.col("entry_user_desc").alias("gr_policy_initiator"),
-                         F.col("appr_user_desc").alias("gr_policy_approval"))
+    # The history is shown as every pair of distinct signatures of the policy: kept once
+    # per policy as a set, and opened twice.
+    hist = value_sets(t.inc_v_policy_history.withColumnRenamed("policy_id", "h_policy_id"), "h_policy_id",
+                      {"signatures": (["entry_user_desc", "appr_user_desc"], None)})
 
     j = (pod.join(clm, pod.claim_root_id == clm.claim_id, "inner")
-         .join(payind, F.col("claim_id") == F.col("pi_claim_id"), "inner")
-         .join(cipd, F.col("claim_id") == F.col("cipd_claim_id"), "inner")
+         .join(_claim_sets(t, c, paid), F.col("claim_id") == F.col("set_claim_id"), "inner")
          .join(cst, F.col("cclmst_cclmst_id") == F.col("cclmst_id"), "inner")
          .join(units, F.col("orgunit_accounting_id") == F.col("u_id"), "inner")
          .join(losn, F.col("losntf_losntf_id") == F.col("losntf_id"), "left"))
     ci = p.string_compare == CASE_INSENSITIVE
     j = where_all(j, optional_eq("u_abbrev", p.branch, ci))
-    j = j.join(_reserve(t, c, 1, "ri"), F.col("claim_id") == F.col("ri_claim_id"), "left") \
-         .join(_reserve(t, c, 0, "re"), F.col("claim_id") == F.col("re_claim_id"), "left") \
-         .join(latest_correspondence(t, c), F.col("claim_id") == F.col("co_claim_id"), "left")
-    coins = t.clm_dx_pay_coinsurer.select(
-        F.col("claim_id").alias("cn_claim_id"), F.col("payout_coins_amount").alias("PAYOUT_COINS_AMOUNT"),
-        F.col("payout_coins_currency").alias("PAYOUT_COINS_CURRENCY"))
-    ext = (localised(t.clm_dx_ext_cost_by_role, c).where(F.col("role_code") == EXTERNAL_ADJUSTER_ROLE)
-           .select(F.col("claim_id").alias("ea_claim_id"), "amount_paid_extadj", "ext_payee"))
-    notes = localised(t.clm_dx_note, c).select(F.col("claim_id").alias("nt_claim_id"), "note")
-    j = (j.join(coins, F.col("claim_id") == F.col("cn_claim_id"), "left")
-         .join(ext, F.col("claim_id") == F.col("ea_claim_id"), "left")
-         .join(notes, F.col("claim_id") == F.col("nt_claim_id"), "left")
-         .join(_recoverable(t, FAC_PREFIX, "r1"), F.col("claim_id") == F.col("r1_claim_id"), "left")
-         .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
-    # one policy-level row (policy, history twice, premium, partners, paid
-    # premium), joined to the payout rows once
-    prow = (policy_row(t, c, policies(t, c, p.product, ci), with_booking=False, with_group=False)
-            .join(polh, F.col("pol_policy_id") == F.col("h_policy_id"), "inner")
-            .join(polhgr, F.col("pol_policy_id") == F.col("hg_policy_id"), "left"))
-    j = (j.join(prow, F.col("policy_policy_id") == F.col("pol_policy_id"), "inner")
-         .join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left"))
+    # one policy-level row (policy, premium, partners, paid premium: each its distinct
+    # values, and the history), joined to the payout rows once
+    by_policy = F.col("pol_policy_id")
+    prow = (policies(t, c, p.product, ci)
+            .select(F.col("policy_id").alias("pol_policy_id"), "policy_number",
+                    F.col("uw_year").alias("UW_Year"), "date_inception", "date_maturity", "orgunit_name",
+                    "product_code", "product_name", "product_brand_code", "currency_code", "sysowner",
+                    "acc_orgunit_name", "acc_orgunit_description")
+            .join(hist, by_policy == F.col("h_policy_id"), "inner"))
+    people = t.clm_dx_policy_partner.select(
+        F.col("policy_id").alias("ap_policy_id"), F.coalesce("assured_pers", F.lit("")).alias("assured_pers"),
+        F.coalesce("insured_pers", F.lit("")).alias("insured_pers"), "agent", "agent_number")
+    prem = t.clm_dx_premium.withColumnRenamed("policy_policy_id", "pr_policy_id")
+    received = localised(t.clm_dx_pay_premium, c).withColumnRenamed("policy_id", "pp_policy_id")
+    for df, name, columns in ((prem, "pr", ["annual_premium", "insured_sum"]),
+                              (people, "ap", ["assured_pers", "insured_pers", "agent", "agent_number"]),
+                              (received, "pp", ["payment_amount", "first_premium_date", "last_premium_date"])):
+        prow = prow.join(value_sets(df, f"{name}_policy_id", {name: (columns, None)}),
+                         by_policy == F.col(f"{name}_policy_id"), "left")
+    rates = latest_rate_by_code(t).distinct()
+    j = (j.join(prow, F.col("policy_policy_id") == by_policy, "inner")
+         .join(rates, F.col("currency_code") == F.col("x_kod"), "left"))
+    # a line without beneficiary or method of payment is not shown; the other sets may be empty
+    j = j.withColumn("gr_signatures", F.col("signatures"))
+    for name in ("payind", "cipd", "signatures", "gr_signatures"):
+        j = j.withColumn(name, F.explode(name))
+    for name in ("ri", "re", "coins", "ext", "notes", "r1", "r2", "pr", "ap", "pp"):
+        j = j.withColumn(name, F.explode_outer(name))
 
     exp = "is_expense"
     na = F.lit(p.placeholder)
@@ -659,42 +711,42 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
         F.col("u_abbrev").alias("branch_code"), F.col("u_name").alias("branch_name"),
         F.col("notification_date").alias("NOTIFICATION_DATE"),
         F.year("occurence_date").alias("Year_of_loss"), F.col("occurence_date").alias("LOSS_DATE"),
-        F.coalesce("insured_pers", F.lit("")).alias("insured_name"),
-        F.coalesce("assured_pers", F.lit("")).alias("assured_name"),
+        F.coalesce("ap.insured_pers", F.lit("")).alias("insured_name"),
+        F.coalesce("ap.assured_pers", F.lit("")).alias("assured_name"),
         F.col("clmno").alias("claim_no"), F.col("policy_number").alias("policy_no"),
         F.col("UW_Year").alias("uw_year"), F.col("date_inception").alias("policy_fm_date"),
         F.col("date_maturity").alias("policy_to_date"), F.col("loss_description"),
-        F.col("annual_premium").alias("gross_premium"), F.col("PAYMENT_AMOUNT").alias("premium_received"),
-        F.col("first_premium_date").alias("date_prem_recvd_first"),
-        F.col("last_premium_date").alias("date_prem_recvd_last"),
+        F.col("pr.annual_premium").alias("gross_premium"), F.col("pp.payment_amount").alias("premium_received"),
+        F.col("pp.first_premium_date").alias("date_prem_recvd_first"),
+        F.col("pp.last_premium_date").alias("date_prem_recvd_last"),
         F.col("confirm_date").alias("date_dv_signed"),
-        F.col("corresp_receive_date").alias("date_dv_recvd"),
-        F.col("corresp_create_date").alias("date_dv_created"),
-        F.col("amount_paid_extadj").alias("adjuster_fee"), F.col("ext_payee").alias("adjusters_name"),
-        F.col("ri_indemnity_reserve_balance").alias("claim_estimate_indemnity"),
+        F.col("letter.corresp_receive_date").alias("date_dv_recvd"),
+        F.col("letter.corresp_create_date").alias("date_dv_created"),
+        F.col("ext.amount_paid_extadj").alias("adjuster_fee"), F.col("ext.ext_payee").alias("adjusters_name"),
+        F.col("ri.indemnity_reserve_balance").alias("claim_estimate_indemnity"),
         when_flag(exp, typed_null(MONEY), F.col("payout_amount")).alias("amount_paid_indemnity"),
         when_flag(exp, typed_null(STR), F.col("pod_currency")).alias("currency_indemnity"),
         when_flag(exp, typed_null(MONEY), F.col("payout_amount_hc")).alias("amount_paid_indemnity_dom_curr"),
-        F.col("re_extcost_reserve_balance").alias("claim_estimate_extcost"),
+        F.col("re.extcost_reserve_balance").alias("claim_estimate_extcost"),
         when_flag(exp, F.col("payout_amount"), typed_null(MONEY)).alias("amount_paid_extcost"),
         when_flag(exp, F.col("pod_currency"), typed_null(STR)).alias("currency_extcost"),
         when_flag(exp, F.col("payout_amount_hc"), typed_null(MONEY)).alias("amount_paid_extcost_dom_curr"),
         F.lit(0).alias("payout_amount_total"),
-        F.col("PAYOUT_COINS_AMOUNT").alias("coinsurance_recovable"),
-        F.col("r1_recoverable").alias("FAC_RECOVERABLE"), F.col("r2_recoverable").alias("TREATY_RECOVERABLE"),
+        F.col("coins.payout_coins_amount").alias("coinsurance_recovable"),
+        F.col("r1.recoverable").alias("FAC_RECOVERABLE"), F.col("r2.recoverable").alias("TREATY_RECOVERABLE"),
         F.lit(NET_CLAIMS_PLACEHOLDER).alias("net_claims_amount"),
         F.col("approval_date").alias("settled_date"), na.alias("date_rcvd_by_insured"),
-        day_diff("registration_date", F.coalesce("corresp_receive_date", "settlement_date"))
+        day_diff("registration_date", F.coalesce("letter.corresp_receive_date", "settlement_date"))
         .alias("process_period"),
-        F.col("orgunit_name").alias("uw_location"), F.col("note").alias("remarks"),
-        F.col("insured_sum"), na.alias("acknow_receipt_date"),
+        F.col("orgunit_name").alias("uw_location"), F.col("notes.note").alias("remarks"),
+        F.col("pr.insured_sum").alias("insured_sum"), na.alias("acknow_receipt_date"),
         F.col("ACCOUNT_DEBITED_DATE").alias("date_account_debited"), F.col("addressee").alias("payee"),
         when_flag(exp, typed_null(STR), F.col("payout_method_descr")).alias("settle_mode_indemnity"),
         when_flag(exp, F.col("payout_method_descr"), typed_null(STR)).alias("settle_mode_extcost"),
         F.col("product_code"), F.col("product_name"), F.col("product_brand_code"),
         F.col("currency_code").alias("policy_currency"),
         F.col("pod_currency").alias("payout_currency"),
-        F.col("PAYOUT_COINS_CURRENCY"), F.col("claim_status"), F.col("claim_id").alias("CLAIM_ID"),
+        F.col("coins.payout_coins_currency").alias("PAYOUT_COINS_CURRENCY"), F.col("claim_status"), F.col("claim_id").alias("CLAIM_ID"),
         F.col("registration_date"), F.col("sysowner"),
         F.col("policy_number").alias("group_pol_no"), F.col("product_code").alias("group_pol_prod_code"),
         F.col("product_name").alias("group_pol_prod_name"),
@@ -703,7 +755,10 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
         F.lit(p.product).cast(STR).alias("ProductCode"), ts_lit(p.date_from).alias("SettledDateFrom"),
         ts_lit(p.date_to).alias("SettledDateTo"), F.col("acc_orgunit_name").alias("acc_ou_code"),
         F.col("acc_orgunit_description").alias("acc_ou_description"),
-        "policy_initiator", "policy_approval", "gr_policy_initiator", "gr_policy_approval",
+        F.col("signatures.entry_user_desc").alias("policy_initiator"),
+        F.col("signatures.appr_user_desc").alias("policy_approval"),
+        F.col("gr_signatures.entry_user_desc").alias("gr_policy_initiator"),
+        F.col("gr_signatures.appr_user_desc").alias("gr_policy_approval"),
         F.col("adjuster_name").alias("claim_initiator"), F.col("inspector_name").alias("claim_approval"),
         "VAT_tax", "full_amount", "WHT_tax",
         F.when((F.col("cst_code") != F.lit(SETTLED_STATUS)) & F.col(exp).isNull(), F.lit("PARTIAL PAYOUTS"))
@@ -711,10 +766,10 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
         F.col("address_street").alias("loss_street"), F.col("address_house_number1").alias("loss_house_number1"),
         F.col("address_house_number2").alias("loss_house_number2"), F.col("address_city").alias("loss_city"),
         F.col("postal_code").alias("loss_postal_code"), F.col("occurence_place_description").alias("loss_place"),
-        F.col("agent").alias("Agent_name"), F.col("agent_number").alias("Agent_code"),
-        F.col("surname_name").alias("Beneficiary_Surname"), F.col("name_abbr").alias("Beneficiary_name_abbr"),
-        F.col("middle_name").alias("Beneficiary_middle_name"),
-        F.col("payment_identifier").alias("Voucher_No"), F.col("cipd_method").alias("Mode_of_payment"),
+        F.col("ap.agent").alias("Agent_name"), F.col("ap.agent_number").alias("Agent_code"),
+        F.col("payind.surname_name").alias("Beneficiary_Surname"), F.col("payind.name_abbr").alias("Beneficiary_name_abbr"),
+        F.col("payind.middle_name").alias("Beneficiary_middle_name"),
+        F.col("payment_identifier").alias("Voucher_No"), F.col("cipd.payout_method_descr").alias("Mode_of_payment"),
         F.col("xRate").alias("Rate"),
         _dom(F.col("full_amount") * F.col("xRate")).alias("Amount_Paid_GHS"))
-    return out.distinct()
+    return out

@@ -61,7 +61,8 @@ def key_violations(name: str, df: DataFrame) -> list[str]:
     found = []
     keys = schemas.UNIQUE_KEYS.get(name)
     if keys:
-        rows = df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+        among = [schemas.UNIQUE_AMONG[name]] if name in schemas.UNIQUE_AMONG else []
+        rows = df.where(" AND ".join([f"{k} IS NOT NULL" for k in keys] + among)).groupBy(*keys).agg(F.count("*").alias("_n"))
         example = F.max(F.struct("_n", *keys)).alias("worst")
         got = rows.where("_n > 1").agg(F.count("*").alias("keys"), example).first()
         if got["keys"]:

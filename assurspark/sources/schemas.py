@@ -221,6 +221,18 @@ UNIQUE_KEYS = {
     "prd_d_cl_policy_status": ("polst_id", "culture_id"),
     "cms_t_spolupracovnik": ("spoluprac_id",),
     "inc_t_zmluvy_h": ("zmlh_id",),
+    "clm_d_claim": ("claim_id",),
+    "clm_d_loss_notification": ("losntf_id",),
+    "clm_d_cl_claim_st": ("cclmst_id", "culture_id"),
+    "clm_dx_policy": ("policy_id", "culture_id"),
+    "par_d_cl_org_unit": ("orgunit_id", "culture_id"),
+    "par_d_cl_org_level": ("orglvl_id", "culture_id"),
+}
+
+# table -> the rows its key identifies, where not all (other rows are older versions)
+UNIQUE_AMONG = {
+    "clm_d_claim": "valid = 1",
+    "clm_d_loss_notification": "valid = 1",
 }
 
 # table -> condition that at most one row meets: codes that the reports look up as one value

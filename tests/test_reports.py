@@ -1,6 +1,7 @@
 """Report behaviour on the driver-derived tables, including the reference's quirks
 and the ``fix_*`` options (SURVEY Q1-Q22, regression scenarios T1-T17)."""
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -56,6 +57,27 @@ def test_q7_remark_always_empty_and_distinct(tables):
     assert df.count() == df.distinct().count()
 
 
+SHOWN_DETAILS = ["clm_dx_reserve", "clm_dx_note", "clm_dx_pay_coinsurer", "clm_dx_payout_ind", "clm_dx_ind_payout_details",
+                 "clm_dx_ext_cost_by_role", "rei_dx_clm_brdr_sum_recoverable", "clm_dx_premium", "clm_dx_policy_partner",
+                 "clm_dx_pay_premium", "inc_v_policy_history", "ina_t_vyplaty"]
+
+
+def test_settled_is_distinct_without_a_wide_distinct(tables):
+    p = ClaimsSettledParams(date_from=D(1997, 1, 1), date_to=D(1998, 12, 31))
+    df = claims.claims_settled(tables, p)
+    keys = re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", plan(df))
+    assert keys and max(len(k.split(",")) for k in keys) < 20
+    # details and payouts that are all there twice show nothing new
+    twice = tables.with_overrides({n: tables[n].unionAll(tables[n]) for n in SHOWN_DETAILS})
+    got = claims.claims_settled(twice, p)
+    assert canonical(got.collect(), got.columns) == canonical(df.collect(), df.columns)
+    # several values of a detail are several rows, equal ones are one
+    payee = tables.clm_dx_payout_ind
+    other = payee.withColumn("surname_name", F.lit("x"))
+    more = tables.with_overrides({"clm_dx_payout_ind": payee.unionAll(other).unionAll(other)})
+    assert claims.claims_settled(more, p).count() == 2 * df.count() > 0
+
+
 def test_or_join_plan_has_no_nested_loop(tables):
     df = claims.claims_settled(tables, ClaimsSettledParams(date_from=D(1997, 1, 1), date_to=D(1998, 12, 31)))
     p = plan(df)
