@@ -37,6 +37,9 @@ def typed_null(dtype: T.DataType | str) -> Column:
     return F.lit(None).cast(dtype)
 
 
+CODE_COLLATION = "UTF8_LCASE_RTRIM"
+
+
 # ------------------------------------------------------------------ filters
 def current(df: DataFrame, flag: str = "valid") -> DataFrame:
     """F-06: soft-delete filter, rows whose 1/0 validity flag is 1."""
@@ -55,6 +58,12 @@ def code(c: Column, ci: bool = False) -> Column:
     return F.upper(F.rtrim(c)) if ci else c
 
 
+def same_code(a: Column, b: Column, ci: bool = False) -> Column:
+    """A join on two code columns: binary, or -- ``ci`` -- under Spark's collation without
+    case and trailing blanks, which joins by hash of the collation key."""
+    return F.collate(a, CODE_COLLATION) == F.collate(b, CODE_COLLATION) if ci else a == b
+
+
 def code_eq(c: str | Column, p: str, ci: bool = False) -> Column:
     """F-11: code column equals a parameter (binary or ``ci``)."""
     return code(col(c), ci) == code(F.lit(p), ci)

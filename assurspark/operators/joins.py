@@ -9,6 +9,8 @@ shuffled joins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -209,6 +211,23 @@ def left_join_present(left: DataFrame, right: DataFrame, keys: list[tuple[str, s
     return probe.join(found, cond, "left").drop("_np_part", "_np_zero")
 
 
+def apply_function(left: DataFrame, function: Callable[..., DataFrame], args: list[str | Column],
+                   outer: bool = True) -> DataFrame:
+    """J-12 / G-02: ``left OUTER APPLY function(args)`` (``outer=False``: CROSS APPLY).
+
+    ``function`` is a caller's table function: it gets one column per argument, each
+    the value of the current left row, and returns a frame over any tables.  A lateral
+    join, which Catalyst turns into one equi join (with a window where the function
+    orders and limits its rows); nothing is called per row.
+
+    The arguments go by names of their own: a name that a table inside the function
+    has too, even one it has dropped, would be read from there."""
+    names = [f"_apply_{i}" for i in range(len(args))]
+    probe = left.select("*", *[(F.col(a) if isinstance(a, str) else a).alias(n) for a, n in zip(args, names)])
+    rows = function(*[F.col(n).outer() for n in names])
+    return probe.lateralJoin(rows, how="left" if outer else "inner").drop(*names)
+
+
 def null_aware_anti(left: DataFrame, left_key: str, values: DataFrame, value_col: str,
                     null_safe: bool = False) -> DataFrame:
     """F-29: ``left_key NOT IN (SELECT value_col FROM values)``.

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.expressions import (
     before_next_day, between_or_fallback, class_of, code_eq, currency_of_amount, current, day_diff,
-    half_open_days, like, localised, open_at, optional_eq, person_name, product_pattern,
+    half_open_days, like, localised, open_at, optional_eq, person_name, product_pattern, same_code,
     ts_lit, typed_null, when_flag, where_all,
 )
 from ..operators.aggregates import latest_per_key, span_per_key, value_sets
@@ -225,6 +225,13 @@ def latest_rate_by_code(t: Tables) -> DataFrame:
     return t.dims({"rate_by_code": lambda: _rate_by_code(t)})["rate_by_code"]
 
 
+def with_latest_rate(t: Tables, df: DataFrame, currency: str, ci: bool = False, distinct: bool = False) -> DataFrame:
+    """P-04 joined to a currency code column (left).  ``ci``: codes match without regard to
+    case and trailing blanks.  ``distinct``: equal rates of one date count once."""
+    rates = latest_rate_by_code(t)
+    return df.join(rates.distinct() if distinct else rates, same_code(F.col(currency), F.col("x_kod"), ci), "left")
+
+
 def latest_correspondence(t: Tables, culture_id: int, claims: DataFrame | None = None) -> DataFrame:
     """P-05: per claim the latest-received correspondence (receive desc nulls last,
     then create desc as tie-breaker).  ``claims``: one-column frame of the claim
@@ -358,7 +365,7 @@ def claims_reported(t: Tables, p: ClaimsReportedParams) -> DataFrame:
     j = _policy_side(t, p.culture_id, base, policies(t, p.culture_id, p.product, ci))
     j = _claim_side(t, p.culture_id, j, latest_correspondence(t, p.culture_id, window_claims(t, p)))
     j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")], ["claim_id"])
-    j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
+    j = with_latest_rate(t, j, "currency_code", ci)
 
     na = F.lit(p.placeholder)
     return j.select(
@@ -447,7 +454,7 @@ def claims_outstanding(t: Tables, p: ClaimsOutstandingParams) -> DataFrame:
          .join(_recoverable(t, TREATY_PREFIX, "r2"), F.col("claim_id") == F.col("r2_claim_id"), "left"))
     # the last join of the rows that is not on the claim: nothing keyed by it follows
     j = left_join_present(j, officer_names(t), [("adjuster", "off_partner_id")], ["claim_id"])
-    j = j.join(latest_rate_by_code(t), F.col("currency_code") == F.col("x_kod"), "left")
+    j = with_latest_rate(t, j, "currency_code", ci)
 
     rate1 = F.coalesce(F.col("xRate"), F.lit(1))
     now = ts_lit(p.run_ts) if p.run_ts is not None else F.current_timestamp().cast(T.TimestampNTZType())
@@ -695,9 +702,8 @@ def claims_settled(t: Tables, p: ClaimsSettledParams) -> DataFrame:
                               (received, "pp", ["payment_amount", "first_premium_date", "last_premium_date"])):
         prow = prow.join(value_sets(df, f"{name}_policy_id", {name: (columns, None)}),
                          by_policy == F.col(f"{name}_policy_id"), "left")
-    rates = latest_rate_by_code(t).distinct()
-    j = (j.join(prow, F.col("policy_policy_id") == by_policy, "inner")
-         .join(rates, F.col("currency_code") == F.col("x_kod"), "left"))
+    j = j.join(prow, F.col("policy_policy_id") == by_policy, "inner")
+    j = with_latest_rate(t, j, "currency_code", ci, distinct=True)
     # a line without beneficiary or method of payment is not shown; the other sets may be empty
     j = j.withColumn("gr_signatures", F.col("signatures"))
     for name in ("payind", "cipd", "signatures", "gr_signatures"):

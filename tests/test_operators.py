@@ -210,3 +210,34 @@ def test_scalar_code_lookup_fails_on_two_rows(spark, tables):
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         production.member_policies(tables.with_overrides(
             {"par_d_cl_relation": tables.par_d_cl_relation.union(tables.par_d_cl_relation)})).count()
+
+
+def test_apply_function_inner_outer_and_top_one(spark):
+    # the function's table has columns of the left row's names: they must not be read for it
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (None, "c")], "k int, v string")
+    table = spark.createDataFrame([(1, "x", 5), (1, "y", 7), (2, "z", None), (None, "n", 1)], "k int, v string, rank int")
+
+    def of(key):
+        return table.where(F.col("k") == key).select(F.col("v").alias("found"))
+
+    def best(key):
+        return table.where(F.col("k") == key).orderBy(F.desc_nulls_last("rank")).limit(1).select(F.col("v").alias("found"))
+
+    def got(df):
+        return sorted((tuple(r) for r in df.collect()), key=str)
+    assert got(J.apply_function(left, of, ["k"])) == sorted(
+        [(1, "a", "x"), (1, "a", "y"), (2, "b", "z"), (3, None, None), (None, "c", None)], key=str)
+    assert got(J.apply_function(left, of, ["k"], outer=False)) == [(1, "a", "x"), (1, "a", "y"), (2, "b", "z")]
+    top = J.apply_function(left, best, [F.col("k") + 0])
+    assert got(top) == sorted([(1, "a", "y"), (2, "b", "z"), (3, None, None), (None, "c", None)], key=str)
+    p = top._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_code_join_under_a_collation(spark):
+    a = spark.createDataFrame([("usd",), ("Usd  ",), ("USD",), (" usd",), ("",), (None,)], "c string")
+    b = spark.createDataFrame([("USD", 1), ("eur", 2), (None, 3)], "k string, r int")
+    binary = a.join(b, E.same_code(F.col("c"), F.col("k")), "left")
+    collated = a.join(b, E.same_code(F.col("c"), F.col("k"), ci=True), "left")
+    assert {r["c"]: r["r"] for r in binary.collect()} == {"usd": None, "Usd  ": None, "USD": 1, " usd": None, "": None, None: None}
+    assert {r["c"]: r["r"] for r in collated.collect()} == {"usd": 1, "Usd  ": 1, "USD": 1, " usd": None, "": None, None: None}
