@@ -1,6 +1,11 @@
 """What the driver is asked to hold: tables under the broadcast threshold only, by the rows they really have."""
+import datetime as dt
+import re
+
 from pyspark.sql import functions as F
 
+from assurspark.plans import claims
+from assurspark.plans.params import ClaimsSettledParams
 from assurspark.plans.production import known_transactions
 from assurspark.session import REPORT_CONF
 from assurspark.sources.catalog import Tables
@@ -34,3 +39,25 @@ def test_what_a_report_may_broadcast_fits_a_small_driver():
     """A dozen broadcasts at once; before a table is read, its files count ``factor`` times."""
     threshold, factor = int(REPORT_CONF["spark.sql.autoBroadcastJoinThreshold"]), float(REPORT_CONF["spark.sql.sources.fileCompressionFactor"])
     assert 12 * 20 * threshold / factor <= 300 * MB
+
+
+def test_payouts_are_cut_to_the_settled_before_they_are_shuffled(spark, tables):
+    """P-07: the code list of states comes below the exchange of the payouts, not above it."""
+    saved = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")        # code lists only
+    try:
+        plan = plan_of(claims.payout_detail(tables, ClaimsSettledParams(date_from=dt.datetime(1996, 1, 1), date_to=dt.datetime(1998, 12, 31))))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", saved)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    lines = plan.splitlines()
+    depth = [re.search(r"[A-Z*]", line).start() if re.search(r"[A-Z*]", line) else 0 for line in lines]
+    at = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(vypla_id" in line)
+    below = []
+    for line, d in zip(lines[at + 1:], depth[at + 1:]):
+        if d <= depth[at]:
+            break
+        below.append(line)
+    assert any("Join [cvypst_cvypst_id" in line for line in below), plan
