@@ -14,7 +14,9 @@ trained on serialised ids and stored beside the shards.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,10 +37,14 @@ LEVEL = 3
 #: Documents of a shard, about (more for a large corpus: a shard is one file).
 SHARD_DOCS = 4096
 #: Distinct units and pieces a task remembers; further ones are worked out each time.
-UNITS, PIECES = 250_000, 350_000
+UNITS, PIECES = 250_000, 600_000
 
-_BLANK = "\u0120"  # how byte-level vocabularies write the blank
 _SPACED = re.compile(r"\s ")
+#: ASCII and the Latin-1 characters from \u00C0 on: what is a letter, a digit or white space there is the same to
+#: Python's expressions and to the tokenizer's (further on, their Unicode tables may be of different age).
+_PLAIN = re.compile("[\x00-\x7f\xc0-\xff]*")
+_WHITE, _LETTERS = "\t-\r ", "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_WHITE}{_LETTERS}0-9]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -57,42 +63,54 @@ class _Memory(dict):
 
 
 class Encoder:
-    """Ids of whole texts, with each blank-separated unit encoded once.
-
-    Byte-level pre-tokenisation starts a new piece at every single blank that
-    follows a character other than white space, so the text's ids are its
-    units' ids in a row; texts with white space before a blank are encoded
-    whole.  A unit of letters is one piece, and so is a stop or comma after it;
-    the tokenizer's own pre-tokeniser cuts all other units.
+    """Ids of whole texts, with each piece, or blank-separated unit, encoded once.
+
+    A text of plain characters is cut into the pieces of byte-level
+    pre-tokenisation by one expression, and its ids are its pieces' ids in a row.
+    In other texts that pre-tokenisation starts a new piece at every single blank
+    that follows a character other than white space, so the ids are those of
+    the units; the tokenizer's own pre-tokeniser cuts those that are not plain, and
+    texts with white space before a blank are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = _Memory(self._piece, PIECES)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.plain = _Memory(self._plain, PIECES)    # pieces as they stand in the text
         self.units = _Memory(self._unit, UNITS)      # units without the blank before them
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        state = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else {}
+        self.byte_level = (state.get("type") == "ByteLevel" and not state["add_prefix_space"] and state["use_regex"]
+                           and self.tokenizer.normalizer is None)
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # how byte-level vocabularies write a byte: of the characters below \u0100, UTF-8 has one byte or two
+        self.spelling = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(256)}
 
-    def _piece(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+    def _ids(self, piece: str) -> bytes:
+        ids = [t.id for t in self.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _cut(self, unit: str) -> bytes:
-        return b"".join([self.pieces[p] for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(unit)])
+    def _plain(self, piece: str) -> bytes:
+        return self._ids(piece.translate(self.spelling))
 
     def _unit(self, word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():
-                return self.pieces[_BLANK + word]
-            if word[-1:] in (".", ",") and word[:-1].isalpha():
-                return self.pieces[_BLANK + word[:-1]] + self.pieces[word[-1]]
         return self._cut(" " + word)
 
+    def _cut(self, unit: str) -> bytes:
+        if _PLAIN.fullmatch(unit):
+            return b"".join(map(self.plain.__getitem__, _PIECES.findall(unit)))
+        return b"".join([self._ids(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(unit)])
+
     def ids(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if _SPACED.search(text) or any(s in text for s in self.special):
+        special = not self.byte_level or any(s in text for s in self.special)
+        if not special and _PLAIN.fullmatch(text):
+            return self._cut(text)
+        if special or _SPACED.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *rest = text.split(" ")
         return (self._cut(first) if first else b"") + b"".join(map(self.units.__getitem__, rest))
