@@ -309,6 +309,28 @@ def test_line_dedup_tiles(spark):
     assert kept == sum(brute.line_classes(rows).values())
 
 
+def test_line_dedup_shuffles_candidates_only(spark, monkeypatch):
+    """Lines without a candidate are filtered out before their texts are shuffled, and a line and band take three longs."""
+    plans, cut = {}, line_dedup.cut
+
+    def seen(df, name="cut"):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return cut(df, name)
+    monkeypatch.setattr(line_dedup, "cut", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    filters = spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.sha2(F.col("id").cast("string"), 256), F.when(F.col("id") < 3, "\nlicense line of several files").otherwise("")).alias("text"))
+        line_dedup.dedup_lines(df.union(df.selectExpr("doc_id + 1000", "concat(text, '.')"))).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "might_contain" in plans["loaded"]
+    counted = next(x for x in plans["nodes"].splitlines() if "Aggregate [node" in x)
+    assert "min(band" not in counted and "xxhash64" not in counted
+    assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold") == filters
+
+
 # ---- 6
 def test_decontamination(spark, corpus, odd):
     items = [tuple(r) for r in spark.read.parquet(f"{corpus[2]}/benchmark.parquet").select("item_id", "text").collect()]
