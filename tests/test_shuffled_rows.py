@@ -71,3 +71,10 @@ def test_group_versions_are_met_before_the_splits_multiply_the_rows(planned, tab
     out = production.premium_movements(tables, p, RateTable(tables.pay_d_exchange))
     assert len(out.collect()) > 0
     assert rows_by(out, "zh_zml_id", "zmlh_id") <= production.window_transactions(tables, p).count()
+
+
+def test_premium_of_policies_that_are_not_shown_is_not_moved(planned, tables):
+    """Before, the splits of all branches were moved and added up for the report of one."""
+    out = production.daily_production(tables, DailyProductionParams(branch="no such branch", **THREE_YEARS))
+    assert out.collect() == []
+    assert rows_by(out, "traroz_id") == 0
