@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from assurspark.operators import joins
 from assurspark.operators.currency import RateTable
-from assurspark.plans import production
-from assurspark.plans.params import DailyProductionParams
+from assurspark.plans import claims, production
+from assurspark.plans.params import ClaimsSettledParams, DailyProductionParams
 
 D = dt.datetime
 THREE_YEARS = dict(date_from=D(1996, 1, 1), date_to=D(1998, 12, 31))
@@ -78,3 +78,9 @@ def test_premium_of_policies_that_are_not_shown_is_not_moved(planned, tables):
     out = production.daily_production(tables, DailyProductionParams(branch="no such branch", **THREE_YEARS))
     assert out.collect() == []
     assert rows_by(out, "traroz_id") == 0
+
+
+def test_payouts_of_other_branches_are_cut_before_they_meet_the_transactions(planned, tables):
+    out = claims.claims_settled(tables, ClaimsSettledParams(branch="no such branch", product="%", **THREE_YEARS))
+    assert out.collect() == []
+    assert rows_by(out, "vypla_id") == 0
